@@ -7,6 +7,9 @@ from importlib import import_module
 QUERY_MODULES = (
     "pixel_queries",
     "zonal_queries",
+    "selection_queries",
+    "temporal_queries",
+    "composite_queries",
 )
 
 

@@ -106,8 +106,8 @@ SCENES = {
     "x0": f"cast((site % {SITES_PER_ROW})*{SITE_SPAN} as double)",
     "y0": f"cast(cast(floor(site/{SITES_PER_ROW}) as bigint)*{SITE_SPAN} as double)",
     "heading": "cast((site*37) % 360 as double)",
-    "incidence": "30 + cast((site + ym) % 3 as double)*7e-1",
-    "track_no": "1 + (site + ym) % 4",
+    "incidence": "case when (site + ym) % 5 = 0 then 314e-1 else 30e0 end",
+    "track_no": "1 + (site + cast(floor(ym/24) as bigint)) % 4",
 }
 
 # --- fields ---------------------------------------------------------------
@@ -180,6 +180,40 @@ ITEM_JSON = {
     ),
 }
 
+_RAW_TIME = (
+    "concat(lpad(cast(day(o_orderdate) as varchar(4)), 2, '0'), '-', "
+    "substring('JanFebMarAprMayJunJulAugSepOctNovDec', cast((month(o_orderdate)-1)*3+1 as int), 3), '-', "
+    "cast(year(o_orderdate) as varchar(4)), ' 05:', lpad(cast(o_orderkey % 60 as varchar(4)), 2, '0'), "
+    "':07', case when o_orderkey % 3 = 0 then '.123456789' when o_orderkey % 3 = 1 then '.5' else '' end)"
+)
+
+SAR_META = {
+    "product_no": "o_orderkey",
+    "site": "cast(floor(o_custkey/15) as bigint)",
+    "acq_date": "cast(o_orderdate as date)",
+    "pass_type": (
+        "case o_orderkey % 6 when 0 then ' ascending ' when 1 then 'DESC' when 2 then 'NA' when 3 then '' "
+        "when 4 then 'A' else 'unknown' end"
+    ),
+    "heading": (
+        "case when o_orderkey % 9 = 0 then 'N/A' when o_orderkey % 9 = 1 then '90.0' "
+        "else cast((o_custkey*37) % 400 as varchar(20)) end"
+    ),
+    "scene_number": "case when o_orderkey % 8 = 0 then '-9999' else cast(o_custkey % 12 as varchar(20)) end",
+    "sat_id": "case when o_orderkey % 17 = 0 then ' eos-04' else 'EOS-04' end",
+    "sensor": "'SAR'",
+    "imaging_mode": "case when o_orderkey % 13 = 0 then 'FRS' else 'mrs' end",
+    "software": "concat('V', cast(1 + o_custkey % 2 as varchar(4)))",
+    "rtc_flag": "case o_orderkey % 10 when 0 then '0' when 1 then 'x' else '1' end",
+    "dem_correction": "case o_orderkey % 5 when 0 then 'no' when 1 then 'Y' else 'YES' end",
+    "dem_source": "case when o_orderkey % 20 = 0 then 'none' else 'srtm' end",
+    "orientation": "case when o_custkey % 2 = 0 then 'RIGHT' else 'left' end",
+    "incidence": "case when o_orderkey % 19 = 0 then 'bad' else concat(cast(30 + o_custkey % 4 as varchar(4)), '.5') end",
+    "spacing": "case when o_orderkey % 21 = 0 then '' else '18' end",
+    "polarizations": "case o_custkey % 3 when 0 then 'HV, HH' when 1 then 'vv;vh xx' else 'hh' end",
+    "start_time": _RAW_TIME,
+}
+
 LOG_TEXT = {
     "k": "o_orderkey",
     "txt": (
@@ -245,6 +279,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "requests": ((), _select(REQUESTS, "orders")),
     "item_json": ((), _select(ITEM_JSON, "orders")),
     "log_text": ((), _select(LOG_TEXT, "orders")),
+    "sar_meta": ((), _select(SAR_META, "orders")),
     "ledger_events": ((), _select(LEDGER_EVENTS, "events")),
     "job_events": ((), _select(JOB_EVENTS, "events")),
 }
@@ -347,6 +382,10 @@ class World:
     def log_text(self) -> DataFrame:
         return self._derive("orders", LOG_TEXT)
 
+    @cached_property
+    def sar_meta(self) -> DataFrame:
+        return self._derive("orders", SAR_META)
+
     @cached_property
     def ledger_events(self) -> DataFrame:
         return self._derive("events", LEDGER_EVENTS)
