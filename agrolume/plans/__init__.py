@@ -10,6 +10,7 @@ QUERY_MODULES = (
     "selection_queries",
     "temporal_queries",
     "composite_queries",
+    "geo_queries",
 )
 
 

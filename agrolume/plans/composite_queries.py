@@ -159,7 +159,7 @@ def resample_nearest(w: World) -> DataFrame:
 
 @query(
     "resample_bilinear",
-    "select scene_id, rw, cl, round(sum(wt*v)/sum(wt), 6) as red from (select t.scene_id, t.rw, t.cl, "
+    "select scene_id, rw, cl, round(sum(wt*v)/sum(wt), 9) as red from (select t.scene_id, t.rw, t.cl, "
     "case when dr = 1 then y - floor(y) else 1 - (y - floor(y)) end * case when dc = 1 then x - floor(x) else 1 - (x - floor(x)) end as wt, p.red as v "
     "from (select *, (rw + 5e-1)*5e-1 + 1e-1 - 5e-1 as y, (cl + 5e-1)*5e-1 + 1e-1 - 5e-1 as x from half_targets) t, "
     "(values (0), (1)) as a(dr), (values (0), (1)) as b(dc), optical p where p.source_no = 0 and p.red is not null "
@@ -170,7 +170,7 @@ def resample_bilinear(w: World) -> DataFrame:
     """20 m reflectance onto a 10 m grid that is offset by a tenth of a cell."""
     source = raster.optical(w.pixels.where("source_no = 0")).select("scene_id", "rw", "cl", "red")
     out = grid.resample_bilinear(half_targets(w), source, ratio=0.5, shift=0.1, value="red")
-    return out.withColumn("red", F.round("red", 6))
+    return out.withColumn("red", F.round("red", 9))
 
 
 @query(
