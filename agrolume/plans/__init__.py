@@ -11,6 +11,7 @@ QUERY_MODULES = (
     "temporal_queries",
     "composite_queries",
     "geo_queries",
+    "source_queries",
 )
 
 
