@@ -12,6 +12,8 @@ QUERY_MODULES = (
     "composite_queries",
     "geo_queries",
     "source_queries",
+    "catalog_queries",
+    "readiness_queries",
 )
 
 

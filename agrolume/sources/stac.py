@@ -19,10 +19,18 @@ ITEM = (
 )
 
 
+def parsed_once(raw: DataFrame, keep: list[str], schema: str, name: str, column: str = "item") -> DataFrame:
+    """JSON text -> one struct column, parsed exactly once per row.
+
+    The one-element generator keeps later filters from being pushed below the
+    parse, where Spark would repeat it for every field a filter touches.
+    """
+    return raw.select(*keep, F.explode(F.array(F.from_json(c(column), schema))).alias(name))
+
+
 def parse_items(raw: DataFrame, column: str = "item") -> DataFrame:
     """JSON text -> one struct column ``i`` with an explicit schema."""
-    keep = [n for n in raw.columns if n != column]
-    return raw.select(*keep, F.from_json(c(column), ITEM).alias("i"))
+    return parsed_once(raw, [n for n in raw.columns if n != column], ITEM, "i", column)
 
 
 def normalize_items(raw: DataFrame, *, provider: str, keep: list[str]) -> DataFrame:
@@ -83,31 +91,35 @@ DATE_KEYS = (
 )
 
 
-def _first_text(item: Column, keys: tuple[str, ...], *, properties_first: bool) -> Column:
+def _first_text(keys: tuple[str, ...], *, properties_first: bool) -> Column:
     paths = []
     for key in keys:
         top, nested = f"$.{key}", f"$.properties.{key}"
         paths += [nested, top] if properties_first else [top, nested]
-    found = [F.nullif(F.try_variant_get(item, path, "string"), F.lit("")) for path in paths]
-    return F.coalesce(*found)
+    return F.coalesce(*[F.nullif(F.try_variant_get("v", path, "string"), F.lit("")) for path in paths])
 
 
 def normalize_candidates(raw: DataFrame, *, keep: list[str], aoi_bbox: Column) -> DataFrame:
-    """Loose provider JSON: fallback keys, repaired bbox, online flag, AOI overlap."""
-    item = raw.select(*keep, F.parse_json("item").alias("v"), aoi_bbox.alias("aoi_bbox"))
+    """Loose provider JSON: fallback keys, repaired bbox, online flag, AOI overlap.
+
+    The text is parsed once and the fallback chains are walked once; filters on
+    the result stay above both generators.
+    """
+    item = raw.select(*keep, aoi_bbox.alias("aoi_bbox"), F.explode(F.array(F.parse_json("item"))).alias("v"))
     box = F.coalesce(
         *[F.try_variant_get(c("v"), p, "array<double>") for p in ("$.bbox", "$.properties.bbox", "$.properties.BoundingBox")]
     )
     online = F.coalesce(*[
         F.try_variant_get(c("v"), p, "string") for p in ("$.properties.Online", "$.properties.online", "$.Online")
     ])
-    out = item.select(
-        *keep,
-        _first_text(c("v"), PRODUCT_KEYS, properties_first=False).alias("product_id"),
-        _first_text(c("v"), DATE_KEYS, properties_first=True).alias("acquisition_text"),
+    fields = F.struct(
+        _first_text(PRODUCT_KEYS, properties_first=False).alias("product_id"),
+        _first_text(DATE_KEYS, properties_first=True).alias("acquisition_text"),
         F.upper(F.trim(F.coalesce(online, F.lit("")))).isin("Y", "YES", "TRUE", "ONLINE", "1").alias("online"),
-        geo.normalise_bbox(box).alias("bbox"),
-        "aoi_bbox",
+        box.alias("raw_bbox"),
+    )
+    out = item.select(*keep, "aoi_bbox", F.inline(F.array(fields))).withColumn(
+        "bbox", geo.normalise_bbox(c("raw_bbox"))
     )
     overlap = geo.bbox_intersection(c("bbox"), c("aoi_bbox"))
     return out.withColumn("overlap", overlap).select(
