@@ -14,6 +14,7 @@ QUERY_MODULES = (
     "source_queries",
     "catalog_queries",
     "readiness_queries",
+    "stream_queries",
 )
 
 

@@ -80,3 +80,8 @@ def derived_path(provider: Column, source_id: Column, item_id: Column, index_nam
     return F.concat_ws(
         "/", F.lit("derived"), provider, source_id, item_id, F.concat(index_name, F.lit(".parquet"))
     )
+
+
+def write_stream_files(pixels: DataFrame, path: str) -> None:
+    """Write pixels as plain files, clustered by scene, for a file stream to read."""
+    pixels.repartitionByRange("scene_id", "rw", "cl").write.mode("overwrite").parquet(path)
