@@ -81,7 +81,7 @@ def alignment(bands: DataFrame, *, key: str, grid: list[str]) -> DataFrame:
 
 
 def axis_regularity(
-    coords: DataFrame, *, key: str, position: str, value: str, chunk: int = 4096,
+    coords: DataFrame, *, key: str, position: str, value: str, chunk: int = 65536,
     relative: float = 1e-6, absolute: float = 1e-6,
 ) -> DataFrame:
     """Uniform spacing per axis: every step within tolerance of the median step.

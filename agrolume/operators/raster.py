@@ -99,11 +99,12 @@ def overview_pyramid(codes: DataFrame, levels: tuple[int, ...]) -> DataFrame:
         .agg(
             F.sum("code").alias("total"),
             F.count("code").alias("n"),
-            F.min(F.struct("rw", "cl", "mask")).alias("first_cell"),
+            # A plain number as the order keeps this a hash aggregate.
+            F.min_by("mask", F.shiftleft(c("rw"), 31) + c("cl")).alias("mask"),
         )
         .select(
             "level", "scene_id", c("out_r").alias("rw"), c("out_c").alias("cl"),
             F.when(c("n") > 0, c("total") / (c("n") * 10000.0)).alias("mean_value"),
-            c("first_cell.mask").alias("mask"),
+            "mask",
         )
     )

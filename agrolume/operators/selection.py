@@ -67,6 +67,16 @@ def first_per(df: DataFrame, keys: list[str], order: list[Column], limit: int, r
     return ranked.where(c(rank) <= limit)
 
 
+def day_leaders(scenes: DataFrame, on: tuple[str, ...], limit: int) -> DataFrame:
+    """The first ``limit`` scenes of each day by product id.
+
+    Whatever is ranked by date first and product id last can only ever take
+    these from one day, so a request for ``limit`` scenes loses nothing, and a
+    source or day with very many scenes no longer multiplies the join.
+    """
+    return first_per(scenes, [*on, "acq_date"], [c("product_id")], limit, "day_rank").drop("day_rank")
+
+
 def candidates(
     requests: DataFrame,
     scenes: DataFrame,
@@ -77,7 +87,8 @@ def candidates(
     limit: int = dims.MAX_CANDIDATE_SCENES,
 ) -> DataFrame:
     """Scenes near each request's date: nearest first, then newest, then product."""
-    pairs = join_request_scenes(requests, scenes, on=on, window_days=window_days)
+    leaders = day_leaders(scenes, on, limit)
+    pairs = join_request_scenes(requests, leaders, on=on, window_days=window_days)
     order = [c("date_distance"), c("acq_date").desc(), c("product_id")]
     return first_per(pairs, list(keys), order, limit)
 
@@ -93,8 +104,17 @@ def prefilter_order() -> list[Column]:
     ]
 
 
-def nearest_scene(pairs: DataFrame, key: str = "request_id") -> DataFrame:
-    """One scene per request: nearest in either direction, newest on ties."""
+def nearest_scene(
+    requests: DataFrame, scenes: DataFrame, *, on: tuple[str, ...], key: str = "request_id"
+) -> DataFrame:
+    """One scene per request: nearest in either direction, newest on ties.
+
+    Only the first scene of each day can win, so scenes are reduced to one per
+    day before they meet the requests.
+    """
+    first = F.min(F.struct("product_id", "scene_id")).alias("s")
+    daily = scenes.groupBy(*on, "acq_date").agg(first).select(*on, "acq_date", "s.product_id", "s.scene_id")
+    pairs = join_request_scenes(requests, daily, on=on)
     best = F.min(F.struct(
         "date_distance", (-F.unix_date("acq_date")).alias("newest"), "product_id", "scene_id", "acq_date"
     )).alias("best")
@@ -229,7 +249,8 @@ def sar_history(
         "request_id", "field_id", *on, c("scene_id").alias("current_scene_id"),
         c("acq_date").alias("request_date"),
     )
-    pairs = join_request_scenes(asked, scenes, on=on, window_days=lookback_days).where(
+    leaders = day_leaders(scenes, on, fetch)
+    pairs = join_request_scenes(asked, leaders, on=on, window_days=lookback_days).where(
         c("acq_date") < c("request_date")
     )
     newest = [c("acq_date").desc(), c("product_id")]

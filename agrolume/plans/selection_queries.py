@@ -110,8 +110,8 @@ def rank_candidates_prefilter(w: World) -> DataFrame:
     tables="pairs",
 )
 def asof_nearest_scene(w: World) -> DataFrame:
-    pairs = selection.join_request_scenes(w.requests, w.catalog, on=CATALOG_KEYS)
-    return selection.nearest_scene(pairs).withColumn("date_distance", c("date_distance").cast("long"))
+    nearest = selection.nearest_scene(w.requests, w.catalog, on=CATALOG_KEYS)
+    return nearest.withColumn("date_distance", c("date_distance").cast("long"))
 
 
 @query(

@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-import os
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import SparkSession
 
@@ -62,6 +62,5 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
-        token = next(tempfile._get_candidate_names())
-        return f"{base.rstrip('/')}/{label}-{os.getpid()}-{token}"
+        return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
     return tempfile.mkdtemp(prefix=f"spark-{label}-")
