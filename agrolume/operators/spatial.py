@@ -62,17 +62,21 @@ def join_spans(
     one pixel row segment over that many extra keys (the spans are repeated),
     for tables where a single place holds a large share of all pixels.
     """
-    keyed = pixels.withColumn("tile_c", F.floor(c("cl") / tile))
+    def cell_key(tile_c: Column) -> Column:
+        # One long for (row, tile) keeps the hash table on its fast path.
+        return c("rw") * F.lit(1 << 24) + tile_c
+
+    keyed = pixels.withColumn("cell_key", cell_key(F.floor(c("cl") / tile)))
     parts = field_spans.withColumn(
         "tile_c", F.explode(F.sequence(F.floor(c("c0") / tile), F.floor((c("c1") - 1) / tile)))
-    )
-    keys = ["rw", "tile_c"]
+    ).withColumn("cell_key", cell_key(c("tile_c"))).withColumnRenamed("rw", "span_rw").drop("tile_c")
+    keys = ["cell_key"]
     if salt > 1:
         keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("scene_id", "cl"), F.lit(salt)).cast("int"))
         parts = parts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         keys.append("salt")
-    inside = (c("cl") >= c("c0")) & (c("cl") < c("c1"))
-    return keyed.join(parts, keys).where(inside).drop("tile_c", "c0", "c1", "salt")
+    inside = (c("cl") >= c("c0")) & (c("cl") < c("c1")) & (c("rw") == c("span_rw"))
+    return keyed.join(parts, keys).where(inside).drop("cell_key", "span_rw", "c0", "c1", "salt")
 
 
 def join_field_pixels(

