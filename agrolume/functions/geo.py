@@ -3,8 +3,9 @@
 Projections are the published Krüger series (order 4) for transverse Mercator
 and the spherical web-Mercator formulas. Ellipsoidal areas integrate the
 authalic function exactly along meridians and linearly along edges, which is
-exact for latitude/longitude rectangles. Against closed forms the Krüger round
-trip closes below 1e-9 degrees inside a zone (see tests/test_geo.py).
+exact for latitude/longitude rectangles. Geodesic edges would differ by 2.6e-5
+of the area for a one-degree cell and 5e-8 for a 5 km field. The Krüger round
+trip closes below 1e-9 degrees (both measured in tests/test_spatial.py).
 """
 
 from __future__ import annotations
