@@ -6,12 +6,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from agrolume import dims
-from agrolume.functions import render
+from agrolume.functions import render, sar
 from agrolume.functions.rounding import r6
 from agrolume.operators import raster, selection, zonal
 from agrolume.plans.registry import query
 from agrolume.plans.world import World, add_table
 from agrolume.plans.zonal_queries import field_backscatter, field_pixels, ndvi_profiles
+from agrolume.session import stored
 
 c = F.col
 CATALOG_KEYS = ("source_no", "aoi_no")
@@ -389,8 +390,6 @@ def field_sar(w: World) -> DataFrame:
     tables="pairs",
 )
 def sar_confidence(w: World) -> DataFrame:
-    from agrolume.functions import sar
-
     pairs = selection.join_request_scenes(sar_requests(w), w.catalog, on=CATALOG_KEYS)
     days = F.datediff("acq_date", "request_date")
     return pairs.select("request_id", "scene_id", sar.confidence(days, c("coverage_percent")).alias("confidence"))
@@ -424,6 +423,6 @@ def sar_histories(w: World, coverage: DataFrame) -> DataFrame:
     tables="history",
 )
 def sar_history(w: World) -> DataFrame:
-    return sar_histories(w, sar_coverage(w)).select(
+    return sar_histories(w, stored(sar_coverage(w), "sar-coverage")).select(
         "request_id", "current_scene_id", "scene_id", "acq_date", c("position").cast("long").alias("position"), "hh_median"
     )

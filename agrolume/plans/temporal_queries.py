@@ -12,6 +12,7 @@ from agrolume.plans.registry import query
 from agrolume.plans.selection_queries import picked_sar, sar_coverage, sar_histories
 from agrolume.plans.world import World, add_table
 from agrolume.plans.zonal_queries import field_pixels
+from agrolume.session import stored
 
 c = F.col
 
@@ -180,7 +181,7 @@ def _long(table: str, extra: str = "") -> str:
 
 def observed(w: World) -> tuple[DataFrame, DataFrame]:
     """(current observation per request, judged history rows)."""
-    coverage = sar_coverage(w)
+    coverage = stored(sar_coverage(w), "sar-coverage")
     meta = w.scenes.select("scene_id", "track_no", "incidence", "heading")
     current = (
         picked_sar(w, coverage)

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -67,3 +67,14 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     if base:
         return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
     return tempfile.mkdtemp(prefix=f"spark-{label}-")
+
+
+def stored(df: DataFrame, label: str) -> DataFrame:
+    """The same rows behind a written table: computed once, lineage cut.
+
+    For results that several later steps read. The table lives in the shared
+    folder, so it outlives a lost executor.
+    """
+    path = shared_folder(df.sparkSession, label)
+    df.write.mode("overwrite").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
