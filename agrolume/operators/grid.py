@@ -88,7 +88,8 @@ def axis_regularity(
 
     Steps are taken inside chunks of consecutive positions, and across chunk
     borders from the chunks' first and last coordinates, so a long axis is never
-    sorted as one group. The median comes from a histogram of steps.
+    sorted as one group. The median comes from a histogram of steps, whose size is
+    bounded by the number of rows or columns of one raster.
     """
     part = F.floor(c(position) / chunk)
     points = coords.select(key, c(position).alias("p"), c(value).alias("v"), part.alias("part"))

@@ -166,7 +166,7 @@ def select_landsat(w: World) -> DataFrame:
 
 @query(
     "search_completeness",
-    "select request_no, least(n, 20) as items, cast(least(ceil(n/8e0), 3) as bigint) as pages, n > 20 or (n = 20 and false) as truncated, not (n > 20) as exhausted "
+    "select request_no, least(n, 20) as items, cast(least(ceil(n/8e0), 3) as bigint) as pages, n > 20 as truncated, not (n > 20) as exhausted "
     "from (select o_custkey as request_no, count(*) as n from orders group by o_custkey) s",
 )
 def search_completeness(w: World) -> DataFrame:
@@ -464,7 +464,7 @@ _FILES = (
 )
 def match_band_files(w: World) -> DataFrame:
     files = w.table("orders").selectExpr("o_orderkey as product_no", "'liss4' as profile", f"explode(array({_FILES})) as path")
-    bands = w.spark.createDataFrame([("liss4", b) for b in ("BAND2", "BAND3", "BAND4")], "profile string, band string")
+    bands = {"liss4": ("BAND2", "BAND3", "BAND4")}
     return textmeta.match_band_files(files, bands, product="product_no")
 
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from agrolume.functions.text import band_token
+
 c = F.col
 
 
@@ -63,16 +65,21 @@ def metadata_datetime(metadata: Column) -> Column:
     return F.coalesce(*[F.nullif(F.try_element_at(metadata, F.lit(k)), F.lit("")) for k in BAND_DATE_KEYS])
 
 
-def match_band_files(files: DataFrame, bands: DataFrame, *, product: str) -> DataFrame:
+def match_band_files(files: DataFrame, bands: dict[str, tuple[str, ...]], *, product: str) -> DataFrame:
     """First file (by path) of each product whose name contains the band token.
 
-    ``bands`` is the tiny list of required bands of the product's profile, so
-    each file is tested against a handful of tokens held in one array.
+    ``bands`` lists the required bands of each profile: a handful of constants,
+    held in the expression, so no join is needed.
     """
-    from agrolume.functions.text import band_token
-
+    pairs: list[Column] = []
+    for profile, names in bands.items():
+        pairs += [F.lit(profile), F.array(*[F.lit(n) for n in names])]
     stem = F.regexp_replace(F.substring_index("path", "/", -1), r"\.[^.]*$", "")
     is_raster = F.lower(F.substring_index("path", ".", -1)).isin("tif", "tiff")
-    tokens = files.where(is_raster).select(product, "profile", "path", band_token(stem).alias("token"))
-    hits = tokens.join(bands, "profile").where(F.contains("token", band_token(c("band"))))
-    return hits.groupBy(product, "band").agg(F.min("path").alias("path"))
+    tokens = files.where(is_raster).select(
+        product, "path", band_token(stem).alias("token"), F.try_element_at(F.create_map(*pairs), c("profile")).alias("names")
+    )
+    found = F.filter("names", lambda n: F.contains(c("token"), band_token(n)))
+    return tokens.select(product, "path", F.explode(found).alias("band")).groupBy(product, "band").agg(
+        F.min("path").alias("path")
+    )

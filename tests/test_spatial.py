@@ -189,3 +189,21 @@ def test_axis_steps_cross_chunk_borders(spark):
     frame = spark.createDataFrame(good + bad, "k string, p long, v double")
     got = {r.k: (r.steps, r.spacing, r.uniform) for r in grid.axis_regularity(frame, key="k", position="p", value="v", chunk=10).collect()}
     assert got == {"a": (49, 2.0, True), "b": (49, 2.0, False)}
+
+
+def test_no_registered_plan_degenerates(spark):
+    """Without broadcasts every join is still an equi-join and nothing meets in one task."""
+    import __spark_entry__ as entry
+
+    runs_on_build = ("stream_", "write_derived", "sar_change", "sar_robust", "sar_temporal", "sar_history")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        for key, build in entry.queries().items():
+            if key.startswith(runs_on_build):
+                continue
+            text = plan(build(spark, SF))
+            for word in ("NestedLoop", "Cartesian", "SinglePartition", "BatchEvalPython"):
+                assert word not in text, (key, word)
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
