@@ -8,14 +8,16 @@ than texts do: each distinct word is encoded once and kept.
 from __future__ import annotations
 
 import re
-
-import numpy as np
+import struct
 
 #: Words kept by a worker before it starts anew: bounds its memory, never its results.
-KEEP = 600_000
-#: A word of letters below U+0250 and at most one mark behind it needs no normaliser but lower case.
-_PLAIN = re.compile("([a-zß-öø-ÿ]+)([.,]?)")
-_UPPER = str.maketrans({chr(c): chr(c + 32) for c in range(65, 91)})
+KEEP = 400_000
+#: A word of letters below U+0100 and ASCII marks behind it needs no normaliser but lower case.
+_PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
+
+
+def _little(ids: list[int]) -> bytes:
+    return struct.pack(f"<{len(ids)}H", *ids)
 
 
 class Encoder:
@@ -27,22 +29,29 @@ class Encoder:
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
         self.kept: dict[str, bytes] = {"": b""}
-        self.marks = {m: self._whole(m) for m in (".", ",")} | {"": b""}
+        self.marks = {"": b""}
         # The vocabulary writes each byte as a printable character: learnt from its own pre-tokenizer.
         self.table = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
 
     def _whole(self, word: str) -> bytes:
-        return np.asarray(self.tokenizer.encode(word, add_special_tokens=False).ids, "<u2").tobytes()
+        return _little(self.tokenizer.encode(word, add_special_tokens=False).ids)
 
     def _word(self, word: str) -> bytes:
         if m := _PLAIN.fullmatch(word):
-            ids = [t.id for t in self.model.tokenize(m[1].translate(self.table))]
-            return np.asarray(ids, "<u2").tobytes() + self.marks[m[2]]
+            letters, mark = m.groups()
+            letters = letters.lower()
+            if not letters.isascii():
+                letters = letters.translate(self.table)
+            if mark not in self.marks:
+                if len(self.marks) > 10_000:
+                    self.marks = {"": b""}
+                self.marks[mark] = self._whole(mark)
+            return _little([t.id for t in self.model.tokenize(letters)]) + self.marks[mark]
         return self._whole(word)
 
     def encode(self, text: str) -> bytes:
         if "<|" not in text:  # the strings of special tokens are told apart by their case
-            text = text.translate(_UPPER) if not text.isascii() else text.lower()
+            text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
         parts = text.replace("\n", " ").split(" ")
         try:
             return b"".join(map(self.kept.__getitem__, parts))
