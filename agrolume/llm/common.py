@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import shutil
 import tempfile
+from pathlib import Path
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -34,8 +36,21 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Send this package to the executors once per application, so that tasks can import it."""
+    if spark.sparkContext.applicationId not in _shipped:
+        package = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="spark-package-")
+        spark.sparkContext.addPyFile(shutil.make_archive(f"{folder}/{package.name}", "zip", package.parent, package.name))
+        _shipped.add(spark.sparkContext.applicationId)
+
+
 def texts(docs: DataFrame) -> DataFrame:
     """doc_id and text only, a null text as the empty one: other columns never get in the way."""
+    ship(docs.sparkSession)
     return docs.select("doc_id", F.coalesce(F.col("text"), F.lit("")).alias("text"))
 
 

@@ -9,10 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 from agrolume.llm.neardup import op7_near_duplicates
 from agrolume.llm.packing import op2_packing
 from agrolume.llm.secrets import OP1_SQL, op1_secret_scan
+from agrolume.llm.toxicity import op6_toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_packing": op2_packing,
+    "op6_toxicity": op6_toxicity,
     "op7_near_duplicates": op7_near_duplicates,
 }
 ORACLES: dict[str, str] = {"op1_secret_scan": OP1_SQL}
