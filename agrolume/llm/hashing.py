@@ -9,6 +9,8 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Text bytes hashed together: bounds the arrays of one step (a longer text is a step of its own).
 BLOCK = 2_000_000
@@ -83,3 +85,15 @@ def word_arrays(texts: list[bytes]) -> Iterator[np.ndarray]:
         hashes, edges = words(texts[a:b])
         for i in range(b - a):
             yield hashes[edges[i] : edges[i + 1]]
+
+
+def slices(batch: pa.RecordBatch, column: str = "text") -> Iterator[pa.RecordBatch]:
+    """Parts of a batch whose texts hold some megabytes, so that what is made of them stays small."""
+    first = size = 0
+    for i, n in enumerate(pc.binary_length(batch.column(column)).to_pylist()):
+        size += (n or 0) + 1
+        if size >= 2 * BLOCK:
+            yield batch.slice(first, i + 1 - first)
+            first, size = i + 1, 0
+    if first < batch.num_rows:
+        yield batch.slice(first)

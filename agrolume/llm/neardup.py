@@ -14,7 +14,6 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -105,25 +104,13 @@ def _lists(arrays: list[np.ndarray]) -> pa.Array:
     return pa.ListArray.from_arrays(pa.array(sizes), pa.array(flat))
 
 
-def _in_parts(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-    """Parts of a batch whose texts hold some megabytes, so that what is made of them stays small."""
-    first = size = 0
-    for i, n in enumerate(pc.binary_length(batch.column("text")).to_pylist()):
-        size += n + 1
-        if size >= 2 * hashing.BLOCK:
-            yield batch.slice(first, i + 1 - first)
-            first, size = i + 1, 0
-    if first < batch.num_rows:
-        yield batch.slice(first)
-
-
 def signed(docs: DataFrame, k: int, slots: int = SLOTS, rows: int = ROWS) -> DataFrame:
     """doc_id, n_shingles, set_key (digest of the whole set, null if empty) and band keys of every document."""
     import hashlib
 
     def sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _in_parts(whole):
+            for batch in hashing.slices(whole):
                 sets = list(shingle_sets(batch.column("text").to_pylist(), k))
                 keys = bands(signatures(sets, slots), rows)
                 digests = [hashlib.sha256(s.tobytes()).digest()[:16] if len(s) else None for s in sets]
@@ -138,7 +125,7 @@ def signed(docs: DataFrame, k: int, slots: int = SLOTS, rows: int = ROWS) -> Dat
 def sets_of(docs: DataFrame, k: int) -> DataFrame:
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
-            for batch in _in_parts(whole):
+            for batch in hashing.slices(whole):
                 yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(list(shingle_sets(batch.column("text").to_pylist(), k)))], names=["doc_id", "shingles"])
 
     return docs.mapInArrow(cut, "doc_id bigint, shingles array<bigint>")

@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from agrolume.llm.fingerprints import op10_fingerprints
 from agrolume.llm.neardup import op7_near_duplicates
 from agrolume.llm.packing import op2_packing
 from agrolume.llm.secrets import OP1_SQL, op1_secret_scan
@@ -16,5 +17,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_toxicity": op6_toxicity,
     "op7_near_duplicates": op7_near_duplicates,
+    "op10_fingerprints": op10_fingerprints,
 }
 ORACLES: dict[str, str] = {"op1_secret_scan": OP1_SQL}
