@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from agrolume.llm.chat import OP9_SQL, op9_chat_format
 from agrolume.llm.fingerprints import op10_fingerprints
 from agrolume.llm.neardup import op7_near_duplicates
 from agrolume.llm.packing import op2_packing
@@ -17,6 +18,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op6_toxicity": op6_toxicity,
     "op7_near_duplicates": op7_near_duplicates,
+    "op9_chat_format": op9_chat_format,
     "op10_fingerprints": op10_fingerprints,
 }
-ORACLES: dict[str, str] = {"op1_secret_scan": OP1_SQL}
+ORACLES: dict[str, str] = {"op1_secret_scan": OP1_SQL, "op9_chat_format": OP9_SQL}
