@@ -25,6 +25,8 @@ SLOTS = 128
 ROWS = 4
 #: Elements signed together.
 STEP = 32_768
+#: 64-bit words of the sketch that rules out pairs before their sets are read.
+SKETCH = 16
 
 
 def superminhash(elements: np.ndarray, owner: np.ndarray, n: int, slots: int = SLOTS) -> np.ndarray:
@@ -122,13 +124,25 @@ def signed(docs: DataFrame, k: int, slots: int = SLOTS, rows: int = ROWS) -> Dat
     return docs.mapInArrow(sign, "doc_id bigint, n_shingles bigint, set_key binary, bands array<bigint>")
 
 
+def parities(shingles: np.ndarray) -> np.ndarray:
+    """64 * SKETCH bits: whether an odd number of the set's elements falls on each.
+
+    Two sets differ by as many elements at least as their bits differ.
+    """
+    odd = np.bincount((shingles % np.uint64(64 * SKETCH)).astype(np.int64), minlength=64 * SKETCH) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.uint64)
+
+
 def sets_of(docs: DataFrame, k: int) -> DataFrame:
+    """doc_id, shingles and sketch of every document."""
+
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for whole in batches:
             for batch in hashing.slices(whole):
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(list(shingle_sets(batch.column("text").to_pylist(), k)))], names=["doc_id", "shingles"])
+                sets = list(shingle_sets(batch.column("text").to_pylist(), k))
+                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), _lists(sets), _lists([parities(s) for s in sets])], names=["doc_id", "shingles", "sketch"])
 
-    return docs.mapInArrow(cut, "doc_id bigint, shingles array<bigint>")
+    return docs.mapInArrow(cut, "doc_id bigint, shingles array<bigint>, sketch array<bigint>")
 
 
 def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, slots: int = SLOTS, rows: int = ROWS) -> DataFrame:
@@ -155,14 +169,16 @@ def near_duplicates(docs: DataFrame, *, words: int = 5, percent: int = 80, slots
     sets = written(sets_of(docs.join(candidates.select(F.col("node").alias("doc_id")), "doc_id", "left_semi"), words).dropDuplicates(["doc_id"]).withColumnRenamed("doc_id", "node"), "sets")
     # A shingle that no other candidate has cannot be shared: with many of them a document has no link.
     lone = sets.select("node", F.explode("shingles").alias("s")).groupBy("s").agg(F.count(F.lit(1)).alias("rows"), F.min("node").alias("node")).where("rows = 1").groupBy("node").agg(F.count(F.lit(1)).alias("lone"))
-    shared = candidates.join(lone, "node", "left").select("node", (F.col("n") - F.coalesce("lone", F.lit(0))).alias("shared"))
-    members = written(members.join(shared, "node").where(100 * F.col("shared") >= percent * F.col("n")).select("bucket", "node", "n", "shared"), "members")
+    shared = sets.join(lone, "node", "left").select("node", (F.size("shingles") - F.coalesce("lone", F.lit(0))).alias("shared"), "sketch")
+    members = written(members.join(shared, "node").where(100 * F.col("shared") >= percent * F.col("n")).select("bucket", "node", "n", "shared", "sketch"), "members")
 
     def enough(common: Column, n: Column, m: Column) -> Column:
         return common * (100 + percent) >= percent * (n + m)
 
     def possible(x, y) -> Column:
-        return enough(F.least(x("shared"), y("shared")), x("n"), y("n"))
+        apart = [F.bit_count(x("sketch")[k].bitwiseXOR(y("sketch")[k])) for k in range(SKETCH)]
+        # Sets of n and m elements with d in only one of them have (n + m - d) / 2 in common.
+        return enough(F.least(x("shared"), y("shared")), x("n"), y("n")) & enough((x("n") + y("n") - sum(apart[1:], apart[0])) / 2, x("n"), y("n"))
 
     def confirm(pairs: DataFrame) -> DataFrame:
         one = sets.select(F.col("node").alias("a"), F.col("shingles").alias("p"))
