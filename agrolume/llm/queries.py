@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from agrolume.llm.chat import OP9_SQL, op9_chat_format
+from agrolume.llm.decontaminate import op3_decontamination
 from agrolume.llm.fingerprints import op10_fingerprints
 from agrolume.llm.neardup import op7_near_duplicates
 from agrolume.llm.packing import op2_packing
@@ -16,6 +17,7 @@ from agrolume.llm.toxicity import op6_toxicity
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_packing": op2_packing,
+    "op3_decontamination": op3_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_near_duplicates": op7_near_duplicates,
     "op9_chat_format": op9_chat_format,
