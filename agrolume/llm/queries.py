@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from agrolume.llm.chat import OP9_SQL, op9_chat_format
 from agrolume.llm.decontaminate import op3_decontamination
 from agrolume.llm.fingerprints import op10_fingerprints
+from agrolume.llm.lines import op8_line_dedup
 from agrolume.llm.neardup import op7_near_duplicates
 from agrolume.llm.packing import op2_packing
 from agrolume.llm.secrets import OP1_SQL, op1_secret_scan
@@ -20,6 +21,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_decontamination": op3_decontamination,
     "op6_toxicity": op6_toxicity,
     "op7_near_duplicates": op7_near_duplicates,
+    "op8_line_dedup": op8_line_dedup,
     "op9_chat_format": op9_chat_format,
     "op10_fingerprints": op10_fingerprints,
 }

@@ -52,7 +52,7 @@ def test_query_equals_sql(spark):
     assert got[want.columns].equals(want)
 
 
-@pytest.mark.parametrize("key", ["op1_secret_scan", "op9_chat_format"])
+@pytest.mark.parametrize("key", ["op1_secret_scan", "op8_line_dedup", "op9_chat_format"])
 def test_native_queries_have_no_python(spark, key):
     from agrolume.llm.queries import QUERIES
 
