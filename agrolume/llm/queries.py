@@ -12,6 +12,7 @@ from agrolume.llm.fingerprints import op10_fingerprints
 from agrolume.llm.lines import op8_line_dedup
 from agrolume.llm.neardup import op7_near_duplicates
 from agrolume.llm.packing import op2_packing
+from agrolume.llm.quality import op4_quality
 from agrolume.llm.secrets import OP1_SQL, op1_secret_scan
 from agrolume.llm.toxicity import op6_toxicity
 
@@ -19,6 +20,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_secret_scan": op1_secret_scan,
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
+    "op4_quality": op4_quality,
     "op6_toxicity": op6_toxicity,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_line_dedup": op8_line_dedup,
