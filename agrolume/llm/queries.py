@@ -10,6 +10,7 @@ from agrolume.llm.chat import OP9_SQL, op9_chat_format
 from agrolume.llm.decontaminate import op3_decontamination
 from agrolume.llm.fingerprints import op10_fingerprints
 from agrolume.llm.lines import op8_line_dedup
+from agrolume.llm.lm import op5_language_model
 from agrolume.llm.neardup import op7_near_duplicates
 from agrolume.llm.packing import op2_packing
 from agrolume.llm.quality import op4_quality
@@ -21,6 +22,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_packing": op2_packing,
     "op3_decontamination": op3_decontamination,
     "op4_quality": op4_quality,
+    "op5_language_model": op5_language_model,
     "op6_toxicity": op6_toxicity,
     "op7_near_duplicates": op7_near_duplicates,
     "op8_line_dedup": op8_line_dedup,
