@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from agrolume.llm.common import table, texts
+from agrolume.llm.common import ship, table, texts
 
 #: Labelled documents of each class that a fit reads at most: the classifier's documented sample.
 PER_CLASS = 10_000
@@ -187,6 +187,8 @@ def fit(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS, phrases:
     marked = rows.mapInPandas(_marker(model), "toxic int, weight double, words bigint").toPandas()
     x = np.array([features(w, m) for w, m in zip(marked.weight, marked.words, strict=True)])
     y = marked.toxic.to_numpy(float)
+    if not 0 < y.sum() < len(y):  # the labelled documents are not here
+        return Model({}, phrases, (base, 0.0, 0.0))
     importance = np.where(y == 1, sizes[1] / max(1, (y == 1).sum()), sizes[0] / max(1, (y == 0).sum()))
     return Model(model.weights, model.phrases, tuple(_logistic(x, y, importance / importance.mean())))
 
@@ -216,6 +218,15 @@ def _logistic(x: np.ndarray, y: np.ndarray, importance: np.ndarray, ridge: float
     return b
 
 
+def _scores(texts_: list[str], model: Model, automaton: ahocorasick.Automaton) -> Iterator[tuple[float, int]]:
+    curve = np.array(model.curve)
+    for text in texts_:
+        words = fold(text)
+        found = hits(automaton, f" {' '.join(words)} ")
+        z = float(np.dot(curve, features(sum(w for w, _ in found.values()), len(words))))
+        yield float(1 / (1 + np.exp(-min(max(z, -30.0), 30.0)))), len(found)
+
+
 def score(docs: DataFrame, model: Model) -> DataFrame:
     """doc_id, score (0 to 1) and hits (words that count) of every row.
 
@@ -225,20 +236,26 @@ def score(docs: DataFrame, model: Model) -> DataFrame:
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         automaton = model.automaton()
-        curve = np.array(model.curve)
         for batch in batches:
-            scores, counts = [], []
-            for text in batch.column("text"):
-                words = fold(text.as_py())
-                found = hits(automaton, f" {' '.join(words)} ")
-                z = float(np.dot(curve, features(sum(w for w, _ in found.values()), len(words))))
-                scores.append(1 / (1 + np.exp(-min(max(z, -30.0), 30.0))))
-                counts.append(len(found))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64()), pa.array(counts, pa.int64())], names=["doc_id", "score", "hits"])
+            found = list(_scores(batch.column("text").to_pylist(), model, automaton))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array([s for s, _ in found], pa.float64()), pa.array([n for _, n in found], pa.int64())], names=["doc_id", "score", "hits"])
 
     return texts(docs).mapInArrow(mark, "doc_id bigint, score double, hits bigint")
 
 
+def without_toxic(docs: DataFrame, model: Model, threshold: float = 0.5) -> DataFrame:
+    """The rows of ``docs``, all columns, that score below the threshold; a null text counts as empty. Nothing is shuffled."""
+    ship(docs.sparkSession)
+
+    def keep(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        automaton = model.automaton()
+        for batch in batches:
+            found = _scores([t or "" for t in batch.column("text").to_pylist()], model, automaton)
+            yield batch.filter(pa.array([s < threshold for s, _ in found], pa.bool_()))
+
+    return docs.mapInArrow(keep, docs.schema)
+
+
 def held_out(folds: int, which: int):
     return F.crc32(F.col("doc_id").cast("string")) % folds == which
 
