@@ -6,7 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def gamma0_db(dn: Column, noise: float, calibration_db: float) -> Column:
+def gamma0_db(dn: Column, noise: Column | float, calibration_db: Column | float) -> Column:
     """10 log10(dn^2 - noise) - calibration; NULL where the power is not positive."""
     power = dn * dn - F.lit(noise)
     return F.when(power > 0, F.lit(10.0) * F.log10(power) - F.lit(calibration_db))

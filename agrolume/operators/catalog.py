@@ -84,16 +84,9 @@ def cache_lookup(requests: DataFrame, cached: DataFrame, *, keys: list[str], now
     return requests.join(newest, keys, "left")
 
 
-def expired(cached: DataFrame, *, now: Column, limit: int) -> DataFrame:
-    """The oldest expired rows, at most ``limit`` of them (a bounded purge)."""
-    due = cached.where(c("expires_at").isNotNull() & (c("expires_at") <= now))
-    return due.orderBy("expires_at", "query_id").limit(limit)
-
-
-def purge(cached: DataFrame, *, now: Column, limit: int) -> DataFrame:
-    """The cache without the rows a bounded purge removes."""
-    gone = expired(cached, now=now, limit=limit).select("query_id")
-    return cached.join(F.broadcast(gone), "query_id", "left_anti")
+def purge(cached: DataFrame, *, now: Column) -> DataFrame:
+    """The cache without its expired rows; rows without an expiry stay."""
+    return cached.where(c("expires_at").isNull() | (c("expires_at") > now))
 
 
 def default_profile(requests: DataFrame, profiles: DataFrame) -> DataFrame:

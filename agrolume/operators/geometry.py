@@ -14,7 +14,7 @@ from pyspark.sql import types as T
 from agrolume import dims
 from agrolume.functions import geo
 from agrolume.functions import polygons as poly
-from agrolume.operators.selection import first_per
+from agrolume.operators.selection import ranked_per
 
 c = F.col
 
@@ -129,7 +129,7 @@ def _box_ring(x0: str, y0: str, x1: str, y1: str) -> Column:
 def spatial_search(
     viewports: DataFrame, scenes: DataFrame, *, lookback_days: int, limit: int
 ) -> DataFrame:
-    """Accepted scenes that meet each viewport, newest first.
+    """Accepted scenes that meet each viewport, newest first; the first ``limit`` are within_limit.
 
     ``viewports``: request_id, source_no, request_date, max_cloud, x0..y1.
     ``scenes``: source_no, scene_id, acq_date, status, cloud_percent, x0..y1.
@@ -149,6 +149,6 @@ def spatial_search(
     met = join_boxes(asked, offered, on=["source_no", "bucket"]).where(
         (age >= 0) & (age < lookback_days) & (c("cloud_percent") <= c("max_cloud"))
     )
-    newest = first_per(met, ["request_id"], [c("acq_date").desc(), c("product_id")], limit)
+    newest = ranked_per(met, ["request_id"], [c("acq_date").desc(), c("product_id")], limit)
     covered = coverage_percent(_box_ring("x0", "y0", "x1", "y1"), _box_ring("bx0", "by0", "bx1", "by1"))
     return newest.withColumn("coverage_percent", covered)

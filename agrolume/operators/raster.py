@@ -55,15 +55,23 @@ def all_indices(pixels: DataFrame) -> DataFrame:
     )
 
 
-def backscatter(
-    pixels_sar: DataFrame, *, noise: float = 12.0, calibration_db: float = 83.0
-) -> DataFrame:
-    """Calibrated decibels per polarization, NULL where the mask is not valid."""
-    valid = c("valid_mask") == 128
+def backscatter(pixels_sar: DataFrame, *, power_source: int = 6, power_scale: float = 1e-3) -> DataFrame:
+    """Decibels per polarization, NULL where the mask is not valid.
+
+    EOS-04 amplitudes are calibrated with their scene's ``noise`` and ``calibration_db``, mask 128 is valid;
+    NISAR (``power_source``) has linear power, and the numbers 1 to ``subswaths`` are valid.
+    """
+    is_power = c("source_no") == power_source
+    valid = F.when(is_power, c("valid_mask").between(F.lit(1), c("subswaths"))).otherwise(c("valid_mask") == 128)
     return pixels_sar.select(
         "scene_id", "source_no", "ym", "rw", "cl",
         *[
-            F.when(valid, sar.quantised_db(sar.gamma0_db(c(f"{b}_dn"), noise, calibration_db))).alias(b)
+            F.when(
+                valid,
+                sar.quantised_db(
+                    F.when(is_power, sar.power_db(c(f"{b}_dn") * power_scale)).otherwise(sar.gamma0_db(c(f"{b}_dn"), c("noise"), c("calibration_db")))
+                ),
+            ).alias(b)
             for b in ("hh", "hv")
         ],
     )

@@ -3,8 +3,8 @@
 A *request* asks about one field, source and date. Requests meet scenes on their
 equi keys plus a day bucket as wide as the source's window, so a source or AOI
 with very many scenes is spread over its days. Choosing one scene per request is
-a ``min`` over an ordered struct, which Spark combines before the shuffle; taking
-the first k is ``row_number() <= k``, which Spark also limits before the shuffle.
+a ``min`` over an ordered struct, which Spark combines before the shuffle. Rankings
+keep every row and say by ``within_limit`` which ones a limit would take.
 """
 
 from __future__ import annotations
@@ -61,20 +61,10 @@ def join_request_scenes(
     )
 
 
-def first_per(df: DataFrame, keys: list[str], order: list[Column], limit: int, rank: str = "rank") -> DataFrame:
-    """The first ``limit`` rows per key in ``order``, with their position."""
-    ranked = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
-    return ranked.where(c(rank) <= limit)
-
-
-def day_leaders(scenes: DataFrame, on: tuple[str, ...], limit: int) -> DataFrame:
-    """The first ``limit`` scenes of each day by product id.
-
-    Whatever is ranked by date first and product id last can only ever take
-    these from one day, so a request for ``limit`` scenes loses nothing, and a
-    source or day with very many scenes no longer multiplies the join.
-    """
-    return first_per(scenes, [*on, "acq_date"], [c("product_id")], limit, "day_rank").drop("day_rank")
+def ranked_per(df: DataFrame, keys: list[str], order: list[Column], limit: int | None = None, rank: str = "rank") -> DataFrame:
+    """All rows with their position per key in ``order``; with a limit also whether it reaches them."""
+    out = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
+    return out if limit is None else out.withColumn("within_limit", c(rank) <= limit)
 
 
 def candidates(
@@ -86,11 +76,10 @@ def candidates(
     window_days: Column | int | None = None,
     limit: int = dims.MAX_CANDIDATE_SCENES,
 ) -> DataFrame:
-    """Scenes near each request's date: nearest first, then newest, then product."""
-    leaders = day_leaders(scenes, on, limit)
-    pairs = join_request_scenes(requests, leaders, on=on, window_days=window_days)
+    """Scenes near each request's date: nearest first, then newest, then product. None is left out."""
+    pairs = join_request_scenes(requests, scenes, on=on, window_days=window_days)
     order = [c("date_distance"), c("acq_date").desc(), c("product_id")]
-    return first_per(pairs, list(keys), order, limit)
+    return ranked_per(pairs, list(keys), order, limit)
 
 
 def prefilter_order() -> list[Column]:
@@ -201,7 +190,7 @@ def field_dates(graded: DataFrame, keys: list[str]) -> DataFrame:
 def field_sar(requests: DataFrame, cands: DataFrame, coverage: DataFrame, *, min_coverage: float = 95.0) -> DataFrame:
     """Nearest qualified radar scene per request, or the reason there is none.
 
-    ``cands`` are the limited candidates, ``coverage`` is per (field, scene).
+    ``cands`` are the candidates, ``coverage`` is per (field, scene).
     """
     accepted = cands.where("status = 'accepted'").join(coverage, ["field_id", "scene_id"], "left")
     qualified = c("coverage_percent") >= min_coverage
@@ -238,34 +227,29 @@ def sar_history(
     selected: DataFrame, scenes: DataFrame, coverage: DataFrame, *,
     on: tuple[str, ...], lookback_days: int = 180, max_observations: int = 8, min_coverage: float = 95.0,
 ) -> DataFrame:
-    """Earlier qualified scenes of each selected observation, newest first.
+    """Earlier qualified scenes of each selected observation, newest first, all within the look-back.
 
-    The newest 3 x ``max_observations`` scenes (at most 20) in the look-back are
-    fetched first; acceptance and coverage are judged on those.
+    ``within_limit`` marks the newest ``max_observations``.
     """
-    fetch = min(max_observations * 3, dims.MAX_CANDIDATE_SCENES)
     # The look-back ends the day before the selected scene: centre the window on it.
     asked = selected.select(
         "request_id", "field_id", *on, c("scene_id").alias("current_scene_id"),
         c("acq_date").alias("request_date"),
     )
-    leaders = day_leaders(scenes, on, fetch)
-    pairs = join_request_scenes(asked, leaders, on=on, window_days=lookback_days).where(
+    pairs = join_request_scenes(asked, scenes, on=on, window_days=lookback_days).where(
         c("acq_date") < c("request_date")
     )
-    newest = [c("acq_date").desc(), c("product_id")]
-    fetched = first_per(pairs, ["request_id"], newest, fetch, "fetched")
-    good = fetched.where("status = 'accepted'").join(coverage, ["field_id", "scene_id"]).where(
+    good = pairs.where("status = 'accepted'").join(coverage, ["field_id", "scene_id"]).where(
         c("coverage_percent") >= min_coverage
     )
-    return first_per(good, ["request_id"], newest, max_observations, "position").drop("fetched")
+    return ranked_per(good, ["request_id"], [c("acq_date").desc(), c("product_id")], max_observations, "position")
 
 
 def top_by_overlap(candidates_df: DataFrame, keys: list[str], k: int, *, by_product: bool = False) -> DataFrame:
-    """Largest overlap first, then newest; optionally the product id decides ties."""
+    """Largest overlap first, then newest; optionally the product id decides ties. The first k are within_limit."""
     order = [c("overlap_area").desc(), c("acq_date").desc_nulls_last()]
     order += [c("product_id").desc()] if by_product else [c("item_no")]
-    return first_per(candidates_df, keys, order, k)
+    return ranked_per(candidates_df, keys, order, k)
 
 
 def landsat_order() -> list[Column]:

@@ -509,11 +509,11 @@ def cache_lookup(w: World) -> DataFrame:
 
 @query(
     "cache_expire",
-    f"select query_id from ({_CACHED}) k where query_id not in (select query_id from ({_CACHED}) e where expires_at <= timestamp '{_NOW}' order by expires_at, query_id limit 100)",
+    f"select query_id from ({_CACHED}) k where query_id not in (select query_id from ({_CACHED}) e where expires_at <= timestamp '{_NOW}')",
 )
 def cache_expire(w: World) -> DataFrame:
-    """The cache after one bounded purge of its 100 oldest expired rows."""
-    return catalog.purge(cached(w), now=F.lit(_NOW).cast("timestamp_ntz"), limit=100).select("query_id")
+    """The cache after a purge of all its expired rows."""
+    return catalog.purge(cached(w), now=F.lit(_NOW).cast("timestamp_ntz")).select("query_id")
 
 
 @query(

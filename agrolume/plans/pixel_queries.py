@@ -370,27 +370,28 @@ def mask_policy_flags(w: World) -> DataFrame:
 
 # --- radar -----------------------------------------------------------------
 
-_HH = "case when hh_dn*hh_dn - 12e0 > 0 then 10e0*log10(hh_dn*hh_dn - 12e0) - 8.3e1 end"
-_HV = "case when hv_dn*hv_dn - 12e0 > 0 then 10e0*log10(hv_dn*hv_dn - 12e0) - 8.3e1 end"
+_GAMMA0 = "case when {0}_dn*{0}_dn - noise > 0 then 10e0*log10({0}_dn*{0}_dn - noise) - calibration_db end"
+_POWER = "case when {0}_dn > 0 then 10e0*log10({0}_dn*1e-3) end"
+_DB = (
+    "case when source_no = 6 and valid_mask between 1 and subswaths then round(" + _POWER + ", 6) "
+    "when source_no <> 6 and valid_mask = 128 then round(" + _GAMMA0 + ", 6) end as {0}"
+)
 add_table(
     "sar_px",
     "pixels_sar",
-    "select scene_id, source_no, ym, rw, cl, valid_mask, "
-    f"case when valid_mask = 128 then round({_HH}, 6) end as hh, "
-    f"case when valid_mask = 128 then round({_HV}, 6) end as hv from pixels_sar",
+    f"select scene_id, source_no, ym, rw, cl, valid_mask, {_DB.format('hh')}, {_DB.format('hv')} from pixels_sar",
 )
 
 
 @query(
     "sar_gamma0_db",
-    f"select scene_id, rw, cl, round({_HH}, 4) as hh_db, round({_HV}, 4) as hv_db from pixels_sar where source_no = 5",
+    f"select scene_id, rw, cl, round({_GAMMA0.format('hh')}, 4) as hh_db, round({_GAMMA0.format('hv')}, 4) as hv_db from pixels_sar where source_no = 5",
     tables="pixels_sar",
 )
 def sar_gamma0_db(w: World) -> DataFrame:
     return w.pixels_sar.where("source_no = 5").select(
         "scene_id", "rw", "cl",
-        F.round(sar.gamma0_db(c("hh_dn"), 12.0, 83.0), 4).alias("hh_db"),
-        F.round(sar.gamma0_db(c("hv_dn"), 12.0, 83.0), 4).alias("hv_db"),
+        *[F.round(sar.gamma0_db(c(f"{b}_dn"), c("noise"), c("calibration_db")), 4).alias(f"{b}_db") for b in ("hh", "hv")],
     )
 
 

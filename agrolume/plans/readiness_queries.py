@@ -197,18 +197,13 @@ def backfill_summary(w: World) -> DataFrame:
     return totals.join(failed, "job_id", "left")
 
 
-_STAGES = ("click", "view", "error")
-
-
 @query(
     "stage_counts",
-    "select job_id, " + ", ".join(f"count(case when stage_name = '{s}' then 1 end) as {s}_runs" for s in _STAGES) + ", "
-    + ", ".join(f"count(case when stage_name = '{s}' and status = 'failed' then 1 end) as {s}_failed" for s in _STAGES)
-    + " from job_events group by job_id",
+    "select job_id, stage_name, count(*) as runs, count(case when status = 'failed' then 1 end) as failures from job_events group by job_id, stage_name",
     tables="job_events",
 )
 def stage_counts(w: World) -> DataFrame:
-    return readiness.stage_counts(w.job_events, key="job_id", names=list(_STAGES))
+    return readiness.stage_counts(w.job_events, key="job_id")
 
 
 @query(

@@ -32,7 +32,7 @@ add_table(
     "cands",
     "pairs",
     "select * from (select *, row_number() over (partition by request_id order by date_distance, acq_date desc, product_id) "
-    "as rank from pairs) s where rank <= 20",
+    "as rank from pairs) s",
 )
 add_table(
     "px_pairs",
@@ -45,7 +45,7 @@ add_table(
     "px_cands",
     "px_pairs",
     "select * from (select *, row_number() over (partition by request_id order by date_distance, acq_date desc, product_id) "
-    "as rank from px_pairs) s where rank <= 20",
+    "as rank from px_pairs) s",
 )
 add_table(
     "best",
@@ -79,14 +79,14 @@ def join_request_scenes(w: World) -> DataFrame:
 
 @query(
     "scene_candidates",
-    "select request_id, scene_id, date_distance, rank from cands",
+    "select request_id, scene_id, date_distance, rank, rank <= 20 as within_limit from cands",
     tables="cands",
 )
 def scene_candidates(w: World) -> DataFrame:
     found = selection.candidates(w.requests, w.catalog, on=CATALOG_KEYS)
     return found.select(
         "request_id", "scene_id", c("date_distance").cast("long").alias("date_distance"),
-        c("rank").cast("long").alias("rank"),
+        c("rank").cast("long").alias("rank"), "within_limit",
     )
 
 
@@ -98,9 +98,7 @@ def scene_candidates(w: World) -> DataFrame:
 )
 def rank_candidates_prefilter(w: World) -> DataFrame:
     found = selection.candidates(w.requests, w.catalog, on=CATALOG_KEYS)
-    ranked = selection.first_per(
-        found, ["request_id"], selection.prefilter_order(), dims.MAX_CANDIDATE_SCENES, "prefilter_rank"
-    )
+    ranked = selection.ranked_per(found, ["request_id"], selection.prefilter_order(), rank="prefilter_rank")
     return ranked.select("request_id", "scene_id", c("prefilter_rank").cast("long").alias("prefilter_rank"))
 
 
@@ -118,14 +116,13 @@ def asof_nearest_scene(w: World) -> DataFrame:
 @query(
     "scene_range",
     "select scene_id, acq_date, product_id from catalog where source_no = 0 and acq_date between date '1996-01-01' "
-    "and date '1999-12-31' order by acq_date desc, product_id limit 100",
+    "and date '1999-12-31' order by acq_date desc, product_id",
     tables="catalog",
 )
 def scene_range(w: World) -> DataFrame:
     return (
         w.catalog.where("source_no = 0 and acq_date between date'1996-01-01' and date'1999-12-31'")
         .orderBy(c("acq_date").desc(), "product_id")
-        .limit(100)
         .select("scene_id", "acq_date", "product_id")
     )
 
@@ -158,7 +155,7 @@ def latest_exact_date(w: World) -> DataFrame:
 
 
 def graded_options(w: World, joined: DataFrame) -> DataFrame:
-    """Limited candidates with raster outputs, joined to their field statistics."""
+    """Candidates with raster outputs, joined to their field statistics."""
     found = selection.candidates(w.requests, w.scenes, on=SITE_KEYS).where("status = 'accepted'")
     quality = (
         zonal.field_scene_quality(joined)
@@ -341,11 +338,11 @@ add_table(
     "from (select * from requests where source_no >= 5) r left join (select * from (select p.request_id, p.scene_id, p.acq_date, "
     "v.coverage_percent, row_number() over (partition by p.request_id order by p.date_distance, v.coverage_percent desc, p.product_id) as rn "
     "from (select * from (select *, row_number() over (partition by request_id order by date_distance, acq_date desc, product_id) as k "
-    "from px_pairs where source_no >= 5) i where k <= 12 and status = 'accepted') p join sar_cover v on v.field_id = p.field_id "
+    "from px_pairs where source_no >= 5) i where status = 'accepted') p join sar_cover v on v.field_id = p.field_id "
     "and v.scene_id = p.scene_id where v.coverage_percent >= 95) s where rn = 1) a on a.request_id = r.request_id "
     "left join (select p.request_id, count(*) as accepted, count(v.field_px) as overlapping, "
     "count(case when v.coverage_percent < 95 then 1 end) as low from (select * from (select *, row_number() over (partition by request_id "
-    "order by date_distance, acq_date desc, product_id) as k from px_pairs where source_no >= 5) i where k <= 12 and status = 'accepted') p "
+    "order by date_distance, acq_date desc, product_id) as k from px_pairs where source_no >= 5) i where status = 'accepted') p "
     "left join sar_cover v on v.field_id = p.field_id and v.scene_id = p.scene_id group by p.request_id) n on n.request_id = r.request_id",
 )
 _CONFIDENCE = (
@@ -403,8 +400,8 @@ add_table(
     "v.hh_median, v.hv_median, v.hh_minus_hv from (select * from (select k.request_id, k.field_id, k.scene_id as current_scene_id, s.*, "
     "row_number() over (partition by k.request_id order by s.acq_date desc, s.product_id) as fetched from sar_pick k join scenes s "
     "on s.source_no = k.source_no and s.site = k.site and s.acq_date < k.acq_date and s.acq_date >= k.acq_date - 365 "
-    "where k.source_no = 5 and k.scene_id is not null) i where fetched <= 20 and status = 'accepted') p "
-    "join sar_cover v on v.field_id = p.field_id and v.scene_id = p.scene_id where v.coverage_percent >= 95) q) t where position <= 12",
+    "where k.source_no = 5 and k.scene_id is not null) i where status = 'accepted') p "
+    "join sar_cover v on v.field_id = p.field_id and v.scene_id = p.scene_id where v.coverage_percent >= 95) q) t",
 )
 
 
@@ -419,10 +416,10 @@ def sar_histories(w: World, coverage: DataFrame) -> DataFrame:
 
 @query(
     "sar_history",
-    "select request_id, current_scene_id, scene_id, acq_date, position, hh_median from history",
+    "select request_id, current_scene_id, scene_id, acq_date, position, position <= 12 as within_limit, hh_median from history",
     tables="history",
 )
 def sar_history(w: World) -> DataFrame:
     return sar_histories(w, stored(sar_coverage(w), "sar-coverage")).select(
-        "request_id", "current_scene_id", "scene_id", "acq_date", c("position").cast("long").alias("position"), "hh_median"
+        "request_id", "current_scene_id", "scene_id", "acq_date", c("position").cast("long").alias("position"), "within_limit", "hh_median"
     )

@@ -134,33 +134,33 @@ def eligible_candidates(w: World) -> DataFrame:
 
 @query(
     "select_downloads",
-    "select source_no, item_no, product_id, rank from (select *, item_no % 7 as source_no, row_number() over (partition by item_no % 7 "
-    "order by overlap_area desc, acquisition_text desc nulls last, product_id desc) as rank from loose_norm where online and intersects_aoi) s where rank <= 3",
+    "select source_no, item_no, product_id, rank, rank <= 3 as within_limit from (select *, item_no % 7 as source_no, row_number() over (partition by item_no % 7 "
+    "order by overlap_area desc, acquisition_text desc nulls last, product_id desc) as rank from loose_norm where online and intersects_aoi) s",
     tables="loose_norm",
 )
 def select_downloads(w: World) -> DataFrame:
-    """The k best downloads per source: overlap, then newest, then product id."""
+    """Downloads per source by overlap, then newest, then product id; the first three are within the limit."""
     eligible = loose_candidates(w).where("online and intersects_aoi").select(
         "*", (c("item_no") % 7).alias("source_no"), c("acquisition_text").alias("acq_date")
     )
     return selection.top_by_overlap(eligible, ["source_no"], 3, by_product=True).select(
-        "source_no", "item_no", "product_id", c("rank").cast("long").alias("rank")
+        "source_no", "item_no", "product_id", c("rank").cast("long").alias("rank"), "within_limit"
     )
 
 
 @query(
     "select_landsat",
-    "select aoi_no, scene_id, rank from (select *, row_number() over (partition by aoi_no order by -coverage_percent, coalesce(cloud_percent, 101), "
+    "select aoi_no, scene_id, rank, rank <= 5 as within_limit from (select *, row_number() over (partition by aoi_no order by -coverage_percent, coalesce(cloud_percent, 101), "
     "coalesce(platform, ''), product_id) as rank from (select *, case when scene_id % 5 = 0 then null when scene_id % 2 = 0 then 'landsat-8' else 'landsat-9' end as platform "
-    "from catalog where source_no = 1) s) t where rank <= 5",
+    "from catalog where source_no = 1) s) t",
     tables="catalog",
 )
 def select_landsat(w: World) -> DataFrame:
-    """Landsat order (overlap, cloud, platform, id) with a cap on new scenes."""
+    """Landsat order (overlap, cloud, platform, id); the first five are within the limit of new scenes."""
     platform = F.expr("case when scene_id % 5 = 0 then null when scene_id % 2 = 0 then 'landsat-8' else 'landsat-9' end")
     scenes = w.catalog.where("source_no = 1").select("*", c("coverage_percent").alias("overlap_ratio"), platform.alias("platform"))
-    return selection.first_per(scenes, ["aoi_no"], selection.landsat_order(), 5).select(
-        "aoi_no", "scene_id", c("rank").cast("long").alias("rank")
+    return selection.ranked_per(scenes, ["aoi_no"], selection.landsat_order(), 5).select(
+        "aoi_no", "scene_id", c("rank").cast("long").alias("rank"), "within_limit"
     )
 
 
@@ -403,12 +403,18 @@ def redact_text(w: World) -> DataFrame:
 
 @query(
     "redact_url",
-    "select k, 'https://h.example/p' || k || '?sig=[REDACTED]&x=' || k || '&X-Amz-Date=[REDACTED]' as url from log_text",
+    "select k, case k % 4 when 0 then 'https://h.example/p' || k || '?sig=[REDACTED]&x=' || k || '&X-Amz-Date=[REDACTED]' "
+    "when 1 then 'https://h.example/p' || k || '?next=/a?b=' || k || '&sig=[REDACTED]' "
+    "when 2 then 'https://h.example/p' || k || '?%73ig=[REDACTED]&&y=#sig=' || k else 'https://h.example/p' || k || '#a?sig=' || k end as url from log_text",
     tables="log_text",
 )
 def redact_url(w: World) -> DataFrame:
-    url = F.concat(
-        F.lit("https://h.example/p"), c("k"), F.lit("?sig=ab"), c("k"), F.lit("&x="), c("k"), F.lit("&X-Amz-Date=2020"), c("k")
+    base = F.concat(F.lit("https://h.example/p"), c("k"))
+    url = (
+        F.when(c("k") % 4 == 0, F.concat(base, F.lit("?sig=ab"), c("k"), F.lit("&x="), c("k"), F.lit("&X-Amz-Date=2020"), c("k")))
+        .when(c("k") % 4 == 1, F.concat(base, F.lit("?next=/a?b="), c("k"), F.lit("&sig=s"), c("k")))
+        .when(c("k") % 4 == 2, F.concat(base, F.lit("?%73ig=s"), c("k"), F.lit("&&y=#sig="), c("k")))
+        .otherwise(F.concat(base, F.lit("#a?sig="), c("k")))
     )
     return w.log_text.select("k", text.redact_url(url).alias("url"))
 

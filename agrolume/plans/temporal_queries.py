@@ -266,22 +266,25 @@ def sar_temporal_status(w: World) -> DataFrame:
     "round(max(v), 6) as max_value, round(avg(v), 6) as mean_value, round(regr_slope(v, acq_date - date '1970-01-01'), 8) as slope_per_day, "
     "count(case when step > 45 then 1 end) as gaps, round(arg_max(v, acq_date) - arg_min(v, acq_date), 6) as change from "
     "(select field_id, acq_date, v, acq_date - lag(acq_date) over (partition by field_id order by acq_date) as step from "
-    "(select f.field_id, s.acq_date, sum(f.code)/(count(*)*10007e0) as v from fpx f join scenes s on s.scene_id = f.scene_id "
+    "(select f.field_id, s.acq_date, floor((200*sum(f.code) + count(*))/(2*count(*)))/1e6 as v from fpx f join scenes s on s.scene_id = f.scene_id "
     "where f.code <> -32768 group by f.field_id, s.acq_date) d) e group by field_id",
     tables="fpx scenes",
 )
 def field_trend(w: World) -> DataFrame:
     """NDVI trend of each field over all usable acquisitions.
 
-    The prime divisor keeps means off rounding ties; it scales values by 0.9993.
+    A day's mean is taken to millionths in integers, half up, so that it does not depend on float sums.
     """
     codes = zonal.histogram(field_pixels(w))
     seen = F.when(c("code").isNotNull(), c("n"))
     per_scene = codes.groupBy("field_id", "scene_id").agg(
-        F.sum(c("code") * c("n")).alias("value_sum"), (F.sum(seen) * 10007.0).alias("value_n")
+        F.sum(c("code") * c("n")).alias("value_sum"), F.sum(seen).alias("value_n")
     ).where("value_n > 0")
     dated = per_scene.join(w.scenes.select("scene_id", "acq_date"), "scene_id")
-    out = temporal.field_trend(dated, keys=["field_id"])
+    daily = dated.groupBy("field_id", "acq_date").agg(F.sum("value_sum").alias("s"), F.sum("value_n").alias("n"))
+    micro = F.expr("floor((200 * s + n) / (2 * n))")
+    exact = daily.select("field_id", "acq_date", micro.alias("value_sum"), F.lit(1e6).alias("value_n"))
+    out = temporal.field_trend(exact, keys=["field_id"])
     rounded = ["first_value", "latest_value", "min_value", "max_value", "mean_value", "change"]
     for name in rounded:
         out = out.withColumn(name, r6(c(name)))

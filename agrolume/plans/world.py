@@ -81,7 +81,12 @@ PIXELS_SAR = {
     "cl": "cl",
     "hh_dn": "nir_dn % 2000",
     "hv_dn": "red_dn % 900",
-    "valid_mask": "case when scl = 0 then 0 else 128 end",
+    # EOS-04 marks valid pixels with 128, NISAR with the number of their sub-swath.
+    "valid_mask": "case when scl = 0 then 0 when source_no = 6 then 1 + (scl + nir_dn) % 5 else 128 end",
+    # From each product's own metadata.
+    "noise": "cast(10 + scene_id % 5 as double)",
+    "calibration_db": "cast(81 + scene_id % 4 as double)",
+    "subswaths": "3 + scene_id % 2",
 }
 
 # --- scenes with pixels ---------------------------------------------------

@@ -60,12 +60,14 @@ def tune(spark: SparkSession) -> SparkSession:
 def shared_folder(spark: SparkSession, label: str) -> str:
     """A fresh folder every executor can reach.
 
-    Uses ``spark.checkpoint.dir`` when the cluster names one. Only where it is
-    unset (local tests) a temporary folder is used instead.
+    It lies under ``spark.checkpoint.dir``. Only a local session, where driver and
+    executors are one process, may go without that setting.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if base:
         return f"{base.rstrip('/')}/{label}-{uuid4().hex}"
+    if not spark.sparkContext.master.startswith("local["):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     return tempfile.mkdtemp(prefix=f"spark-{label}-")
 
 
