@@ -15,6 +15,8 @@ from dataclasses import dataclass
 import numpy as np
 
 WINDOW, FRESH = 16, 12
+#: Stands for no token.
+NONE = 65_535
 WIDTH = 16
 #: Clusters and places in each; the last place of a cluster is shared by rare tokens.
 CLUSTERS, PLACES = 32, 32
@@ -170,14 +172,14 @@ def gradient(flat: np.ndarray, inputs: np.ndarray, cluster: np.ndarray, place: n
     return float(-logp.sum() / n), (np.concatenate([g[name].ravel() for name in SHAPES]) / n).astype(np.float32)
 
 
-def train(flat: np.ndarray, inputs: np.ndarray, cluster: np.ndarray, place: np.ndarray, known: np.ndarray, rate: float = 0.005) -> np.ndarray:
-    """One pass of Adam over the windows, with a falling rate."""
+def train(flat: np.ndarray, raw: np.ndarray, classes: Classes, rate: float = 0.005) -> np.ndarray:
+    """One pass of Adam over raw windows, with a falling rate."""
     flat = flat.copy()
     m = np.zeros_like(flat)
     v = np.zeros_like(flat)
-    steps = range(0, len(inputs), BATCH)
+    steps = range(0, len(raw), BATCH)
     for t, a in enumerate(steps):
-        _, g = gradient(flat, *[x[a : a + BATCH] for x in (inputs, cluster, place, known)])
+        _, g = gradient(flat, *expanded(raw[a : a + BATCH], classes))
         m += 0.1 * (g - m)
         v += 0.01 * (g * g - v)
         step = rate * (1 - t / len(steps)) * (m / (1 - 0.9 ** (t + 1))) / (np.sqrt(v / (1 - 0.99 ** (t + 1))) + 1e-8)
@@ -185,32 +187,41 @@ def train(flat: np.ndarray, inputs: np.ndarray, cluster: np.ndarray, place: np.n
     return flat
 
 
-def cut(ids: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Windows of a text: (input classes, clusters, places, which spots are scored here).
+def raw_windows(ids: np.ndarray) -> np.ndarray:
+    """Windows of a text, WINDOW + 2 numbers each: the token before it, its tokens (NONE where there is none), and a bit per spot that is scored here.
 
     The first window scores all its spots, later ones the last FRESH: each token is scored once, with
     WINDOW - FRESH tokens before it at least. Spots beyond the end are not scored.
     """
     n = len(ids)
-    count = 1 + max(0, -(-(n - WINDOW) // FRESH))
-    at = np.arange(count)[:, None] * FRESH + np.arange(WINDOW)
-    known = at < n
+    at = np.arange(1 + max(0, -(-(n - WINDOW) // FRESH)))[:, None] * FRESH + np.arange(-1, WINDOW)
+    inside = (at >= 0) & (at < n)
+    known = inside[:, 1:].copy()
     known[1:, : WINDOW - FRESH] = False
-    held = ids[np.minimum(at, n - 1)]
-    inputs = np.where(at > 0, classes.inputs[ids[np.clip(at - 1, 0, n - 1)]], 0)
-    return inputs, classes.cluster[held], classes.place[held], known
+    out = np.empty((len(at), WINDOW + 2), np.uint16)
+    out[:, :-1] = np.where(inside, ids[np.clip(at, 0, n - 1)], NONE)
+    out[:, -1] = known @ (1 << np.arange(WINDOW))
+    return out
+
+
+def expanded(raw: np.ndarray, classes: Classes) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(input classes, clusters, places, which spots are scored) of raw windows."""
+    known = (raw[:, -1:].astype(np.int64) >> np.arange(WINDOW) & 1).astype(bool)
+    ids = np.where(raw[:, :-1] == NONE, 0, raw[:, :-1])
+    inputs = np.where(raw[:, :-2] == NONE, 0, classes.inputs[ids[:, :-1]])
+    return inputs, classes.cluster[ids[:, 1:]], classes.place[ids[:, 1:]], known
 
 
 def log10_probability(flat: np.ndarray, classes: Classes, texts: list[np.ndarray]) -> np.ndarray:
     """log10 probability of each text (ids, at least one), windows of all texts in batches."""
     p = unpacked(flat)
-    parts = [cut(ids, classes) for ids in texts]
-    owner = np.repeat(np.arange(len(texts)), [len(x[0]) for x in parts])
-    inputs, cluster, place, known = (np.concatenate([x[i] for x in parts]) for i in range(4))
+    parts = [raw_windows(ids) for ids in texts]
+    owner = np.repeat(np.arange(len(texts)), [len(x) for x in parts])
+    raw = np.concatenate(parts)
     out = np.array([classes.share[ids].sum() for ids in texts])
-    for a in range(0, len(inputs), BATCH):
-        here = known[a : a + BATCH]
-        state, _ = forward(p, inputs[a : a + BATCH])
-        logp = log_probability(p, state[here], cluster[a : a + BATCH][here], place[a : a + BATCH][here])
+    for a in range(0, len(raw), BATCH):
+        inputs, cluster, place, here = expanded(raw[a : a + BATCH], classes)
+        state, _ = forward(p, inputs)
+        logp = log_probability(p, state[here], cluster[here], place[here])
         out += np.bincount(owner[a : a + BATCH].repeat(here.sum(1)), logp, len(texts)) / np.log(10)
     return out

@@ -22,12 +22,12 @@ from agrolume.llm import attention, tokens
 from agrolume.llm.common import is_true, ship, table, written
 
 #: Every so many windows of a text train the model; the first of a text is among them by its hash.
-EVERY = 4
+EVERY = 8
 #: Times that partitions train and are averaged.
 ROUNDS = 2
 #: Windows that the gradients of a small corpus go over in all; a partition repeats its own up to MOST_PASSES times a round.
 LEAST_WINDOWS, MOST_PASSES = 1_500_000, 6
-#: Windows that one partition trains on at most.
+#: Windows that one partition trains on, about.
 APART = 200_000
 #: A word with a share of at least this of all tokens is looked up where its text is read: there are 1 / SHARE of them at most.
 SHARE = 1e-5
@@ -128,36 +128,33 @@ def trained(held: DataFrame) -> tuple[np.ndarray, attention.Classes]:
     """Parameters and classes learned from the rows of ``held`` (ids of training texts)."""
     counts = _counts(held)
     classes, flat = attention.Classes.of(counts, _follows(held, attention.ranks(counts)))
-    shape = (4, attention.WINDOW)
+    sent = held.sparkSession.sparkContext.broadcast(classes)
+    fields = attention.WINDOW + 2
 
     def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 rows = []
                 for x, k in zip(batch.column("ids").slice(a, 500), batch.column("k1").slice(a, 500).to_pylist(), strict=True):
-                    parts = attention.cut(np.append(np.frombuffer(x.as_py(), "<u2"), LAST).astype(np.int64), classes)
-                    n = len(parts[0])
-                    chosen = np.arange(k % min(EVERY, n), n, EVERY)
-                    rows += [w.tobytes() for w in np.stack([p[chosen] for p in parts], 1).astype(np.int16)]
+                    raw = attention.raw_windows(np.append(np.frombuffer(x.as_py(), "<u2"), LAST).astype(np.int64))
+                    rows += [w.tobytes() for w in raw[k % min(EVERY, len(raw)) :: EVERY]]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["window"])
 
-    windows = written(held.select("ids", "k1").mapInArrow(pick, "window binary"), "windows")
-    n = windows.count()
+    # A text has one window more for every FRESH tokens beyond the first; those of one text go to different partitions.
+    n = int(counts.sum() / attention.FRESH / EVERY)
     passes = min(MOST_PASSES, max(1, round(LEAST_WINDOWS / max(1, n) / ROUNDS)))
-    # Windows of one text go to different partitions.
-    windows = windows.repartition(max(1, -(-n // APART)))
-    for turn in range(ROUNDS if n else 0):
+    windows = written(held.select("ids", "k1").mapInArrow(pick, "window binary").repartition(max(1, -(-n // APART))), "windows")
+    for turn in range(ROUNDS if counts.any() else 0):
 
         def learn(batches: Iterator[pa.RecordBatch], flat=flat, turn=turn) -> Iterator[pa.RecordBatch]:
-            rows = [np.frombuffer(b"".join(batch.column("window").to_pylist()), np.int16).reshape(-1, *shape) for batch in batches if batch.num_rows]
+            rows = [np.frombuffer(b"".join(batch.column("window").to_pylist()), np.uint16).reshape(-1, fields) for batch in batches if batch.num_rows]
             if rows:
-                held = np.concatenate(rows)
+                raw = np.concatenate(rows)
                 draw = np.random.default_rng(turn)
                 for p in range(passes):
-                    held = held[draw.permutation(len(held))]
-                    inputs, cluster, place, known = (held[:, i].astype(np.int64) for i in range(4))
-                    flat = attention.train(flat, inputs, cluster, place, known.astype(bool), 0.006 / (1 + turn + p / passes))
-                yield pa.RecordBatch.from_arrays([pa.array([flat.tolist()], pa.list_(pa.float32())), pa.array([len(held)], pa.int64())], names=["flat", "n"])
+                    raw = raw[draw.permutation(len(raw))]
+                    flat = attention.train(flat, raw, sent.value, 0.006 / (1 + turn + p / passes))
+                yield pa.RecordBatch.from_arrays([pa.array([flat.tolist()], pa.list_(pa.float32())), pa.array([len(raw)], pa.int64())], names=["flat", "n"])
 
         models = windows.mapInArrow(learn, "flat array<float>, n bigint").select("n", F.posexplode("flat").alias("i", "x"))
         mean = models.groupBy("i").agg((F.sum(F.col("x").cast("double") * F.col("n")) / F.sum("n")).alias("x")).collect()

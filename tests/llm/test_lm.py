@@ -53,7 +53,7 @@ def test_probabilities_sum_to_one(model):
     head = A.log10_probability(flat, classes, [np.array(context)])[0]
     assert (every - head < 0).all()
     whole = np.zeros((A.CLUSTERS, A.PLACES))
-    state, _ = A.forward(A.unpacked(flat), A.cut(np.array([*context, 0]), classes)[0])
+    state, _ = A.forward(A.unpacked(flat), A.expanded(A.raw_windows(np.array([*context, 0])), classes)[0])
     for c in range(A.CLUSTERS):
         whole[c] = np.exp(A.log_probability(A.unpacked(flat), np.repeat(state[0, 3:4], A.PLACES, 0), np.full(A.PLACES, c), np.arange(A.PLACES)))
     assert abs(whole.sum() - 1) < 1e-4
@@ -78,7 +78,7 @@ def test_each_token_is_scored_once_and_only_from_the_past(model):
     draw = np.random.default_rng(2)
     for n in (1, 2, A.WINDOW, A.WINDOW + 1, 3 * A.WINDOW, 100):
         ids = draw.integers(0, 3000, n)
-        inputs, cluster, place, known = A.cut(ids, classes)
+        inputs, cluster, place, known = A.expanded(A.raw_windows(ids), classes)
         assert known.sum() == n
         scored = np.stack((cluster[known], place[known]), 1)
         assert sorted(map(tuple, scored)) == sorted(zip(classes.cluster[ids], classes.place[ids], strict=True))
@@ -86,10 +86,10 @@ def test_each_token_is_scored_once_and_only_from_the_past(model):
     a, b = draw.integers(0, 3000, 70), draw.integers(0, 3000, 40)
     apart = [A.log10_probability(flat, classes, [x])[0] for x in (a, b)]
     assert np.allclose(A.log10_probability(flat, classes, [a, b]), apart)
-    state, _ = A.forward(A.unpacked(flat), A.cut(a, classes)[0])
+    state, _ = A.forward(A.unpacked(flat), A.expanded(A.raw_windows(a), classes)[0])
     changed = a.copy()
     changed[9] = (changed[9] + 1) % 3000
-    other, _ = A.forward(A.unpacked(flat), A.cut(changed, classes)[0])
+    other, _ = A.forward(A.unpacked(flat), A.expanded(A.raw_windows(changed), classes)[0])
     assert np.allclose(state[0, :10], other[0, :10]) and not np.allclose(state[0, 10], other[0, 10])
 
 
