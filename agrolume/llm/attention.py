@@ -21,7 +21,8 @@ WIDTH = 16
 #: Clusters and places in each; the last place of a cluster is shared by rare tokens.
 CLUSTERS, PLACES = 32, 32
 OWN = CLUSTERS * (PLACES - 1)
-BATCH = 256
+#: Windows in a step of training, and of scoring.
+BATCH, SCORED = 256, 512
 #: Input class 0 begins a text; frequent tokens follow, then the shared places.
 INPUTS = 1 + OWN + CLUSTERS
 
@@ -151,6 +152,30 @@ def log_probability(p: dict[str, np.ndarray], state: np.ndarray, cluster: np.nda
     return out if grads is None else (out, ds)
 
 
+def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural log of the share of one column per row."""
+    top = logits.max(1)
+    out = logits[np.arange(len(at)), at] - top
+    logits -= top[:, None]
+    np.exp(logits, out=logits)
+    return out - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+
+
+def score_only(p: dict[str, np.ndarray], state: np.ndarray, cluster: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """What log_probability gives without gradients: rows are sorted by cluster, so each cluster is one product."""
+    order = np.argsort(cluster, kind="stable")
+    state, cluster, place = state[order], cluster[order], place[order]
+    edges = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
+    inner = np.empty((len(state), PLACES), state.dtype)
+    for c in range(CLUSTERS):
+        if edges[c] < edges[c + 1]:
+            np.matmul(state[edges[c] : edges[c + 1]], p["token"][c], out=inner[edges[c] : edges[c + 1]])
+    inner += p["token_bias"][cluster]
+    out = np.empty(len(state), np.float64)
+    out[order] = _picked(state @ p["cluster"] + p["cluster_bias"], cluster) + _picked(inner, place)
+    return out
+
+
 def gradient(flat: np.ndarray, inputs: np.ndarray, cluster: np.ndarray, place: np.ndarray, known: np.ndarray) -> tuple[float, np.ndarray]:
     """(mean loss, its gradient) over the known spots of a batch."""
     p, g = unpacked(flat), {}
@@ -219,9 +244,9 @@ def log10_probability(flat: np.ndarray, classes: Classes, texts: list[np.ndarray
     owner = np.repeat(np.arange(len(texts)), [len(x) for x in parts])
     raw = np.concatenate(parts)
     out = np.array([classes.share[ids].sum() for ids in texts])
-    for a in range(0, len(raw), BATCH):
-        inputs, cluster, place, here = expanded(raw[a : a + BATCH], classes)
+    for a in range(0, len(raw), SCORED):
+        inputs, cluster, place, here = expanded(raw[a : a + SCORED], classes)
         state, _ = forward(p, inputs)
-        logp = log_probability(p, state[here], cluster[here], place[here])
-        out += np.bincount(owner[a : a + BATCH].repeat(here.sum(1)), logp, len(texts)) / np.log(10)
+        logp = score_only(p, state[here], cluster[here], place[here])
+        out += np.bincount(owner[a : a + SCORED].repeat(here.sum(1)), logp, len(texts)) / np.log(10)
     return out

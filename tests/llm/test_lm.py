@@ -45,6 +45,11 @@ def model():
     return classes, flat
 
 
+def draw_rows(p):
+    draw = np.random.default_rng(5)
+    return p, draw.normal(size=(300, A.WIDTH)).astype(np.float32), draw.integers(0, A.CLUSTERS, 300), draw.integers(0, A.PLACES, 300)
+
+
 def test_probabilities_sum_to_one(model):
     classes, flat = model
     assert len({(c, p) for c, p in zip(classes.cluster, classes.place, strict=True)}) == A.CLUSTERS * A.PLACES
@@ -57,6 +62,8 @@ def test_probabilities_sum_to_one(model):
     for c in range(A.CLUSTERS):
         whole[c] = np.exp(A.log_probability(A.unpacked(flat), np.repeat(state[0, 3:4], A.PLACES, 0), np.full(A.PLACES, c), np.arange(A.PLACES)))
     assert abs(whole.sum() - 1) < 1e-4
+    rows = draw_rows(A.unpacked(flat))
+    assert np.allclose(A.score_only(*rows), A.log_probability(*rows), atol=1e-4)
     assert np.isclose(np.bincount(classes.cluster * A.PLACES + classes.place, 10**classes.share).sum(), A.CLUSTERS * A.PLACES)
 
 
