@@ -71,18 +71,13 @@ def stac_explode_assets(w: World) -> DataFrame:
     "stac_normalize_landsat",
     "select item_key, asset_key, split_part(href, '?', 1) as href, scale, \"offset\", 'signed_https' as access_mode from "
     "(select a.*, i.item from asset_rows a join item_json i on i.item_key = a.item_key) s "
-    f"where {_j(_P + '\"landsat:collection_category\"')} = 'T1' and {_j(_P + 'platform')} = 'sentinel-2a'",
+    f"where {_j(_P + '\"landsat:collection_category\"')} = 'T1' and {_j(_P + 'platform')} in ('landsat-8', 'landsat-9')",
     tables="asset_rows item_json",
 )
 def stac_normalize_landsat(w: World) -> DataFrame:
-    """Landsat dialect: category and platform filters, canonical links.
-
-    The platform list is a parameter; the test items carry 'sentinel-2a'.
-    """
+    """Landsat dialect: category and platform filters, canonical links."""
     parsed = stac.parse_items(w.item_json.withColumn("raw", c("item")))
-    p = c("i.properties")
-    wanted = parsed.where(p["platform"].isin("sentinel-2a") & (p["landsat:collection_category"] == "T1"))
-    raw = wanted.select("item_key", c("raw").alias("item"))
+    raw = stac.landsat_items(parsed).select("item_key", c("raw").alias("item"))
     return stac.explode_assets(raw, keep=["item_key"], strip_query=True).select(
         "item_key", "asset_key", "href", "scale", "offset", "access_mode"
     )

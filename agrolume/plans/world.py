@@ -166,8 +166,8 @@ ITEM_JSON = {
         "concat('{\"id\":\"S', " + _text("o_orderkey") + ", '\",\"collection\":\"c', "
         + _text("o_custkey % 7")
         + ", '\",\"properties\":{\"datetime\":\"', substring(cast(o_orderdate as varchar(30)), 1, 10), "
-        "'T05:', " + _text("o_orderkey % 50 + 10") + ", ':00Z\",\"platform\":\"sentinel-2', "
-        "case when o_orderkey % 2 = 0 then 'a' else 'b' end, '\",\"eo:cloud_cover\":', "
+        "'T05:', " + _text("o_orderkey % 50 + 10") + ", ':00Z\",\"platform\":\"', "
+        "case o_orderkey % 6 when 0 then 'landsat-8' when 2 then 'landsat-9' when 4 then 'landsat-7' when 1 then 'sentinel-2a' else 'sentinel-2b' end, '\",\"eo:cloud_cover\":', "
         + _text("(o_orderkey*7919) % 101")
         + ", ',\"mgrs:utm_zone\":', " + _text("o_custkey % 60 + 1")
         + ", ',\"mgrs:latitude_band\":\"P\",\"mgrs:grid_square\":\"GR\",\"landsat:collection_category\":\"T', "

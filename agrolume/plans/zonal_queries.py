@@ -273,18 +273,18 @@ def rasterize_polygon(w: World) -> DataFrame:
     "f.x0 + request_id % 7 as x, f.y0 + (request_id*3) % 6 + 25e-2 as y, "
     "request_id % 7 < f.x1 - f.x0 and (request_id*3) % 6 + 25e-2 < f.y1 - f.y0 as inside "
     "from requests join fields f on f.field_id = requests.field_id) r "
-    "join scenes s on s.site = r.site and s.ym % 12 = r.request_id % 12 "
+    "join scenes s on s.site = r.site "
     "left join ndvi_px p on p.scene_id = s.scene_id and p.rw = floor(r.y) and p.cl = floor(r.x) where s.source_no <= 4",
     tables="ndvi_px scenes requests fields",
 )
 def point_sample(w: World) -> DataFrame:
-    """Index value under a clicked point, for the scenes of the request's month."""
+    """Index value under a clicked point, for all scenes of its site."""
     shaped = spatial.with_rectangle(w.fields).select("field_id", "geometry", "x0", "y0")
-    scenes = w.scenes.where("source_no <= 4").selectExpr("scene_id", "site", "ym % 12 as month_no")
+    scenes = w.scenes.where("source_no <= 4").selectExpr("scene_id", "site")
     points = (
-        w.requests.selectExpr("request_id", "field_id", "site", "request_id % 12 as month_no")
+        w.requests.selectExpr("request_id", "field_id", "site")
         .join(shaped, "field_id")
-        .join(scenes, ["site", "month_no"])
+        .join(scenes, "site")
         .selectExpr(
             "request_id", "scene_id", "x0 + request_id % 7 as x",
             "y0 + (request_id*3) % 6 + 0.25D as y", "geometry",

@@ -63,6 +63,17 @@ def storage_class(href: Column) -> tuple[Column, Column]:
     )
 
 
+# The platforms and the collection category of usable Landsat items.
+LANDSAT_PLATFORMS = ("landsat-8", "landsat-9")
+LANDSAT_CATEGORY = "T1"
+
+
+def landsat_items(parsed: DataFrame) -> DataFrame:
+    """The items of ``parse_items`` that are Landsat scenes of the usable category."""
+    p = F.col("i.properties")
+    return parsed.where(p["platform"].isin(*LANDSAT_PLATFORMS) & (p["landsat:collection_category"] == LANDSAT_CATEGORY))
+
+
 def explode_assets(raw: DataFrame, *, keep: list[str], strip_query: bool = False) -> DataFrame:
     """One row per asset with scale, offset (default 0), nodata and storage.
 
