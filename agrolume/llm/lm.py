@@ -22,7 +22,7 @@ from agrolume.llm import attention, tokens
 from agrolume.llm.common import is_true, ship, table, written
 
 #: Every so many windows of a text train the model; the first of a text is among them by its hash.
-EVERY = 8
+EVERY = 16
 #: Times that partitions train and are averaged.
 ROUNDS = 2
 #: Windows that the gradients of a small corpus go over in all; a partition repeats its own up to MOST_PASSES times a round.
@@ -32,7 +32,7 @@ APART = 200_000
 #: A word with a share of at least this of all tokens is looked up where its text is read: there are 1 / SHARE of them at most.
 SHARE = 1e-5
 #: Words counted by a task before it passes counts on.
-HELD = 200_000
+HELD = 500_000
 IDS = 49_408
 LAST = 49_407
 END = b""
