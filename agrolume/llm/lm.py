@@ -1,8 +1,8 @@
 """Language-model scores of whole texts: a unigram base and a causal self-attention model.
 
 Everything learned comes from the training texts: word counts and token counts of all
-their words and tokens, how often frequent tokens follow each other, and gradients over one
-in EVERY windows of each text. Partitions train apart from common parameters and
+their words and tokens, how often frequent tokens follow each other, and gradients over
+every window of each text. Partitions train apart from common parameters and
 the results are averaged, a few times over; what the corpus sends grows with it, what
 the driver holds depends on the vocabulary alone.
 """
@@ -21,12 +21,8 @@ from pyspark.sql import functions as F
 from agrolume.llm import attention, tokens
 from agrolume.llm.common import is_true, ship, table, written
 
-#: Every so many windows of a text train the model; the first of a text is among them by its hash.
-EVERY = 16
-#: Times that partitions train and are averaged.
+#: Times that partitions train and are averaged: each window is gone over once a round, at every size of the corpus.
 ROUNDS = 2
-#: Windows that the gradients of a small corpus go over in all; a partition repeats its own up to MOST_PASSES times a round.
-LEAST_WINDOWS, MOST_PASSES = 1_500_000, 6
 #: Windows that one partition trains on, about.
 APART = 200_000
 #: A word with a share of at least this of all tokens is looked up where its text is read: there are 1 / SHARE of them at most.
@@ -124,36 +120,37 @@ def _follows(held: DataFrame, rank: np.ndarray) -> np.ndarray:
     return out
 
 
-def trained(held: DataFrame) -> tuple[np.ndarray, attention.Classes]:
-    """Parameters and classes learned from the rows of ``held`` (ids of training texts)."""
-    counts = _counts(held)
-    classes, flat = attention.Classes.of(counts, _follows(held, attention.ranks(counts)))
-    sent = held.sparkSession.sparkContext.broadcast(classes)
-    fields = attention.WINDOW + 2
+def training_windows(held: DataFrame) -> DataFrame:
+    """Every window of the rows of ``held`` (ids of training texts), as raw ids."""
 
-    def pick(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 rows = []
-                for x, k in zip(batch.column("ids").slice(a, 500), batch.column("k1").slice(a, 500).to_pylist(), strict=True):
-                    raw = attention.raw_windows(np.append(np.frombuffer(x.as_py(), "<u2"), LAST).astype(np.int64))
-                    rows += [w.tobytes() for w in raw[k % min(EVERY, len(raw)) :: EVERY]]
+                for x in batch.column("ids").slice(a, 500):
+                    rows += [w.tobytes() for w in attention.raw_windows(np.append(np.frombuffer(x.as_py(), "<u2"), LAST).astype(np.int64))]
                 yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["window"])
 
+    return held.select("ids").mapInArrow(cut, "window binary")
+
+
+def trained(held: DataFrame) -> tuple[np.ndarray, attention.Classes]:
+    """Parameters and classes learned from the rows of ``held`` (ids of training texts)."""
+    counts = _counts(held)
+    classes, flat = attention.Classes.of(counts, _follows(held, attention.ranks(counts)))
+    sent = held.sparkSession.sparkContext.broadcast(classes)
+    fields = attention.WINDOW + 2
     # A text has one window more for every FRESH tokens beyond the first; those of one text go to different partitions.
-    n = int(counts.sum() / attention.FRESH / EVERY)
-    passes = min(MOST_PASSES, max(1, round(LEAST_WINDOWS / max(1, n) / ROUNDS)))
-    windows = written(held.select("ids", "k1").mapInArrow(pick, "window binary").repartition(max(1, -(-n // APART))), "windows")
+    n = int(counts.sum() / attention.FRESH)
+    windows = written(training_windows(held).repartition(max(1, -(-n // APART))), "windows")
     for turn in range(ROUNDS if counts.any() else 0):
 
         def learn(batches: Iterator[pa.RecordBatch], flat=flat, turn=turn) -> Iterator[pa.RecordBatch]:
             rows = [np.frombuffer(b"".join(batch.column("window").to_pylist()), np.uint16).reshape(-1, fields) for batch in batches if batch.num_rows]
             if rows:
                 raw = np.concatenate(rows)
-                draw = np.random.default_rng(turn)
-                for p in range(passes):
-                    raw = raw[draw.permutation(len(raw))]
-                    flat = attention.train(flat, raw, sent.value, 0.006 / (1 + turn + p / passes))
+                raw = raw[np.random.default_rng(turn).permutation(len(raw))]
+                flat = attention.train(flat, raw, sent.value, 0.006 / (1 + turn))
                 yield pa.RecordBatch.from_arrays([pa.array([flat.tolist()], pa.list_(pa.float32())), pa.array([len(raw)], pa.int64())], names=["flat", "n"])
 
         models = windows.mapInArrow(learn, "flat array<float>, n bigint").select("n", F.posexplode("flat").alias("i", "x"))
