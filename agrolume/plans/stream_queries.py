@@ -33,8 +33,7 @@ def ledger_stream(w: World) -> DataFrame:
 )
 def stream_dedup_scenes(w: World) -> DataFrame:
     scenes = event_stream(w).selectExpr("event_type as provider", "user_id*7 + event_id % 5 as product_no", "ts")
-    unique = ledger.dedup_scenes(scenes, time="ts", keys=["provider", "product_no"], delay="60 days")
-    return files.collect_batches(unique.drop("ts"), mode="append", label="dedup").drop("batch_id")
+    return ledger.first_sights(scenes, time="ts", keys=["provider", "product_no"]).drop("ts")
 
 
 @query(
@@ -44,10 +43,8 @@ def stream_dedup_scenes(w: World) -> DataFrame:
     tables="ledger_events",
 )
 def stream_daily_ledger(w: World) -> DataFrame:
-    """Daily counts with seven days of lateness, kept by update-mode batches."""
-    counts = ledger.daily_counts(ledger_stream(w), time="heartbeat_at", keys=["source_id"])
-    emitted = files.collect_batches(counts, mode="update", label="daily")
-    return ledger.latest_updates(emitted, ["source_id", "provider_date"])
+    """Daily counts of all events, folded from a partial count per micro-batch."""
+    return ledger.all_daily_counts(ledger_stream(w), time="heartbeat_at", keys=["source_id"])
 
 
 @query(

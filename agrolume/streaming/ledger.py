@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
@@ -29,6 +31,43 @@ def daily_counts(stream: DataFrame, *, time: str, keys: list[str], lateness: str
     )
 
 
+def folded(stream: DataFrame, partial: Callable[[DataFrame], DataFrame], fold: Callable[[DataFrame], DataFrame], *, label: str) -> DataFrame:
+    """Run a finite stream into a store of one partial per micro-batch and fold them: no event is late, no key forgotten."""
+    store = files.BatchStore(stream.sparkSession, label)
+    template = partial(stream).schema
+
+    def each(batch: DataFrame, batch_id: int) -> None:
+        store.save(partial(batch), batch_id)
+
+    files.run_to_end(stream, mode="append", each_batch=each, checkpoint=f"{store.path}/checkpoint")
+    return fold(store.read(StructType(template.fields)))
+
+
+def first_sights(stream: DataFrame, *, time: str, keys: list[str], label: str = "dedup") -> DataFrame:
+    """Each (provider, product) of a finite stream once, with its earliest time."""
+
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys).agg(F.min(time).alias(time))
+
+    return folded(stream, fold, fold, label=label)
+
+
+def all_daily_counts(stream: DataFrame, *, time: str, keys: list[str], label: str = "daily") -> DataFrame:
+    """Scenes per day and key of a finite stream, however late they come."""
+    day = [*keys, "provider_date"]
+
+    def partial(batch: DataFrame) -> DataFrame:
+        return batch.withColumn("provider_date", F.to_date(time)).groupBy(*day).agg(
+            F.count("*").alias("events"), F.sum("scene_count").alias("scene_count"), F.sum("failed_count").alias("failed_count")
+        )
+
+    def fold(partials: DataFrame) -> DataFrame:
+        sums = [F.sum(n).alias(n) for n in ("events", "scene_count", "failed_count")]
+        return partials.groupBy(*day).agg(*sums).select("provider_date", *keys, "events", "scene_count", "failed_count")
+
+    return folded(stream, partial, fold, label=label)
+
+
 def latest_updates(emitted: DataFrame, keys: list[str]) -> DataFrame:
     """Final value per key of an update-mode stream: the newest batch wins."""
     rest = [n for n in emitted.columns if n not in (*keys, "batch_id")]
@@ -66,14 +105,7 @@ def fold_ledger(partials: DataFrame) -> DataFrame:
 
 def upsert_ledger(stream: DataFrame, *, label: str = "ledger") -> DataFrame:
     """Run a finite event stream into a batch store and fold it."""
-    store = files.BatchStore(stream.sparkSession, label)
-    template = partial_ledger(stream).schema
-
-    def each(batch: DataFrame, batch_id: int) -> None:
-        store.save(partial_ledger(batch), batch_id)
-
-    files.run_to_end(stream, mode="append", each_batch=each, checkpoint=f"{store.path}/checkpoint")
-    return fold_ledger(store.read(StructType(template.fields)))
+    return folded(stream, partial_ledger, fold_ledger, label=label)
 
 
 def zonal_updates(pixel_stream: DataFrame, fields: DataFrame, *, label: str = "zonal") -> DataFrame:
