@@ -21,6 +21,8 @@ from pyspark.sql import functions as F
 from agrolume.llm.common import ship, table, written
 
 TOP, SCALE, EVERY = 5, 256, 50
+#: Larger components are held at it.
+LIMIT = 2**62
 #: Pivots are fitted on so many rows and components at most, the least by a hash of their vectors.
 SAMPLE_ROWS, SAMPLE_CELLS = 4096, 4_000_000
 MOST_PIVOTS, ROUNDS = 256, 6
@@ -75,7 +77,7 @@ def integer_vectors(vectors: DataFrame, *, column: str = "embedding", scale: int
     """(vec_id, v): components as floor(scale * x); without rows that have no id, no vector, or a component that is null or not finite."""
     bad = F.exists(column, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     known = vectors.where(F.col("vec_id").isNotNull() & F.col(column).isNotNull() & ~bad)
-    return known.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.transform(column, lambda x: F.floor(x.cast("double") * scale).cast("bigint")).alias("v"))
+    return known.select(F.col("vec_id").cast("bigint").alias("vec_id"), F.transform(column, lambda x: F.greatest(F.least(F.floor(x.cast("double") * scale), F.lit(LIMIT)), F.lit(-LIMIT)).cast("bigint")).alias("v"))
 
 
 def fit_pivots(sample: np.ndarray, n: int) -> np.ndarray:
@@ -94,7 +96,7 @@ def fit_pivots(sample: np.ndarray, n: int) -> np.ndarray:
         sums = np.zeros_like(pivots)
         np.add.at(sums, nearest, points)
         pivots = np.where(size[:, None] > 0, sums / np.maximum(size, 1)[:, None], pivots)
-    return np.clip(np.rint(pivots), -(2.0**62), 2.0**62)
+    return np.clip(np.rint(pivots), -float(LIMIT), float(LIMIT))
 
 
 def _annuli(keyed: DataFrame, shape: Shape) -> DataFrame:
@@ -140,7 +142,7 @@ def build(vectors: DataFrame, *, pivots: int | None = None) -> Index | None:
     """
     spark = vectors.sparkSession
     ship(spark)
-    facts = vectors.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(F.array_max(F.transform("v", lambda x: F.greatest(x, -(x + 1)))))).first()
+    facts = vectors.agg(F.count(F.lit(1)), F.max(F.size("v")), F.max(F.array_max(F.transform("v", F.abs)))).first()
     if not facts[0]:
         return None
     shape = Shape.of(facts[1], (facts[2] or 0) + 1)
@@ -281,7 +283,7 @@ def top_k(vectors: DataFrame, *, column: str = "embedding", every: int = EVERY,
     Components count as floor(scale * x); equal scores go by ascending vec_id. A null id, a null vector, or one with a null or
     non-finite component takes no part. An empty vector scores 0 with all; a shorter one counts as having zeros
     behind. Rows equal in id and vector are one; rows of one id with different vectors are queries and candidates each,
-    only the query's own row is no candidate. Components and scores beyond 64 bits are held at the limit. Other columns are
+    only the query's own row is no candidate. Components beyond 2^62 and scores beyond 64 bits are held at the limit. Other columns are
     ignored. No rows give no rows, a query without another vector gives none.
     """
     index = build(integer_vectors(vectors, column=column, scale=scale), pivots=pivots)
