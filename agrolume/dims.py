@@ -61,6 +61,18 @@ ROLE_COLUMNS = {
 # Sources without a short-wave infrared band.
 NO_SWIR_SOURCES = (3,)
 
+#: Every index with the pixel columns it reads (the same in all families) and the sources that have it.
+INDEX_PAIRS = {
+    name: (ROLE_COLUMNS[first], ROLE_COLUMNS[second]) for roles in INDEX_ROLES.values() for name, (first, second) in roles.items()
+}
+INDEX_SOURCES = {
+    name: tuple(
+        no for no, _, _, _, family in SOURCES
+        if name in INDEX_ROLES.get(family, {}) and not (no in NO_SWIR_SOURCES and "swir" in pair)
+    )
+    for name, pair in INDEX_PAIRS.items()
+}
+
 # Usable / cloud / shadow / nodata mask classes per family.
 MASK_POLICY = {
     "s2": ((4, 5, 6), (8, 9, 10), (3,), (0,)),
@@ -72,6 +84,8 @@ MASK_POLICY = {
 INDEX_SCALE = 10000
 INDEX_NODATA = -32768
 RECI_NODATA = -9999.0
+#: RECI is a float32 raster without a scale; its statistics are taken on this lattice.
+RECI_SCALE = 100000
 SAR_NODATA = -9999.0
 
 # Default threshold classes (label, lower, upper), half open.
@@ -140,6 +154,40 @@ FIELD_MAX_AREA_KM2 = 25.0
 SAR_MAX_CANDIDATES = 12
 
 
+def index_scale(index_name: str) -> int:
+    return RECI_SCALE if index_name == "reci" else INDEX_SCALE
+
+
+# Provider route, atmospheric correction, family part of the formula version and warning of each optical source.
+PROVENANCE = {
+    0: ("earthsearch:sentinel-2-l2a", "vendor-l2a", "s2-v1", None),
+    1: (
+        "planetary-computer:landsat-c2-l2", "usgs-landsat-collection-2-level-2-surface-reflectance", "landsat-c2-v1",
+        "Landsat surface-reflectance analytics use 30 m pixels.",
+    ),
+    2: ("bhoonidhi:ResourceSat-2A_LISS3_BOA", "bhoonidhi-boa", "resourcesat-v1", None),
+    3: ("bhoonidhi:ResourceSat-2A_LISS4-MX70_L2", "bhoonidhi-l2", "resourcesat-v1", None),
+    4: (
+        "bhoonidhi:ResourceSat-2A_AWIFS_BOA", "bhoonidhi-boa", "resourcesat-v1",
+        "AWiFS native resolution is coarse for field-scale analytics.",
+    ),
+}
+
+
+def formula_version(source_no: int, index_name: str) -> str:
+    """The published version name of an index formula (fixed values)."""
+    family = PROVENANCE[source_no][2]
+    if family == "landsat-c2-v1":
+        return f"{index_name}-{family}"
+    if family == "resourcesat-v1" and index_name == "ndwi_green_nir":
+        return "ndwi-green-nir-default-v1"
+    return f"{index_name.replace('_', '-')}-{family}"
+
+
+def optical_indices() -> list[tuple[int, str]]:
+    return [(no, name) for name, sources in INDEX_SOURCES.items() for no in sources]
+
+
 def source_dim(spark: SparkSession) -> DataFrame:
     schema = "source_no long, source_id string, native_m double, window_days int, family string"
     return spark.createDataFrame([tuple(row) for row in SOURCES], schema)
@@ -174,18 +222,21 @@ def mask_policy_dim(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame(rows, schema)
 
 
+def profiled_indices(source_no: int, family: str) -> list[str]:
+    """Indices of a source that have default threshold classes."""
+    if family == "s2":
+        return ["ndvi"]
+    if family == "resourcesat":
+        return [n for n in INDEX_ROLES[family] if source_no in INDEX_SOURCES[n]]
+    return []
+
+
 def threshold_profiles_dim(spark: SparkSession) -> DataFrame:
     """Default threshold profiles: every index of each optical source, per class."""
     rows = []
-    for source_no, source_id, _, _, family in SOURCES:
-        if family == "resourcesat":
-            names = [n for n in INDEX_ROLES[family] if not (source_no in NO_SWIR_SOURCES and n == "ndmi")]
-            version = "resourcesat-thresholds-v1"
-        elif family == "s2":
-            names, version = ["ndvi"], "ndvi-generic-v1"
-        else:
-            continue
-        for name in names:
+    for source_no, _, _, _, family in SOURCES:
+        version = "resourcesat-thresholds-v1" if family == "resourcesat" else "ndvi-generic-v1"
+        for name in profiled_indices(source_no, family):
             for position, (label, lower, upper) in enumerate(THRESHOLD_CLASSES[name]):
                 rows.append((source_no, name, version, position, label, lower, upper))
     return spark.createDataFrame(

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agrolume import dims
@@ -15,7 +15,7 @@ def optical(pixels: DataFrame) -> DataFrame:
     """Reflectance per band plus the mask class, optical sources only."""
     valid = masks.scl_valid(c("scl"))
     return pixels.where("source_no <= 4").select(
-        "scene_id", "source_no", "ym", "rw", "cl",
+        "scene_id", "grid_no", "source_no", "ym", "rw", "cl",
         *[bands.reflectance(c(f"{b}_dn"), c("source_no"), valid).alias(b) for b in bands.BANDS],
         masks.source_mask().alias("mask"),
     )
@@ -30,7 +30,7 @@ def index_raster(pixels: DataFrame, index_name: str) -> DataFrame:
     usable = masks.is_usable()
     value = indices.index_value(index_name, c("nir"), c("red"))
     return optical(pixels).select(
-        "scene_id", "source_no", "ym", "rw", "cl", "mask",
+        "scene_id", "grid_no", "source_no", "ym", "rw", "cl", "mask",
         indices.encode(F.when(usable, value)).alias("code"),
     )
 
@@ -44,17 +44,57 @@ def all_indices(pixels: DataFrame) -> DataFrame:
         .withColumn("bands", bands.band_map())
         .join(roles, "source_no")
         .select(
-            "scene_id", "source_no", "ym", "rw", "cl", "mask", "index_name",
+            "scene_id", "grid_no", "source_no", "ym", "rw", "cl", "mask", "index_name",
             F.when(usable, F.element_at("bands", c("first_band"))).alias("a"),
             F.when(usable, F.element_at("bands", c("second_band"))).alias("b"),
         )
     )
     value = indices.index_value_by_name(c("index_name"), c("a"), c("b"))
     return picked.select(
-        "scene_id", "source_no", "ym", "rw", "cl", "mask", "index_name", value.alias("value")
+        "scene_id", "grid_no", "source_no", "ym", "rw", "cl", "mask", "index_name", value.alias("value")
     )
 
 
+def code_column(index_name: str, value: Column) -> Column:
+    """A value as an integer of its index's scale, NULL for nodata; RECI is not clipped."""
+    if index_name == "reci":
+        return F.rint(value.cast("float").cast("double") * float(dims.RECI_SCALE)).cast("long")
+    clipped = F.least(F.greatest(value, F.lit(-1.0)), F.lit(1.0))
+    return F.when(value.isNotNull(), F.rint(clipped * float(dims.INDEX_SCALE)).cast("long"))
+
+
+def coded(pixels: DataFrame) -> DataFrame:
+    """Optical pixels with a code column per index (``code_<name>``), NULL where a source lacks it or has no data."""
+    usable = masks.is_usable()
+    codes = []
+    for name, (first, second) in dims.INDEX_PAIRS.items():
+        value = indices.index_value(name, c(first), c(second))
+        codes.append(code_column(name, F.when(usable & c("source_no").isin(*dims.INDEX_SOURCES[name]), value)).alias(f"code_{name}"))
+    return optical(pixels).select("scene_id", "grid_no", "source_no", "ym", "rw", "cl", "mask", *codes)
+
+
+def by_index(codes: DataFrame) -> DataFrame:
+    """A row per pixel and index its source has: ``code_<name>`` columns become index_name and code."""
+    entries = [
+        F.when(c("source_no").isin(*sources), F.struct(F.lit(name).alias("index_name"), c(f"code_{name}").alias("code")))
+        for name, sources in dims.INDEX_SOURCES.items()
+    ]
+    keep = [n for n in codes.columns if not n.startswith("code_")]
+    return codes.select(*keep, F.explode(F.array_compact(F.array(*entries))).alias("e")).select(*keep, "e.index_name", "e.code")
+
+
+def of_index(index_name: Column) -> Column:
+    """The code of the index that a row asks for."""
+    out = F.lit(None).cast("long")
+    for name in dims.INDEX_PAIRS:
+        out = F.when(index_name == name, c(f"code_{name}")).otherwise(out)
+    return out
+
+
+def scale_of(index_name: Column) -> Column:
+    return F.when(index_name == "reci", float(dims.RECI_SCALE)).otherwise(float(dims.INDEX_SCALE))
+
+
 def backscatter(pixels_sar: DataFrame, *, power_source: int = 6, power_scale: float = 1e-3) -> DataFrame:
     """Decibels per polarization, NULL where the mask is not valid.
 
@@ -64,7 +104,7 @@ def backscatter(pixels_sar: DataFrame, *, power_source: int = 6, power_scale: fl
     is_power = c("source_no") == power_source
     valid = F.when(is_power, c("valid_mask").between(F.lit(1), c("subswaths"))).otherwise(c("valid_mask") == 128)
     return pixels_sar.select(
-        "scene_id", "source_no", "ym", "rw", "cl",
+        "scene_id", "grid_no", "source_no", "ym", "rw", "cl",
         *[
             F.when(
                 valid,
@@ -77,42 +117,39 @@ def backscatter(pixels_sar: DataFrame, *, power_source: int = 6, power_scale: fl
     )
 
 
-def summary(codes: DataFrame, keys: list[str], dtype: str = "int16") -> DataFrame:
-    """Valid count, minimum and maximum of an encoded raster, nodata ignored."""
-    value = indices.decode(c("code"))
-    return codes.groupBy(*keys).agg(
-        F.lit(dtype).alias("dtype"),
-        F.count(value).alias("valid_count"),
-        F.min(value).alias("min_value"),
-        F.max(value).alias("max_value"),
+def summary(codes: DataFrame, keys: list[str]) -> DataFrame:
+    """Type, valid count, minimum and maximum of each raster of ``by_index`` rows, nodata ignored."""
+    scale = scale_of(c("index_name"))
+    return codes.groupBy(*keys, "index_name").agg(F.count("code").alias("valid_count"), F.min("code").alias("lo"), F.max("code").alias("hi")).select(
+        *keys, "index_name", F.when(c("index_name") == "reci", "float32").otherwise("int16").alias("dtype"), "valid_count",
+        (c("lo") / scale).alias("min_value"), (c("hi") / scale).alias("max_value"),
     )
 
 
 def overview_pyramid(codes: DataFrame, levels: tuple[int, ...]) -> DataFrame:
-    """Coarser levels: mean for the index, first cell (row, column) for the mask.
+    """Coarser levels of ``coded`` rasters: mean of each index, first cell (row, column) of the mask.
 
     Each level is taken from the finest level's sums, so every level is exact
-    and all of them share one scan and one shuffle.
+    and all levels and indices share one scan and one shuffle; a coarse cell
+    becomes a row per index only after it has been summed.
     """
     level = F.explode(F.array(*[F.lit(n) for n in levels])).alias("level")
-    code = F.nullif(c("code"), F.lit(dims.INDEX_NODATA).cast("short")).cast("long")
-    cells = codes.select("scene_id", "rw", "cl", "mask", code.alias("code"), level)
+    names = list(dims.INDEX_PAIRS)
+    cells = codes.select("scene_id", "source_no", "rw", "cl", "mask", *[f"code_{n}" for n in names], level)
     size = F.pow(F.lit(2.0), c("level"))
-    return (
-        cells.groupBy(
-            "level", "scene_id",
-            F.floor(c("rw") / size).alias("out_r"),
-            F.floor(c("cl") / size).alias("out_c"),
-        )
-        .agg(
-            F.sum("code").alias("total"),
-            F.count("code").alias("n"),
-            # A plain number as the order keeps this a hash aggregate.
-            F.min_by("mask", F.shiftleft(c("rw"), 31) + c("cl")).alias("mask"),
-        )
-        .select(
-            "level", "scene_id", c("out_r").alias("rw"), c("out_c").alias("cl"),
-            F.when(c("n") > 0, c("total") / (c("n") * 10000.0)).alias("mean_value"),
-            "mask",
-        )
+    summed = cells.groupBy(
+        "level", "scene_id", "source_no", F.floor(c("rw") / size).alias("out_r"), F.floor(c("cl") / size).alias("out_c")
+    ).agg(
+        # A plain number as the order keeps this a hash aggregate.
+        F.min_by("mask", F.shiftleft(c("rw"), 31) + c("cl")).alias("mask"),
+        *[F.sum(f"code_{n}").alias(f"sum_{n}") for n in names], *[F.count(f"code_{n}").alias(f"n_{n}") for n in names],
+    )
+    entries = [
+        F.when(c("source_no").isin(*sources), F.struct(
+            F.lit(n).alias("index_name"), F.when(c(f"n_{n}") > 0, c(f"sum_{n}") / (c(f"n_{n}") * float(dims.index_scale(n)))).alias("mean_value")
+        ))
+        for n, sources in dims.INDEX_SOURCES.items()
+    ]
+    return summed.select("level", "scene_id", c("out_r").alias("rw"), c("out_c").alias("cl"), "mask", F.explode(F.array_compact(F.array(*entries))).alias("e")).select(
+        "level", "scene_id", "rw", "cl", "mask", "e.index_name", "e.mean_value"
     )

@@ -61,6 +61,25 @@ def join_request_scenes(
     )
 
 
+#: Days of the buckets in which date ranges and scenes meet.
+RANGE_BUCKET = 64
+
+
+def join_date_range(asked: DataFrame, scenes: DataFrame, *, on: tuple[str, ...], start: Column, end: Column, bucket_days: int = RANGE_BUCKET) -> DataFrame:
+    """Every (asked, scene) pair whose acquisition lies in the asked row's own range of days, both ends included.
+
+    Ranges are spread over buckets of days and a scene lies in one of them, so
+    pairs meet once however long a range is.
+    """
+    first, last = F.unix_date(start), F.unix_date(end)
+    spread = asked.withColumns({"first_day": first, "last_day": last}).where("last_day >= first_day").withColumn(
+        "bucket", F.explode(F.sequence(F.floor(c("first_day") / bucket_days), F.floor(c("last_day") / bucket_days)))
+    )
+    offered = scenes.withColumn("bucket", F.floor(F.unix_date("acq_date") / bucket_days))
+    met = spread.join(offered, [*on, "bucket"])
+    return met.where(F.unix_date("acq_date").between(c("first_day"), c("last_day"))).drop("bucket", "first_day", "last_day")
+
+
 def ranked_per(df: DataFrame, keys: list[str], order: list[Column], limit: int | None = None, rank: str = "rank") -> DataFrame:
     """All rows with their position per key in ``order``; with a limit also whether it reaches them."""
     out = df.withColumn(rank, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)))
@@ -223,26 +242,23 @@ def field_sar(requests: DataFrame, cands: DataFrame, coverage: DataFrame, *, min
     )
 
 
-def sar_history(
-    selected: DataFrame, scenes: DataFrame, coverage: DataFrame, *,
-    on: tuple[str, ...], lookback_days: int = 180, max_observations: int = 8, min_coverage: float = 95.0,
-) -> DataFrame:
+def history_pairs(selected: DataFrame, scenes: DataFrame, *, on: tuple[str, ...]) -> DataFrame:
+    """Accepted scenes before each selected observation, within its request's own ``lookback_days``."""
+    asked = selected.select(
+        "request_id", "field_id", *on, "lookback_days", "max_observations", c("scene_id").alias("current_scene_id"), c("acq_date").alias("current_date"),
+    )
+    start = F.date_sub("current_date", c("lookback_days"))
+    return join_date_range(asked, scenes.where("status = 'accepted'"), on=on, start=start, end=F.date_sub("current_date", 1))
+
+
+def sar_history(pairs: DataFrame, coverage: DataFrame, *, min_coverage: float = 95.0) -> DataFrame:
     """Earlier qualified scenes of each selected observation, newest first, all within the look-back.
 
-    ``within_limit`` marks the newest ``max_observations``.
+    ``within_limit`` marks the newest ``max_observations`` of the request.
     """
-    # The look-back ends the day before the selected scene: centre the window on it.
-    asked = selected.select(
-        "request_id", "field_id", *on, c("scene_id").alias("current_scene_id"),
-        c("acq_date").alias("request_date"),
-    )
-    pairs = join_request_scenes(asked, scenes, on=on, window_days=lookback_days).where(
-        c("acq_date") < c("request_date")
-    )
-    good = pairs.where("status = 'accepted'").join(coverage, ["field_id", "scene_id"]).where(
-        c("coverage_percent") >= min_coverage
-    )
-    return ranked_per(good, ["request_id"], [c("acq_date").desc(), c("product_id")], max_observations, "position")
+    good = pairs.join(coverage, ["field_id", "scene_id"]).where(c("coverage_percent") >= min_coverage)
+    ranked = ranked_per(good, ["request_id"], [c("acq_date").desc(), c("product_id")], rank="position")
+    return ranked.withColumn("within_limit", c("position") <= c("max_observations"))
 
 
 def top_by_overlap(candidates_df: DataFrame, keys: list[str], k: int, *, by_product: bool = False) -> DataFrame:

@@ -22,22 +22,27 @@ def with_rectangle(fields: DataFrame, name: str = "geometry") -> DataFrame:
     return fields.withColumn(name, poly.rectangle(c("x0"), c("y0"), c("x1"), c("y1")))
 
 
-def spans(fields: DataFrame, *, key: str = "field_id", geometry: str = "geometry") -> DataFrame:
+def spans(
+    fields: DataFrame, *, key: str | tuple[str, ...] = "field_id", geometry: str = "geometry", extent: tuple[str, str, str, str] | None = None
+) -> DataFrame:
     """(key, rw, c0, c1): columns c0 <= cl < c1 of row rw lie inside the polygon.
 
     A pixel centre on an edge counts as inside on the left and bottom edges
-    only, so neighbouring fields never share a pixel.
+    only, so neighbouring fields never share a pixel. ``extent`` names the first
+    row and column, height and width of a raster that spans are clipped to.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     box = poly.bounds(c(geometry))
+    first, past = F.ceil(c("box.y0") - 0.5), F.ceil(c("box.y1") - 0.5)
+    if extent:
+        row0, col0, height, width = (c(n) for n in extent)
+        first, past = F.greatest(first, row0), F.least(past, row0 + height)
     rows = (
-        fields.select(key, poly.edges(c(geometry)).alias("edges"), box.alias("box"))
-        .select(
-            key, "edges",
-            F.ceil(c("box.y0") - 0.5).alias("first"), F.ceil(c("box.y1") - 0.5).alias("past"),
-        )
+        fields.select(*keys, *(extent or ()), poly.edges(c(geometry)).alias("edges"), box.alias("box"))
+        .select(*keys, *(extent or ()), "edges", first.alias("first"), past.alias("past"))
         .where("past > first")
-        .select(key, "edges", F.explode(F.sequence(c("first"), c("past") - 1)).alias("rw"))
-        .select(key, "rw", poly.crossings(c("edges"), c("rw") + 0.5).alias("xs"))
+        .select(*keys, *(extent or ()), "edges", F.explode(F.sequence(c("first"), c("past") - 1)).alias("rw"))
+        .select(*keys, *(extent or ()), "rw", poly.crossings(c("edges"), c("rw") + 0.5).alias("xs"))
     )
 
     def pair(x: Column, i: Column) -> Column:
@@ -49,34 +54,42 @@ def spans(fields: DataFrame, *, key: str = "field_id", geometry: str = "geometry
         )
 
     pairs = F.transform("xs", pair)
-    return rows.select(key, "rw", F.inline(pairs)).where("c1 > c0")
+    out = rows.select(*keys, *(extent or ()), "rw", F.inline(pairs))
+    if extent:
+        # An odd crossing opens nothing: its NULL must not become the edge of the raster.
+        out = out.where("c1 is not null").withColumns({"c0": F.greatest(c("c0"), col0), "c1": F.least(c("c1"), col0 + width)})
+    return out.select(*keys, "rw", "c0", "c1").where("c1 > c0")
 
 
 def join_spans(
-    pixels: DataFrame, field_spans: DataFrame, *, tile: int = TILE, salt: int = 1
+    pixels: DataFrame, field_spans: DataFrame, *, tile: int = TILE, salt: int = 1, on: tuple[str, ...] = ()
 ) -> DataFrame:
     """Pixels inside spans: equi-join on (row, column tile), then the bounds.
 
-    Spark's own size check decides whether the spans are broadcast; otherwise
-    it is a shuffle join whose hot partitions AQE splits. ``salt`` > 1 spreads
-    one pixel row segment over that many extra keys (the spans are repeated),
-    for tables where a single place holds a large share of all pixels.
+    ``on`` names further columns that must be equal, such as the grid. Spark's
+    own size check decides whether the spans are broadcast; otherwise it is a
+    shuffle join whose hot partitions AQE splits. ``salt`` > 1 spreads one pixel
+    row segment over that many extra keys (the spans are repeated), for tables
+    where a single place holds a large share of all pixels.
     """
     def cell_key(tile_c: Column) -> Column:
-        # One long for (row, tile) keeps the hash table on its fast path.
-        return c("rw") * F.lit(1 << 24) + tile_c
+        # One long for all keys keeps the hash table on its fast path; what it stands for is compared again below.
+        return F.xxhash64(*on, c("rw"), tile_c) if on else c("rw") * F.lit(1 << 24) + tile_c
 
     keyed = pixels.withColumn("cell_key", cell_key(F.floor(c("cl") / tile)))
     parts = field_spans.withColumn(
         "tile_c", F.explode(F.sequence(F.floor(c("c0") / tile), F.floor((c("c1") - 1) / tile)))
-    ).withColumn("cell_key", cell_key(c("tile_c"))).withColumnRenamed("rw", "span_rw").drop("tile_c")
+    ).withColumn("cell_key", cell_key(c("tile_c"))).drop("tile_c")
+    parts = parts.withColumnsRenamed({"rw": "span_rw", **{n: f"span_{n}" for n in on}})
     keys = ["cell_key"]
     if salt > 1:
         keyed = keyed.withColumn("salt", F.pmod(F.xxhash64("scene_id", "cl"), F.lit(salt)).cast("int"))
         parts = parts.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         keys.append("salt")
     inside = (c("cl") >= c("c0")) & (c("cl") < c("c1")) & (c("rw") == c("span_rw"))
-    return keyed.join(parts, keys).where(inside).drop("cell_key", "span_rw", "c0", "c1", "salt")
+    for name in on:
+        inside = inside & (c(name) == c(f"span_{name}"))
+    return keyed.join(parts, keys).where(inside).drop("cell_key", "span_rw", "c0", "c1", "salt", *[f"span_{n}" for n in on])
 
 
 def join_field_pixels(

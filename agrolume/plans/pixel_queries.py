@@ -50,7 +50,7 @@ def _refl(band: str) -> str:
 add_table(
     "optical",
     "pixels",
-    "select scene_id, source_no, ym, rw, cl, "
+    "select scene_id, grid_no, source_no, ym, rw, cl, "
     + ", ".join(_refl(b) for b in bands.BANDS)
     + f", cast({_MASK} as integer) as mask from pixels where source_no <= 4",
 )
@@ -73,7 +73,7 @@ _CODE = "cast(round_even(least(greatest(v, -1e0), 1e0)*10000e0, 0) as smallint)"
 add_table(
     "index_px",
     "optical",
-    "select scene_id, source_no, ym, rw, cl, mask, index_name, "
+    "select scene_id, grid_no, source_no, ym, rw, cl, mask, index_name, "
     f"case when index_name = 'msavi' then {_MSAVI} when index_name = 'reci' then {_RECI} else {_ND} end as v "
     f"from (select o.*, r.index_name, case when {_USABLE} then case first_band {_PICK} end end as a, "
     f"case when {_USABLE} then case second_band {_PICK} end end as b "
@@ -82,11 +82,19 @@ add_table(
 add_table(
     "ndvi_px",
     "optical",
-    f"select scene_id, source_no, ym, rw, cl, mask, case when v is null then -32768 else {_CODE} end as code from ("
+    f"select scene_id, grid_no, source_no, ym, rw, cl, mask, case when v is null then -32768 else {_CODE} end as code from ("
     f"select *, {_ND} as v from (select *, case when {_USABLE} then nir end as a, "
     f"case when {_USABLE} then red end as b from optical) s) t",
 )
 
+# Every index in its own integer scale, NULL for nodata.
+_LONG_CODE = (
+    f"case when v is null then null when index_name = 'reci' then cast(round_even(cast(cast(v as float) as double)*{dims.RECI_SCALE}e0, 0) as bigint) "
+    f"else cast({_CODE} as bigint) end"
+)
+INDEX_UNIT = f"(case when index_name = 'reci' then {dims.RECI_SCALE}e0 else {dims.INDEX_SCALE}e0 end)"
+add_table("codes_px", "index_px", f"select * exclude (v), {_LONG_CODE} as code from index_px")
+
 # --- scans -----------------------------------------------------------------
 
 
@@ -105,25 +113,24 @@ def scan_pixels_window(w: World) -> DataFrame:
 
 @query(
     "raster_summary",
-    "select scene_id, 'int16' as dtype, count(case when code <> -32768 then 1 end) as valid_count, "
-    "min(nullif(code, -32768))/10000e0 as min_value, max(nullif(code, -32768))/10000e0 as max_value "
-    "from ndvi_px group by scene_id",
-    tables="ndvi_px",
+    "select scene_id, index_name, case when index_name = 'reci' then 'float32' else 'int16' end as dtype, count(code) as valid_count, "
+    f"min(code)/{INDEX_UNIT} as min_value, max(code)/{INDEX_UNIT} as max_value from codes_px group by scene_id, index_name",
+    tables="codes_px",
 )
 def raster_summary(w: World) -> DataFrame:
-    return raster.summary(raster.index_raster(w.pixels, "ndvi"), keys=["scene_id"])
+    return raster.summary(raster.by_index(raster.coded(w.pixels)), keys=["scene_id"])
 
 
 @query(
     "overview_pyramid",
-    "select l.level, p.scene_id, cast(floor(rw/pow(2,l.level)) as bigint) as rw, cast(floor(cl/pow(2,l.level)) as bigint) as cl, "
-    "case when count(nullif(code,-32768)) > 0 then sum(nullif(code,-32768))/(count(nullif(code,-32768))*10000e0) end as mean_value, "
+    "select l.level, p.scene_id, index_name, cast(floor(rw/pow(2,l.level)) as bigint) as rw, cast(floor(cl/pow(2,l.level)) as bigint) as cl, "
+    f"case when count(code) > 0 then sum(code)/(count(code)*{INDEX_UNIT}) end as mean_value, "
     "cast(arg_min(mask, rw*1000000 + cl) as integer) as mask "
-    "from ndvi_px p cross join (values (1),(2),(3)) as l(level) group by 1,2,3,4",
-    tables="ndvi_px",
+    "from codes_px p cross join (values (1),(2),(3)) as l(level) group by 1,2,3,4,5",
+    tables="codes_px",
 )
 def overview_pyramid(w: World) -> DataFrame:
-    return raster.overview_pyramid(raster.index_raster(w.pixels, "ndvi"), levels=(1, 2, 3))
+    return raster.overview_pyramid(raster.coded(w.pixels), levels=(1, 2, 3))
 
 
 # --- reflectance -----------------------------------------------------------
@@ -231,13 +238,12 @@ def index_all_sources(w: World) -> DataFrame:
     "select scene_id, rw, cl, index_name, "
     f"case when index_name = 'reci' then null when v is null then -32768 else {_CODE} end as code, "
     "case when index_name = 'reci' then round(cast(coalesce(cast(v as float), -9999) as double), 4) end as reci_value "
-    "from index_px where source_no = 0 and index_name in ('ndvi', 'reci')",
+    "from index_px",
     tables="index_px",
 )
 def index_encode(w: World) -> DataFrame:
-    long = raster.all_indices(w.pixels).where("source_no = 0 and index_name in ('ndvi', 'reci')")
     is_reci = c("index_name") == "reci"
-    return long.select(
+    return raster.all_indices(w.pixels).select(
         "scene_id", "rw", "cl", "index_name",
         F.when(~is_reci, indices.encode(c("value"))).alias("code"),
         F.when(is_reci, F.round(indices.encode_reci(c("value")).cast("double"), 4)).alias("reci_value"),
@@ -379,7 +385,7 @@ _DB = (
 add_table(
     "sar_px",
     "pixels_sar",
-    f"select scene_id, source_no, ym, rw, cl, valid_mask, {_DB.format('hh')}, {_DB.format('hv')} from pixels_sar",
+    f"select scene_id, grid_no, source_no, ym, rw, cl, valid_mask, {_DB.format('hh')}, {_DB.format('hv')} from pixels_sar",
 )
 
 
@@ -460,10 +466,10 @@ _CONTRAST = "case " + " ".join(
 )
 def render_contrast_profile(w: World) -> DataFrame:
     codes = raster.index_raster(w.pixels, "ndvi")
-    summary = raster.summary(codes, keys=["scene_id"]).select("scene_id", "min_value", "max_value")
+    value = indices.decode(c("code"))
+    summary = codes.groupBy("scene_id").agg(F.min(value).alias("min_value"), F.max(value).alias("max_value"))
     low, high = c("min_value"), c("max_value")
     applied, reason = render.contrast_profile(F.lit("ndvi"), low, high)
-    value = indices.decode(c("code"))
     return codes.join(summary, "scene_id").select(
         "scene_id", "rw", "cl",
         applied.alias("applied"),

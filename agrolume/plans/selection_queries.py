@@ -7,12 +7,10 @@ from pyspark.sql import functions as F
 
 from agrolume import dims
 from agrolume.functions import render, sar
-from agrolume.functions.rounding import r6
-from agrolume.operators import raster, selection, zonal
+from agrolume.operators import georef, raster, selection, zonal
 from agrolume.plans.registry import query
 from agrolume.plans.world import World, add_table
-from agrolume.plans.zonal_queries import field_backscatter, field_pixels, ndvi_profiles
-from agrolume.session import stored
+from agrolume.plans.zonal_queries import field_spans, index_profiles
 
 c = F.col
 CATALOG_KEYS = ("source_no", "aoi_no")
@@ -37,7 +35,7 @@ add_table(
 add_table(
     "px_pairs",
     "requests scenes",
-    "select r.request_id, r.field_id, r.request_date, r.max_cloud, s.*, abs(s.acq_date - r.request_date) as date_distance "
+    "select r.request_id, r.field_id, r.request_date, r.max_cloud, r.index_name, s.*, abs(s.acq_date - r.request_date) as date_distance "
     "from requests r join scenes s on s.source_no = r.source_no and s.site = r.site "
     f"and abs(s.acq_date - r.request_date) <= {_WINDOW.format('r.source_no')}",
 )
@@ -50,11 +48,11 @@ add_table(
 add_table(
     "best",
     "px_cands quality",
-    "select * from (select p.request_id, p.field_id, p.scene_id, p.source_no, p.acq_date, p.product_id, p.date_distance, "
+    "select * from (select p.request_id, p.field_id, p.scene_id, p.source_no, p.index_name, p.acq_date, p.product_id, p.date_distance, "
     "q.valid_px, q.min, q.max, q.mean, q.median, q.stddev, q.usable_percent, q.coverage_percent, q.cloud_percent as field_cloud, "
     "q.shadow_percent, q.obscured_percent, row_number() over (partition by p.request_id order by p.date_distance, "
     "q.usable_percent desc, q.coverage_percent desc, q.obscured_percent, p.product_id) as rn "
-    "from px_cands p join quality q on q.field_id = p.field_id and q.scene_id = p.scene_id "
+    "from px_cands p join quality q on q.field_id = p.field_id and q.scene_id = p.scene_id and q.index_name = p.index_name "
     "where p.status = 'accepted' and q.valid_px >= 1 and q.coverage_percent >= 95 and q.obscured_percent <= p.max_cloud) s where rn = 1",
 )
 
@@ -154,19 +152,26 @@ def latest_exact_date(w: World) -> DataFrame:
 # --- best scene and field answers -------------------------------------------
 
 
-def graded_options(w: World, joined: DataFrame) -> DataFrame:
-    """Candidates with raster outputs, joined to their field statistics."""
-    found = selection.candidates(w.requests, w.scenes, on=SITE_KEYS).where("status = 'accepted'")
-    quality = (
-        zonal.field_scene_quality(joined)
-        .drop("source_no")
-        .withColumnRenamed("cloud_percent", "field_cloud")
-    )
-    options = found.join(quality, ["field_id", "scene_id"])
-    return options.where(selection.is_eligible(c("max_cloud")))
+PAIR = ["field_id", "scene_id"]
+
+
+def wanted_pairs(found: DataFrame, *more: str) -> DataFrame:
+    """The distinct (field, scene) pairs that anybody asks for."""
+    return found.select(*PAIR, "grid_no", *more).distinct()
+
+
+def gated(w: World, found: DataFrame) -> DataFrame:
+    """Candidates with what the quality gates judge: pixels of the candidate pairs only are read, and only counted."""
+    pixels = georef.join_wanted(raster.coded(w.pixels), field_spans(w), wanted_pairs(found))
+    counts = zonal.gate_counts(pixels).drop("source_no")
+    return zonal.gates(found.join(counts, PAIR))
 
 
-_STATS = ["valid_px", "min", "max", "mean", "median", "stddev", "field_cloud", "shadow_percent"]
+def graded_options(w: World) -> DataFrame:
+    """Accepted candidates that pass the gates."""
+    found = selection.candidates(w.requests, w.scenes, on=SITE_KEYS).where("status = 'accepted' and index_name is not null")
+    found = found.select("request_id", *PAIR, "grid_no", "source_no", "index_name", "acq_date", "product_id", "date_distance", "max_cloud")
+    return gated(w, found).where(selection.is_eligible(c("max_cloud")))
 
 
 @query(
@@ -176,110 +181,86 @@ _STATS = ["valid_px", "min", "max", "mean", "median", "stddev", "field_cloud", "
     tables="best",
 )
 def best_scene(w: World) -> DataFrame:
-    picked = selection.best_scene(
-        graded_options(w, field_pixels(w)), payload=["field_id", "scene_id", "acq_date", "valid_px"]
-    )
+    picked = selection.best_scene(graded_options(w), payload=["field_id", "scene_id", "acq_date", "valid_px"])
     return picked.select(
         "request_id", "field_id", "scene_id", "acq_date", c("date_distance").cast("long").alias("date_distance"),
         "usable_percent", "coverage_percent", "obscured_percent", "valid_px",
     )
 
 
-def provenance(source_no: F.Column) -> dict[str, F.Column]:
-    """Route, versions, warnings of each optical source (fixed values)."""
-    landsat, sentinel = source_no == 1, source_no == 0
-    route = (
-        F.when(landsat, "planetary-computer:landsat-c2-l2")
-        .when(source_no == 2, "bhoonidhi:ResourceSat-2A_LISS3_BOA")
-        .when(source_no == 3, "bhoonidhi:ResourceSat-2A_LISS4-MX70_L2")
-        .when(source_no == 4, "bhoonidhi:ResourceSat-2A_AWIFS_BOA")
-        .otherwise("earthsearch:sentinel-2-l2a")
-    )
-    correction = (
-        F.when(landsat, "usgs-landsat-collection-2-level-2-surface-reflectance")
-        .when(sentinel, "vendor-l2a")
-        .when(source_no == 3, "bhoonidhi-l2")
-        .otherwise("bhoonidhi-boa")
-    )
-    formula = (
-        F.when(landsat, "ndvi-landsat-c2-v1").when(sentinel, "ndvi-s2-v1").otherwise("ndvi-resourcesat-v1")
-    )
-    warning = F.when(landsat, "Landsat surface-reflectance analytics use 30 m pixels.").when(
-        source_no == 4, "AWiFS native resolution is coarse for field-scale analytics."
-    )
-    return {
-        "provider_route": route,
-        "atmospheric_correction": correction,
-        "formula_version": formula,
-        "warning": warning,
-        "quality_status": F.when(warning.isNotNull(), "WARN").otherwise("GOOD"),
-    }
-
-
-_ROUTES = (
-    "case source_no when 1 then 'planetary-computer:landsat-c2-l2' when 2 then 'bhoonidhi:ResourceSat-2A_LISS3_BOA' "
-    "when 3 then 'bhoonidhi:ResourceSat-2A_LISS4-MX70_L2' when 4 then 'bhoonidhi:ResourceSat-2A_AWIFS_BOA' "
-    "else 'earthsearch:sentinel-2-l2a' end as provider_route, case source_no when 1 then "
-    "'usgs-landsat-collection-2-level-2-surface-reflectance' when 0 then 'vendor-l2a' when 3 then 'bhoonidhi-l2' "
-    "else 'bhoonidhi-boa' end as atmospheric_correction, case source_no when 1 then 'ndvi-landsat-c2-v1' when 0 then 'ndvi-s2-v1' "
-    "else 'ndvi-resourcesat-v1' end as formula_version, case source_no when 1 then "
-    "'Landsat surface-reflectance analytics use 30 m pixels.' when 4 then "
-    "'AWiFS native resolution is coarse for field-scale analytics.' end as warning, "
-    "case when source_no in (1, 4) then 'WARN' else 'GOOD' end as quality_status"
-)
+def _by_source(position: int, kind: str) -> str:
+    """A source's provenance value as an expression that Spark and DuckDB share."""
+    cases = " ".join(f"when {no} then {kind.format(row[position])}" for no, row in dims.PROVENANCE.items() if row[position] is not None)
+    return f"case source_no {cases} end"
+
+
+_FORMULAS = "case source_no " + " ".join(
+    f"when {no} then case index_name " + " ".join(f"when '{n}' then '{dims.formula_version(no, n)}'" for k, n in dims.optical_indices() if k == no) + " end"
+    for no in dims.PROVENANCE
+) + " end"
+_DISPLAY = "case index_name " + " ".join(f"when '{n}' then '{row[0]}'" for n, row in dims.VISUALIZATION.items()) + " end"
+PROVENANCE = {
+    "provider_route": _by_source(0, "'{}'"),
+    "atmospheric_correction": _by_source(1, "'{}'"),
+    "formula_version": _FORMULAS,
+    "warning": _by_source(3, "'{}'"),
+    "quality_status": f"case when {_by_source(3, '1')} = 1 then 'WARN' else 'GOOD' end",
+    "display_profile": _DISPLAY,
+}
 _CLASSES = ", ".join(
-    f"({no}, {i}, '{label}', {lower}::double, {upper}::double, {native * native}::double, "
+    f"({no}, '{name}', {i}, '{label}', {lower}::double, {upper}::double, {native * native}::double, "
     f"'{'ndvi-generic-v1' if family == 's2' else 'resourcesat-thresholds-v1'}')"
     for no, _, native, _, family in dims.SOURCES
-    if family in ("s2", "resourcesat")
-    for i, (label, lower, upper) in enumerate(dims.THRESHOLD_CLASSES["ndvi"])
+    for name in dims.profiled_indices(no, family)
+    for i, (label, lower, upper) in enumerate(dims.THRESHOLD_CLASSES[name])
 )
 
 
 @query(
     "field_index",
-    "select b.request_id, b.field_id, b.scene_id, b.acq_date, b.valid_px, b.min, b.max, b.mean, b.median, b.stddev, "
+    "select b.request_id, b.field_id, b.scene_id, b.index_name, b.acq_date, b.valid_px, b.min, b.max, b.mean, b.median, b.stddev, "
     "b.usable_percent, b.coverage_percent, b.field_cloud as cloud_percent, b.shadow_percent, b.obscured_percent, "
-    + _NATIVE.format("b.source_no") + " as native_m, " + _ROUTES.replace("source_no", "b.source_no") + ", "
+    + _NATIVE.format("b.source_no") + " as native_m, "
+    + ", ".join(f"{e.replace('source_no', 'b.source_no').replace('index_name', 'b.index_name')} as {n}" for n, e in PROVENANCE.items()) + ", "
     "case when b.min = b.max then 'standard' else 'contrast' end as render_profile, "
-    "case when b.min = b.max then 'constant_scene' end as render_fallback, 'ndvi-default-v1' as display_profile, "
+    "case when b.min = b.max then 'constant_scene' end as render_fallback, "
     "c.profile_version as threshold_profile, c.class_no, c.label, "
     "round(count(case when f.code >= round(lower*10000) and f.code < round(upper*10000) then 1 end)*any_value(pixel_area), 6) as area_m2, "
     "round(count(case when f.code >= round(lower*10000) and f.code < round(upper*10000) then 1 end)*100e0/nullif(count(f.code), 0), 6) as area_percent "
-    f"from best b left join (values {_CLASSES}) as c(sno, class_no, label, lower, upper, pixel_area, profile_version) on c.sno = b.source_no "
-    "left join fpx f on f.field_id = b.field_id and f.scene_id = b.scene_id and f.code <> -32768 and c.class_no is not null "
+    f"from best b left join (values {_CLASSES}) as c(sno, iname, class_no, label, lower, upper, pixel_area, profile_version) "
+    "on c.sno = b.source_no and c.iname = b.index_name "
+    "left join fpi f on f.field_id = b.field_id and f.scene_id = b.scene_id and f.index_name = b.index_name and f.code is not null and c.class_no is not null "
     "group by all",
-    tables="best fpx",
+    tables="best fpi",
 )
 def field_index(w: World) -> DataFrame:
-    """The whole answer: chosen scene, statistics, classes, profiles, versions.
+    """The whole answer: chosen scene, statistics, classes, profiles, versions of the asked index.
 
-    One row per threshold class of the chosen scene; sources without a default
-    threshold profile answer with a single row.
+    One row per threshold class of the chosen scene; sources and indices without
+    a default threshold profile answer with a single row. Candidates are only
+    counted; statistics and classes come from one histogram of the chosen pairs.
     """
-    joined = field_pixels(w)
-    picked = selection.best_scene(
-        graded_options(w, joined), payload=["field_id", "scene_id", "acq_date", "source_no", *_STATS]
+    shares = ["index_name", "valid_px", "cloud_percent", "shadow_percent"]
+    picked = selection.best_scene(graded_options(w), payload=[*PAIR, "grid_no", "acq_date", "source_no", *shares])
+    chosen = georef.join_wanted(raster.coded(w.pixels), field_spans(w), wanted_pairs(picked, "index_name"))
+    keys = (*PAIR, "index_name")
+    hist = zonal.histogram(chosen.withColumn("code", raster.of_index(c("index_name"))), keys=(*keys, "source_no"), nodata=None)
+    stats = zonal.stats_from_histogram(hist, keys=keys, unit=raster.scale_of(c("index_name"))).select(*keys, "min", "max", "mean", "median", "stddev")
+    classes = zonal.classes_from_histogram(hist, index_profiles(w), keys=keys).drop("lower", "upper")
+    versions = dims.threshold_profiles_dim(w.spark).select(
+        "source_no", "index_name", "class_no", c("profile_version").alias("threshold_profile")
     )
-    chosen = picked.select("field_id", "scene_id").distinct()
-    classes = zonal.class_areas(
-        joined.join(chosen, ["field_id", "scene_id"], "left_semi"), ndvi_profiles(w)
-    ).drop("lower", "upper")
-    versions = dims.threshold_profiles_dim(w.spark).where("index_name = 'ndvi'").select(
-        "source_no", "class_no", c("profile_version").alias("threshold_profile")
-    )
-    applied, fallback = render.contrast_profile(F.lit("ndvi"), c("min"), c("max"))
-    answer = picked.select(
-        "request_id", "field_id", "scene_id", "source_no", "acq_date", "valid_px", "min", "max", "mean",
-        "median", "stddev", "usable_percent", "coverage_percent", c("field_cloud").alias("cloud_percent"),
+    applied, fallback = render.contrast_profile(c("index_name"), c("min"), c("max"))
+    answer = picked.join(stats, list(keys)).select(
+        "request_id", *keys, "source_no", "acq_date", "valid_px", "min", "max", "mean",
+        "median", "stddev", "usable_percent", "coverage_percent", "cloud_percent",
         "shadow_percent", "obscured_percent", "native_m",
-        *[value.alias(name) for name, value in provenance(c("source_no")).items()],
+        *[F.expr(e).alias(n) for n, e in PROVENANCE.items()],
         applied.alias("render_profile"), fallback.alias("render_fallback"),
-        F.lit(dims.VISUALIZATION["ndvi"][0]).alias("display_profile"),
     )
     return (
-        answer.join(classes, ["field_id", "scene_id"], "left")
-        .join(versions, ["source_no", "class_no"], "left")
+        answer.join(classes, list(keys), "left")
+        .join(versions, ["source_no", "index_name", "class_no"], "left")
         .drop("source_no")
     )
 
@@ -287,11 +268,11 @@ def field_index(w: World) -> DataFrame:
 add_table(
     "day_pairs",
     "requests scenes quality",
-    "select r.request_id, r.field_id, r.d as request_date, r.max_cloud, s.scene_id, s.product_id, s.status = 'accepted' as has_raster, "
+    "select r.request_id, r.field_id, r.d as request_date, r.max_cloud, r.index_name, s.scene_id, s.product_id, s.status = 'accepted' as has_raster, "
     "q.field_px, q.valid_px, q.usable_percent, q.coverage_percent, q.obscured_percent from "
     "(select *, request_date + cast(unnest(range(10)) as integer) as d from requests) r "
     "left join scenes s on s.source_no = r.source_no and s.site = r.site and s.acq_date = r.d "
-    "left join quality q on q.field_id = r.field_id and q.scene_id = s.scene_id and s.status = 'accepted'",
+    "left join quality q on q.field_id = r.field_id and q.scene_id = s.scene_id and q.index_name = r.index_name and s.status = 'accepted'",
 )
 
 
@@ -312,19 +293,12 @@ def field_dates(w: World) -> DataFrame:
     asked = w.requests.withColumn(
         "request_date", F.explode(F.transform(F.sequence(F.lit(0), F.lit(9)), lambda i: F.date_add("request_date", i)))
     )
-    found = selection.candidates(asked, w.scenes, on=SITE_KEYS, keys=tuple(keys), window_days=0).select(
-        *keys, "scene_id", "product_id", (c("status") == "accepted").alias("has_raster")
-    )
-    quality = zonal.field_scene_quality(field_pixels(w)).select(
-        "field_id", "scene_id", "field_px", "valid_px", "usable_percent", "coverage_percent", "obscured_percent"
-    )
-    matched = asked.select(*keys, "field_id", "max_cloud").join(found, keys, "left")
-    graded = (
-        matched.join(
-            quality.withColumn("has_raster", F.lit(True)), ["field_id", "scene_id", "has_raster"], "left"
-        )
-        .withColumn("status", selection.date_status(c("max_cloud")))
-    )
+    pairs = selection.join_request_scenes(asked, w.scenes, on=SITE_KEYS, window_days=0)
+    pairs = pairs.select(*keys, *PAIR, "grid_no", "index_name", "product_id", (c("status") == "accepted").alias("has_raster"))
+    shares = ["usable_percent", "coverage_percent", "obscured_percent"]
+    seen = gated(w, pairs.where("has_raster and index_name is not null")).select(*keys, "scene_id", "field_px", "valid_px", *shares)
+    found = pairs.join(seen, [*keys, "scene_id"], "left").drop("field_id", "grid_no", "index_name")
+    graded = asked.select(*keys, "field_id", "max_cloud").join(found, keys, "left").withColumn("status", selection.date_status(c("max_cloud")))
     return selection.field_dates(graded, keys)
 
 
@@ -333,7 +307,7 @@ def field_dates(w: World) -> DataFrame:
 add_table(
     "sar_pick",
     "px_pairs sar_cover requests",
-    "select r.request_id, r.field_id, r.site, r.source_no, r.request_date, a.scene_id, a.acq_date, a.coverage_percent, "
+    "select r.request_id, r.field_id, r.site, r.source_no, r.request_date, r.lookback_days, r.max_observations, a.scene_id, a.acq_date, a.coverage_percent, "
     "coalesce(n.accepted, 0) as accepted, coalesce(n.overlapping, 0) as overlapping, coalesce(n.low, 0) as low "
     "from (select * from requests where source_no >= 5) r left join (select * from (select p.request_id, p.scene_id, p.acq_date, "
     "v.coverage_percent, row_number() over (partition by p.request_id order by p.date_distance, v.coverage_percent desc, p.product_id) as rn "
@@ -355,16 +329,19 @@ def sar_requests(w: World) -> DataFrame:
     return w.requests.where("source_no >= 5")
 
 
-def picked_sar(w: World, coverage: DataFrame) -> DataFrame:
+def sar_pixels(w: World, pairs: DataFrame) -> DataFrame:
+    """Backscatter of the wanted (field, scene) pairs."""
+    return georef.join_wanted(raster.backscatter(w.pixels_sar), field_spans(w), pairs)
+
+
+def picked_sar(w: World) -> DataFrame:
+    """The radar scene of each request: coverage is counted for candidate pairs only."""
     asked = sar_requests(w)
     found = selection.candidates(asked, w.scenes, on=SITE_KEYS, limit=dims.SAR_MAX_CANDIDATES)
+    coverage = zonal.sar_coverage(sar_pixels(w, wanted_pairs(found.where("status = 'accepted'"))))
     return selection.field_sar(asked, found, coverage)
 
 
-def sar_coverage(w: World) -> DataFrame:
-    return zonal.sar_common_coverage(field_backscatter(w))
-
-
 @query(
     "field_sar",
     "select request_id, field_id, scene_id, acq_date, d as days_from_target, coverage_percent, "
@@ -374,7 +351,7 @@ def sar_coverage(w: World) -> DataFrame:
     tables="sar_pick",
 )
 def field_sar(w: World) -> DataFrame:
-    return picked_sar(w, sar_coverage(w)).select(
+    return picked_sar(w).select(
         "request_id", "field_id", "scene_id", "acq_date", c("days_from_target").cast("long").alias("days_from_target"),
         "coverage_percent", "confidence", "reason_code",
     )
@@ -395,31 +372,36 @@ def sar_confidence(w: World) -> DataFrame:
 add_table(
     "history",
     "sar_pick sar_cover scenes",
-    "select * from (select request_id, field_id, current_scene_id, scene_id, acq_date, hh_median, hv_median, hh_minus_hv, "
+    "select * from (select request_id, field_id, current_scene_id, scene_id, acq_date, max_observations, hh_median, hv_median, hh_minus_hv, "
     "row_number() over (partition by request_id order by acq_date desc, product_id) as position from (select p.*, v.coverage_percent, "
-    "v.hh_median, v.hv_median, v.hh_minus_hv from (select * from (select k.request_id, k.field_id, k.scene_id as current_scene_id, s.*, "
+    "v.hh_median, v.hv_median, v.hh_minus_hv from (select * from (select k.request_id, k.field_id, k.scene_id as current_scene_id, k.max_observations, s.*, "
     "row_number() over (partition by k.request_id order by s.acq_date desc, s.product_id) as fetched from sar_pick k join scenes s "
-    "on s.source_no = k.source_no and s.site = k.site and s.acq_date < k.acq_date and s.acq_date >= k.acq_date - 365 "
+    "on s.source_no = k.source_no and s.site = k.site and s.acq_date < k.acq_date and s.acq_date >= k.acq_date - k.lookback_days "
     "where k.source_no = 5 and k.scene_id is not null) i where status = 'accepted') p "
     "join sar_cover v on v.field_id = p.field_id and v.scene_id = p.scene_id where v.coverage_percent >= 95) q) t",
 )
 
 
-def sar_histories(w: World, coverage: DataFrame) -> DataFrame:
-    """EOS-04 history of every answered request (NISAR has none)."""
-    site = w.requests.select("request_id", "site")
-    chosen = picked_sar(w, coverage).where("source_no = 5 and scene_id is not null").join(site, "request_id")
-    return selection.sar_history(
-        chosen, w.scenes, coverage, on=SITE_KEYS, lookback_days=365, max_observations=12
-    )
+def sar_histories(w: World) -> tuple[DataFrame, DataFrame]:
+    """(chosen EOS-04 observation, history) of every answered request (NISAR has none).
+
+    Both carry the medians; they are taken of the chosen and earlier pairs alone.
+    """
+    more = w.requests.select("request_id", "site", "lookback_days", "max_observations")
+    chosen = picked_sar(w).where("source_no = 5 and scene_id is not null").join(more, "request_id")
+    pairs = selection.history_pairs(chosen, w.scenes, on=SITE_KEYS)
+    now = chosen.select(*PAIR, c("site").alias("grid_no"))
+    coverage = zonal.sar_common_coverage(sar_pixels(w, wanted_pairs(pairs).unionByName(now).distinct()))
+    current = chosen.select("request_id", *PAIR).join(coverage.drop("coverage_percent"), PAIR)
+    return current, selection.sar_history(pairs, coverage)
 
 
 @query(
     "sar_history",
-    "select request_id, current_scene_id, scene_id, acq_date, position, position <= 12 as within_limit, hh_median from history",
+    "select request_id, current_scene_id, scene_id, acq_date, position, position <= max_observations as within_limit, hh_median from history",
     tables="history",
 )
 def sar_history(w: World) -> DataFrame:
-    return sar_histories(w, stored(sar_coverage(w), "sar-coverage")).select(
+    return sar_histories(w)[1].select(
         "request_id", "current_scene_id", "scene_id", "acq_date", c("position").cast("long").alias("position"), "within_limit", "hh_median"
     )

@@ -371,15 +371,19 @@ def stac_collection_summary(w: World) -> DataFrame:
     )
 
 
-@query("write_derived_partitions")
+@query(
+    "write_derived_partitions",
+    "select source_no, index_name, ym, count(*) as pixels, count(distinct scene_id) as scenes, count(code) as valid_pixels from codes_px group by 1, 2, 3",
+    tables="codes_px",
+)
 def write_derived_partitions(w: World) -> DataFrame:
-    """Write the NDVI raster partitioned and report what was written."""
-    codes = raster.index_raster(w.pixels, "ndvi").withColumn("index_name", F.lit("ndvi"))
+    """Write every index raster partitioned by source, index and month, and report what was written."""
     path = shared_folder(w.spark, "derived")
-    pixel_source.write_index_partitions(codes, path)
-    back = w.spark.read.parquet(path)
-    return back.groupBy("source_no", "index_name", "ym").agg(
-        F.count("*").alias("pixels"), F.countDistinct("scene_id").alias("scenes")
+    pixel_source.write_index_partitions(raster.by_index(raster.coded(w.pixels)), path)
+    back = w.spark.read.schema("scene_id long, source_no long, index_name string, ym long, code long").parquet(path)
+    scenes = back.groupBy("source_no", "index_name", "ym", "scene_id").agg(F.count("*").alias("n"), F.count("code").alias("valid"))
+    return scenes.groupBy("source_no", "index_name", "ym").agg(
+        F.sum("n").alias("pixels"), F.count("*").alias("scenes"), F.sum("valid").alias("valid_pixels")
     )
 
 

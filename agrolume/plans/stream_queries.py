@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from agrolume.operators import raster
 from agrolume.plans.registry import query
 from agrolume.plans.world import LEDGER_EVENTS, World, _alias
-from agrolume.plans.zonal_queries import _MOMENTS, _V
+from agrolume.plans.zonal_queries import INDEX_MOMENTS, field_spans
 from agrolume.session import shared_folder
 from agrolume.sources import pixels as pixel_source
 from agrolume.streaming import files, ledger, state
@@ -78,14 +78,13 @@ def stream_ttl_cache(w: World) -> DataFrame:
 
 @query(
     "stream_zonal_stats",
-    f"select field_id, scene_id, {_MOMENTS}, round(count({_V})*100e0/count(*), 6) as usable_percent from fpx group by field_id, scene_id",
-    tables="fpx",
+    f"select field_id, scene_id, index_name, {INDEX_MOMENTS}, round(count(code)*100e0/count(*), 6) as usable_percent from fpi group by field_id, scene_id, index_name",
+    tables="fpi",
 )
 def stream_zonal_stats(w: World) -> DataFrame:
-    """Zonal statistics fed by a pixel table that arrives file by file."""
-    codes = raster.index_raster(w.pixels, "ndvi").select("source_no", "ym", "scene_id", "rw", "cl", "code")
+    """Zonal statistics of every index, fed by a pixel table that arrives file by file."""
     folder = shared_folder(w.spark, "pixels")
-    pixel_source.write_stream_files(codes, f"{folder}/codes")
+    pixel_source.write_stream_files(raster.coded(w.pixels), f"{folder}/codes")
     schema = w.spark.read.parquet(f"{folder}/codes").schema
     arriving = files.read_files(w.spark, f"{folder}/codes", schema, files_per_batch=4)
-    return ledger.zonal_updates(arriving, w.fields)
+    return ledger.zonal_updates(arriving, field_spans(w))

@@ -9,10 +9,9 @@ from agrolume.functions import text
 from agrolume.functions.rounding import r6
 from agrolume.operators import temporal, zonal
 from agrolume.plans.registry import query
-from agrolume.plans.selection_queries import picked_sar, sar_coverage, sar_histories
+from agrolume.plans.selection_queries import sar_histories
 from agrolume.plans.world import World, add_table
 from agrolume.plans.zonal_queries import field_pixels
-from agrolume.session import stored
 
 c = F.col
 
@@ -181,20 +180,14 @@ def _long(table: str, extra: str = "") -> str:
 
 def observed(w: World) -> tuple[DataFrame, DataFrame]:
     """(current observation per request, judged history rows)."""
-    coverage = stored(sar_coverage(w), "sar-coverage")
     meta = w.scenes.select("scene_id", "track_no", "incidence", "heading")
-    current = (
-        picked_sar(w, coverage)
-        .where("source_no = 5 and scene_id is not null")
-        .select("request_id", "field_id", "scene_id")
-        .join(coverage.drop("coverage_percent"), ["field_id", "scene_id"])
-        .withColumn("complete", F.lit(True))
-    )
+    current, history = sar_histories(w)
+    current = current.withColumn("complete", F.lit(True))
     now = meta.select(
         c("scene_id").alias("current_scene_id"), c("track_no").alias("now_track"),
         c("incidence").alias("now_incidence"), c("heading").alias("now_heading"),
     )
-    history = sar_histories(w, coverage).join(now, "current_scene_id")
+    history = history.join(now, "current_scene_id")
     comparable = (
         (c("track_no") == c("now_track"))
         & (F.abs(c("incidence") - c("now_incidence")) <= temporal.INCIDENCE_TOLERANCE)

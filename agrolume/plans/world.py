@@ -6,11 +6,13 @@ them into common table expressions for the oracle statements. Nothing here
 filters the inputs: every row of the driver tables feeds its derived table, so
 the amount of imagery, fields and requests grows with the data.
 
-Layout of the invented world: one *site* per supplier, a 12 x 12 pixel granule
-on a plane that is 64 sites wide. One scene per site and month, one source per
-site. A line item is one 2 x 2 pixel block of its scene. Customers are fields,
-fifteen to a site, and may reach into the neighbouring granule. Orders are
-catalogue scenes, STAC-like items, log lines and questions about fields.
+Layout of the invented world: one *site* per supplier, a granule of 12 x 12
+pixels with a grid of its own: the resolution of its source, the UTM zone it
+lies in. Sites stand in rows of 64, and zone 43 ends in the middle of a row. One
+scene per site and month, one source per site. A line item is one 2 x 2 pixel
+block of its scene. Customers are fields, longitude/latitude boxes, fifteen to a
+site; large ones reach granules of other resolutions or of the other zone.
+Orders are catalogue scenes, STAC-like items, log lines and questions about fields.
 """
 
 from __future__ import annotations
@@ -20,6 +22,10 @@ from functools import cached_property
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agrolume import dims
+from agrolume.functions import geo
+from agrolume.operators import georef
+from agrolume.plans import projection_sql
 from agrolume.session import tune
 
 SITE_SPAN = 12
@@ -51,6 +57,7 @@ _SC = "(((scene_id * 7919) % 101) * (scene_id % 2))"
 
 PIXELS = {
     "scene_id": "scene_id",
+    "grid_no": "sk",
     "source_no": "sk % 7",
     "ym": "scene_id % 100000",
     "rw": f"cast(floor(sk/{SITES_PER_ROW}) as bigint)*{SITE_SPAN} + br*2 + cast(floor(sub/2) as bigint)",
@@ -75,6 +82,7 @@ PIXELS = {
 
 PIXELS_SAR = {
     "scene_id": "scene_id",
+    "grid_no": "grid_no",
     "source_no": "source_no",
     "ym": "ym",
     "rw": "rw",
@@ -99,6 +107,7 @@ _ACQ = (
 SCENES = {
     "scene_id": "scene_id",
     "site": "site",
+    "grid_no": "site",
     "source_no": "site % 7",
     "ym": "ym",
     "acq_date": _ACQ,
@@ -120,6 +129,12 @@ _FSITE = f"cast(floor(c_custkey/{FIELDS_PER_SITE}) as bigint)"
 _FX = f"({_FSITE} % {SITES_PER_ROW})*{SITE_SPAN} + c_custkey % 9"
 _FY = f"cast(floor({_FSITE}/{SITES_PER_ROW}) as bigint)*{SITE_SPAN} + (c_custkey*3) % 8"
 
+_RES = "case {0} % 7 " + " ".join(f"when {no} then {metres:.1f}e0" for no, _, metres, _, _ in dims.SOURCES) + " end"
+# The north-west corner of a site, and degrees of longitude and latitude of about a metre.
+_ALON = f"(778e-1 + ({{0}} % {SITES_PER_ROW})*625e-5)"
+_ALAT = f"(17e0 + (cast(floor({{0}}/{SITES_PER_ROW}) as bigint) % 9600)*625e-5)"
+_FRES = _RES.format(_FSITE)
+
 FIELDS = {
     "field_id": "c_custkey",
     "field_name": f"concat('field_', {_text('c_custkey')})",
@@ -128,6 +143,39 @@ FIELDS = {
     "y0": f"cast({_FY} as double)",
     "x1": f"cast({_FX} + 4 + c_custkey % 3 as double)",
     "y1": f"cast({_FY} + 4 + c_custkey % 2 as double)",
+    "lon0": f"{_ALON.format(_FSITE)} + (c_custkey % 9)*{_FRES}*95e-7",
+    "lon1": f"{_ALON.format(_FSITE)} + (c_custkey % 9 + 4 + c_custkey % 3)*{_FRES}*95e-7",
+    "lat0": f"{_ALAT.format(_FSITE)} - ((c_custkey*3) % 8 + 4 + c_custkey % 2)*{_FRES}*9e-6",
+    "lat1": f"{_ALAT.format(_FSITE)} - ((c_custkey*3) % 8)*{_FRES}*9e-6",
+}
+
+# --- grids -----------------------------------------------------------------
+
+GRID_CORNERS = {
+    "grid_no": "s_suppkey",
+    "source_no": "s_suppkey % 7",
+    "res": _RES.format("s_suppkey"),
+    "lon": _ALON.format("s_suppkey"),
+    "lat": _ALAT.format("s_suppkey"),
+    "zone": f"cast(floor(({_ALON.format('s_suppkey')} + 180)/6) + 1 as int)",
+    "row0": f"cast(floor(s_suppkey/{SITES_PER_ROW}) as bigint)*{SITE_SPAN}",
+    "col0": f"(s_suppkey % {SITES_PER_ROW})*{SITE_SPAN}",
+}
+# From the projected corner (east, north): north-up, snapped to whole pixels.
+GRIDS = {
+    "grid_no": "grid_no",
+    "source_no": "source_no",
+    "epsg": "cast(32600 + zone as bigint)",
+    "a": "res",
+    "b": "0e0",
+    "c": "floor(east/res)*res - col0*res",
+    "d": "0e0",
+    "e": "-res",
+    "f": "ceil(north/res)*res + row0*res",
+    "row0": "row0",
+    "col0": "col0",
+    "height": f"cast({SITE_SPAN} as bigint)",
+    "width": f"cast({SITE_SPAN} as bigint)",
 }
 
 # --- catalogue scenes, requests, items, logs (orders) ---------------------
@@ -158,6 +206,14 @@ REQUESTS = {
     "aoi_no": "cast(floor(o_custkey/150) as bigint)",
     "request_date": "cast(o_orderdate as date)",
     "max_cloud": "cast(20 + o_orderkey % 3 * 20 as double)",
+    # How far back a radar history goes, and how many of its passes count.
+    "lookback_days": "cast(180 + o_orderkey % 3*185 as int)",
+    "max_observations": "cast(8 + o_orderkey % 2*4 as int)",
+    # One of the indices of the source; radar has none.
+    "index_name": f"case cast(floor(o_custkey/{FIELDS_PER_SITE}) as bigint) % 7 " + " ".join(
+        f"when {no} then case o_orderkey % {len(names)} " + " ".join(f"when {i} then '{n}'" for i, n in enumerate(names)) + " end"
+        for no, names in ((no, [n for n, sources in dims.INDEX_SOURCES.items() if no in sources]) for no in range(5))
+    ) + " end",
 }
 
 ITEM_JSON = {
@@ -279,6 +335,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
                 "l_suppkey as site, year(l_shipdate)*12 + month(l_shipdate)-1 as ym from lineitem) s"),
     ),
     "fields": ((), _select(FIELDS, "customer")),
+    "grids": ((), _select(GRIDS, "(" + projection_sql.utm(_select(GRID_CORNERS, "supplier")) + ") g")),
     "catalog": ((), _select(CATALOG, "orders")),
     "requests": ((), _select(REQUESTS, "orders")),
     "item_json": ((), _select(ITEM_JSON, "orders")),
@@ -364,6 +421,17 @@ class World:
     def fields(self) -> DataFrame:
         return self._derive("customer", FIELDS)
 
+    @cached_property
+    def field_shapes(self) -> DataFrame:
+        """Fields as longitude/latitude polygons."""
+        return georef.lonlat_boxes(self.fields, keep=("field_id", "site"))
+
+    @cached_property
+    def grids(self) -> DataFrame:
+        corners = self._derive("supplier", GRID_CORNERS)
+        east, north = geo.utm_forward(F.col("lon"), F.col("lat"), F.col("zone"))
+        return corners.select("*", east.alias("east"), north.alias("north")).selectExpr(*_alias(GRIDS))
+
     @cached_property
     def catalog(self) -> DataFrame:
         return self._derive("orders", CATALOG)

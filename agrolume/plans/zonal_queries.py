@@ -2,12 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from agrolume import dims
 from agrolume.functions import polygons as poly
-from agrolume.operators import raster, spatial, zonal
+from agrolume.operators import georef, raster, spatial, zonal
+from agrolume.plans import projection_sql
+from agrolume.plans.pixel_queries import INDEX_UNIT
 from agrolume.plans.registry import query
 from agrolume.plans.world import World, add_table
 
@@ -15,17 +17,42 @@ c = F.col
 
 # --- oracle building blocks ------------------------------------------------
 
-add_table(
-    "field_tiles",
-    "fields",
-    "select *, unnest(range(cast(floor(x0/12) as bigint), cast(floor((x1-1)/12) as bigint) + 1)) as tx from fields",
-)
-_IN_FIELD = (
-    "floor(p.cl/12) = f.tx and p.cl + 5e-1 >= f.x0 and p.cl + 5e-1 < f.x1 "
-    "and p.rw + 5e-1 >= f.y0 and p.rw + 5e-1 < f.y1"
-)
-add_table("fpx", "ndvi_px field_tiles", f"select f.field_id, p.* from field_tiles f join ndvi_px p on {_IN_FIELD}")
-add_table("fsar", "sar_px field_tiles", f"select f.field_id, p.* from field_tiles f join sar_px p on {_IN_FIELD}")
+add_table("field_corners", "fields", " union all ".join(
+    f"select field_id, {k} as k, {lon} as lon, {lat} as lat from fields"
+    for k, (lon, lat) in enumerate((("lon0", "lat0"), ("lon1", "lat0"), ("lon1", "lat1"), ("lon0", "lat1")))
+))
+
+
+def _edges_on_grids(corners: str, parts: str = "0") -> str:
+    """Edges in pixels of rings (field_id, part, k, lon, lat) on every grid that they may reach."""
+    near = (
+        f"select p.field_id, {parts} as part, p.k, p.lon, p.lat, g.*, g.epsg - 32600 as zone from {corners} p join grids g "
+        f"join ({projection_sql.grid_corners()}) n on n.grid_no = g.grid_no on abs(p.lon - n.glon) < 5e-2 and abs(p.lat - n.glat) < 5e-2"
+    )
+    pixel = f"select *, (east - c)/a as x, (north - f)/e as y from ({projection_sql.utm(near)}) u"
+    return (
+        "select * from (select field_id, grid_no, row0, col0, x as xa, y as ya, coalesce(lead(x) over w, first(x) over w) as xb, "
+        "coalesce(lead(y) over w, first(y) over w) as yb, min(x) over v as px0, max(x) over v as px1, min(y) over v as py0, max(y) over v as py1 "
+        f"from ({pixel}) q window w as (partition by field_id, grid_no, part order by k), v as (partition by field_id, grid_no)) e"
+    )
+
+
+def _cells(edges: str) -> str:
+    """Pixels of the grids' rasters whose centre is inside an odd number of edges."""
+    return (
+        "select field_id, grid_no, row0 + i as rw, col0 + j as cl from "
+        f"(select * from {edges} where px1 >= col0 and px0 <= col0 + 12 and py1 >= row0 and py0 <= row0 + 12) e, range(12) ti(i), range(12) tj(j) "
+        "where (ya > row0 + i + 5e-1) <> (yb > row0 + i + 5e-1) and xa + (row0 + i + 5e-1 - ya)*(xb - xa)/(yb - ya) <= col0 + j + 5e-1 "
+        "group by field_id, grid_no, row0, col0, i, j having count(*) % 2 = 1"
+    )
+
+
+add_table("field_edges", "field_corners grids", _edges_on_grids("field_corners"))
+add_table("field_cells", "field_edges", _cells("field_edges"))
+_ON_CELL = "p.grid_no = f.grid_no and p.rw = f.rw and p.cl = f.cl"
+add_table("fpx", "ndvi_px field_cells", f"select f.field_id, p.* from field_cells f join ndvi_px p on {_ON_CELL}")
+add_table("fsar", "sar_px field_cells", f"select f.field_id, p.* from field_cells f join sar_px p on {_ON_CELL}")
+add_table("fpi", "codes_px field_cells", f"select f.field_id, p.* from field_cells f join codes_px p on {_ON_CELL}")
 
 _V = "nullif(code, -32768)"
 _MOMENTS = (
@@ -35,6 +62,14 @@ _MOMENTS = (
     f"case when count({_V}) > 0 then sqrt(cast(count({_V})*sum(cast({_V} as bigint)*{_V}) - "
     f"sum(cast({_V} as bigint))*sum(cast({_V} as bigint)) as double))/(count({_V})*10000e0) end as stddev"
 )
+# The same for every index in its own scale.
+INDEX_MOMENTS = (
+    f"count(*) as field_px, count(code) as valid_px, min(code)/{INDEX_UNIT} as min, max(code)/{INDEX_UNIT} as max, "
+    f"case when count(code) > 0 then sum(code)/(count(code)*{INDEX_UNIT}) end as mean, "
+    f"quantile_cont(cast(code as double), 5e-1)/{INDEX_UNIT} as median, "
+    "case when count(code) > 0 then sqrt(cast(count(code)*sum(code::hugeint*code) - sum(code)*sum(code) as double))"
+    f"/(count(code)*{INDEX_UNIT}) end as stddev"
+)
 _USABLE = "(source_no = 0 and mask in (4,5,6)) or (source_no >= 1 and mask in (1,4))"
 _CLOUD = "(source_no = 0 and mask in (8,9,10)) or (source_no = 1 and mask in (2,5)) or (source_no >= 2 and mask = 2)"
 
@@ -53,20 +88,30 @@ _QUALITY = ", ".join([
 ])
 add_table(
     "quality",
-    "fpx",
-    "select field_id, scene_id, source_no, field_px, least(usable_px, valid_px) as valid_px, min, max, mean, median, stddev, "
+    "fpi",
+    "select field_id, scene_id, source_no, index_name, field_px, least(usable_px, valid_px) as valid_px, min, max, mean, median, stddev, "
     "round(least(usable_px, valid_px)*100e0/field_px, 6) as usable_percent, coverage_percent, cloud_percent, "
-    "shadow_percent, obscured_percent from (select field_id, scene_id, source_no, "
-    f"{_MOMENTS}, {_count(_USABLE)} as usable_px, {_QUALITY} from fpx group by field_id, scene_id, source_no) s",
+    "shadow_percent, obscured_percent from (select field_id, scene_id, source_no, index_name, "
+    f"{INDEX_MOMENTS}, {_count(_USABLE)} as usable_px, {_QUALITY} from fpi group by field_id, scene_id, source_no, index_name) s",
 )
 
 
+def field_spans(w: World) -> DataFrame:
+    return georef.field_spans(w.field_shapes, w.grids)
+
+
 def field_pixels(w: World) -> DataFrame:
-    return spatial.join_field_pixels(raster.index_raster(w.pixels, "ndvi"), w.fields)
+    """Field pixels with their NDVI."""
+    return georef.join_pixels(raster.index_raster(w.pixels, "ndvi"), field_spans(w))
+
+
+def field_codes(w: World) -> DataFrame:
+    """Field pixels with a code column per index."""
+    return georef.join_pixels(raster.coded(w.pixels), field_spans(w))
 
 
 def field_backscatter(w: World) -> DataFrame:
-    return spatial.join_field_pixels(raster.backscatter(w.pixels_sar), w.fields)
+    return georef.join_pixels(raster.backscatter(w.pixels_sar), field_spans(w))
 
 
 # --- queries ---------------------------------------------------------------
@@ -74,12 +119,12 @@ def field_backscatter(w: World) -> DataFrame:
 
 @query(
     "zonal_stats",
-    "select field_id, scene_id, ym, * exclude (field_id, scene_id, ym) from (select field_id, scene_id, ym, "
-    f"{_MOMENTS}, round(count({_V})*100e0/count(*), 6) as usable_percent from fpx group by field_id, scene_id, ym) s",
-    tables="fpx",
+    "select field_id, scene_id, ym, index_name, * exclude (field_id, scene_id, ym, index_name) from (select field_id, scene_id, ym, index_name, "
+    f"{INDEX_MOMENTS}, round(count(code)*100e0/count(*), 6) as usable_percent from fpi group by field_id, scene_id, ym, index_name) s",
+    tables="fpi",
 )
 def zonal_stats(w: World) -> DataFrame:
-    return zonal.zonal_stats(field_pixels(w), keys=("field_id", "scene_id", "ym"))
+    return zonal.index_stats(raster.by_index(field_codes(w)), keys=("field_id", "scene_id", "ym"))
 
 
 @query(
@@ -96,48 +141,46 @@ def join_field_pixels(w: World) -> DataFrame:
 
 @query(
     "field_pixel_window",
-    "select field_id, case when ok then r0 end as row_start, case when ok then r1 end as row_stop, "
-    "case when ok then c0 end as col_start, case when ok then c1 end as col_stop from "
-    "(select *, r1 > r0 and c1 > c0 as ok from (select field_id, "
-    "cast(greatest(floor(y0) - 1, 0) as bigint) as r0, cast(least(ceil(y1) + 1, 192) as bigint) as r1, "
-    "cast(greatest(floor(x0) - 1, 0) as bigint) as c0, cast(least(ceil(x1) + 1, 768) as bigint) as c1 from fields) s) t",
-    tables="fields",
+    "select field_id, grid_no, r0 as row_start, r1 as row_stop, c0 as col_start, c1 as col_stop from (select field_id, grid_no, "
+    "cast(greatest(floor(py0) - 1, row0) as bigint) as r0, cast(least(ceil(py1) + 1, row0 + 12) as bigint) as r1, "
+    "cast(greatest(floor(px0) - 1, col0) as bigint) as c0, cast(least(ceil(px1) + 1, col0 + 12) as bigint) as c1 "
+    "from (select distinct field_id, grid_no, row0, col0, px0, px1, py0, py1 from field_edges) s) t where r1 > r0 and c1 > c0",
+    tables="field_edges",
 )
 def field_pixel_window(w: World) -> DataFrame:
-    return spatial.pixel_window(w.fields, width=768, height=192).select(
-        "field_id", "row_start", "row_stop", "col_start", "col_stop"
-    )
+    return georef.windows(georef.on_grids(w.field_shapes, w.grids))
 
 
 _PROFILE_ROWS = ", ".join(
-    f"({no}, {i}, '{label}', {lower}::double, {upper}::double, {native * native}::double)"
+    f"({no}, '{name}', {i}, '{label}', {lower}::double, {upper}::double, {native * native}::double)"
     for no, _, native, _, family in dims.SOURCES
-    if family in ("s2", "resourcesat")
-    for i, (label, lower, upper) in enumerate(dims.THRESHOLD_CLASSES["ndvi"])
+    for name in dims.profiled_indices(no, family)
+    for i, (label, lower, upper) in enumerate(dims.THRESHOLD_CLASSES[name])
 )
 
 
-def ndvi_profiles(w: World) -> DataFrame:
+def index_profiles(w: World) -> DataFrame:
+    """Threshold classes of every (source, index) that has a default profile."""
     sources = dims.source_dim(w.spark).select("source_no", (c("native_m") * c("native_m")).alias("pixel_area"))
     return (
         dims.threshold_profiles_dim(w.spark)
-        .where("index_name = 'ndvi'")
         .join(sources, "source_no")
-        .select("source_no", "class_no", "label", "lower", "upper", "pixel_area")
+        .select("source_no", "index_name", "class_no", "label", "lower", "upper", "pixel_area")
     )
 
 
 @query(
     "zonal_class_areas",
-    "select field_id, scene_id, class_no, label, lower, upper, "
+    "select field_id, scene_id, fpi.index_name, class_no, label, lower, upper, "
     "round(count(case when code >= round(lower*10000) and code < round(upper*10000) then 1 end)*pixel_area, 6) as area_m2, "
     "round(count(case when code >= round(lower*10000) and code < round(upper*10000) then 1 end)*100e0/count(*), 6) as area_percent "
-    f"from fpx join (values {_PROFILE_ROWS}) as c(sno, class_no, label, lower, upper, pixel_area) on c.sno = fpx.source_no "
-    "where code <> -32768 group by field_id, scene_id, class_no, label, lower, upper, pixel_area",
-    tables="fpx",
+    f"from fpi join (values {_PROFILE_ROWS}) as c(sno, iname, class_no, label, lower, upper, pixel_area) on c.sno = fpi.source_no and c.iname = fpi.index_name "
+    "where code is not null group by field_id, scene_id, fpi.index_name, class_no, label, lower, upper, pixel_area",
+    tables="fpi",
 )
 def zonal_class_areas(w: World) -> DataFrame:
-    return zonal.class_areas(field_pixels(w), ndvi_profiles(w))
+    codes = raster.by_index(field_codes(w))
+    return zonal.class_areas(codes, index_profiles(w), keys=("field_id", "scene_id", "index_name"), nodata=None)
 
 
 @query(
@@ -163,7 +206,8 @@ def _band(name: str) -> str:
         f"quantile_cont(cast({code} as double), 5e-1)/1e6 as median, "
         f"case when count({name}) > 0 then sqrt(cast(count({name})*sum({code}::hugeint*{code}) - "
         f"sum({code})*sum({code}) as double))/(count({name})*1e6) end as stddev, {quantiles}, "
-        f"round(count({name})*100e0/count(*), 6) as valid_percent from fsar group by field_id, scene_id"
+        f"round(count({name})*100e0/count(*), 6) as valid_percent, count(case when hh is not null and hv is not null then 1 end) as common_px "
+        "from fsar group by field_id, scene_id"
     )
 
 
@@ -229,66 +273,65 @@ _SHAPE = (
 
 
 def shaped_fields(fields: DataFrame) -> DataFrame:
-    """Fields as multipolygons (with a hole) anchored at their lower-left corner."""
-    geometry = F.array(*[
-        F.array(*[poly.ring(*[(c("x0") + dx, c("y0") + dy) for dx, dy in ring]) for ring in part])
-        for part in _SHAPE
-    ])
-    return fields.select("field_id", "site", "x0", "y0", geometry.alias("geometry"))
+    """Fields as multipolygons (with a hole) over the same longitude/latitude box, whatever its size."""
 
+    def at(dx: float, dy: float) -> tuple[Column, Column]:
+        return c("lon0") + (c("lon1") - c("lon0")) * (dx / 9), c("lat0") + (c("lat1") - c("lat0")) * (dy / 9)
 
-_EDGES = ", ".join(
-    f"({a[0]}::double, {a[1]}::double, {b[0]}::double, {b[1]}::double)"
-    for part in _SHAPE for ring in part for a, b in zip(ring, ring[1:] + ring[:1])
-)
-add_table(
-    "shape_cells",
-    "fields",
-    "select field_id, y0 + dy as rw, x0 + dx as cl from (select f.field_id, f.x0, f.y0, i.dx, j.dy from fields f, "
-    "range(0, 9) as i(dx), range(0, 9) as j(dy)) s where (select count(*) from (values "
-    f"{_EDGES}) as e(xa, ya, xb, yb) where (ya > dy + 5e-1) <> (yb > dy + 5e-1) "
-    "and xa + (dy + 5e-1 - ya)*(xb-xa)/(yb-ya) <= dx + 5e-1) % 2 = 1",
-)
+    geometry = F.array(*[F.array(*[poly.ring(*[at(dx, dy) for dx, dy in ring]) for ring in part]) for part in _SHAPE])
+    return fields.select("field_id", geometry.alias("geometry"))
+
+
+_RINGS = [ring for part in _SHAPE for ring in part]
+add_table("shape_corners", "fields", " union all ".join(
+    f"select field_id, {n} as part, {k} as k, lon0 + (lon1 - lon0)*({dx}e0/9) as lon, lat0 + (lat1 - lat0)*({dy}e0/9) as lat from fields"
+    for n, ring in enumerate(_RINGS) for k, (dx, dy) in enumerate(ring)
+))
+add_table("shape_edges", "shape_corners grids", _edges_on_grids("shape_corners", "p.part"))
+add_table("shape_cells", "shape_edges", _cells("shape_edges"))
 
 
 @query(
     "rasterize_polygon",
-    "select field_id, cast(rw as bigint) as rw, count(*) as cells, cast(min(cl) as bigint) as first_col, "
-    "cast(max(cl) as bigint) as last_col from shape_cells group by field_id, rw",
+    "select field_id, grid_no, cast(rw as bigint) as rw, count(*) as cells, cast(min(cl) as bigint) as first_col, "
+    "cast(max(cl) as bigint) as last_col from shape_cells group by field_id, grid_no, rw",
     tables="shape_cells",
 )
 def rasterize_polygon(w: World) -> DataFrame:
-    found = spatial.spans(shaped_fields(w.fields))
-    return found.groupBy("field_id", "rw").agg(
+    found = georef.grid_spans(georef.on_grids(shaped_fields(w.fields), w.grids))
+    return found.groupBy("field_id", "grid_no", "rw").agg(
         F.sum(c("c1") - c("c0")).alias("cells"),
         F.min("c0").alias("first_col"),
         (F.max("c1") - 1).alias("last_col"),
     )
 
 
+_POINT = (
+    "select request_id, f.site, lon0 + (lon1 - lon0)*((request_id % 8 + 5e-1)/6) as lon, lat0 + (lat1 - lat0)*((request_id*3 % 7 + 25e-2)/6) as lat, "
+    "(request_id % 8 + 5e-1)/6 < 1 and (request_id*3 % 7 + 25e-2)/6 < 1 as inside from requests join fields f on f.field_id = requests.field_id"
+)
+
+
 @query(
     "point_sample",
     "select r.request_id, s.scene_id, case when inside and code <> -32768 then code/10000e0 end as value, "
-    "not coalesce(inside and code <> -32768, false) as masked from (select request_id, f.site, "
-    "f.x0 + request_id % 7 as x, f.y0 + (request_id*3) % 6 + 25e-2 as y, "
-    "request_id % 7 < f.x1 - f.x0 and (request_id*3) % 6 + 25e-2 < f.y1 - f.y0 as inside "
-    "from requests join fields f on f.field_id = requests.field_id) r "
-    "join scenes s on s.site = r.site "
-    "left join ndvi_px p on p.scene_id = s.scene_id and p.rw = floor(r.y) and p.cl = floor(r.x) where s.source_no <= 4",
-    tables="ndvi_px scenes requests fields",
+    "not coalesce(inside and code <> -32768, false) as masked from (select request_id, inside, grid_no, floor((north - f)/e) as rw, floor((east - c)/a) as cl from ("
+    + projection_sql.utm(f"select o.*, g.*, g.epsg - 32600 as zone from ({_POINT}) o join grids g on g.grid_no = o.site")
+    + ") u) r join scenes s on s.grid_no = r.grid_no "
+    "left join ndvi_px p on p.scene_id = s.scene_id and p.rw = r.rw and p.cl = r.cl where s.source_no <= 4",
+    tables="ndvi_px scenes requests fields grids",
 )
 def point_sample(w: World) -> DataFrame:
     """Index value under a clicked point, for all scenes of its site."""
-    shaped = spatial.with_rectangle(w.fields).select("field_id", "geometry", "x0", "y0")
-    scenes = w.scenes.where("source_no <= 4").selectExpr("scene_id", "site")
+    shaped = w.field_shapes.select("field_id", "geometry").join(w.fields.select("field_id", "lon0", "lat0", "lon1", "lat1"), "field_id")
+    scenes = w.scenes.where("source_no <= 4").selectExpr("scene_id", "grid_no", "site")
     points = (
         w.requests.selectExpr("request_id", "field_id", "site")
         .join(shaped, "field_id")
         .join(scenes, "site")
         .selectExpr(
-            "request_id", "scene_id", "x0 + request_id % 7 as x",
-            "y0 + (request_id*3) % 6 + 0.25D as y", "geometry",
+            "request_id", "scene_id", "grid_no", "lon0 + (lon1 - lon0)*((request_id % 8 + 5e-1)/6) as lon",
+            "lat0 + (lat1 - lat0)*((request_id*3 % 7 + 25e-2)/6) as lat", "geometry",
         )
     )
-    codes = raster.index_raster(w.pixels, "ndvi")
-    return spatial.sample_points(codes, points).select("request_id", "scene_id", "value", "masked")
+    return georef.sample_points(raster.index_raster(w.pixels, "ndvi"), points, w.grids).select("request_id", "scene_id", "value", "masked")

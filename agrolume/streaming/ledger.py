@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
-from agrolume.operators import spatial, zonal
+from agrolume.operators import georef, raster, zonal
 from agrolume.streaming import files
 
 c = F.col
@@ -108,19 +108,20 @@ def upsert_ledger(stream: DataFrame, *, label: str = "ledger") -> DataFrame:
     return folded(stream, partial_ledger, fold_ledger, label=label)
 
 
-def zonal_updates(pixel_stream: DataFrame, fields: DataFrame, *, label: str = "zonal") -> DataFrame:
-    """Zonal statistics kept current as scenes arrive.
+def zonal_updates(pixel_stream: DataFrame, spans: DataFrame, *, label: str = "zonal") -> DataFrame:
+    """Zonal statistics of every index kept current as scenes arrive.
 
-    Each micro-batch of encoded pixels joins the static field spans and leaves a
+    Each micro-batch of coded pixels joins the static field spans and leaves a
     histogram. Histograms add up, so statistics over all batches are exact, and
     a replayed batch replaces its own histogram.
     """
     store = files.BatchStore(pixel_stream.sparkSession, label)
-    spans = spatial.spans(spatial.with_rectangle(fields))
+    keys = (*zonal.PAIR, "index_name")
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        store.save(zonal.histogram(spatial.join_spans(batch, spans)), batch_id)
+        inside = raster.by_index(georef.join_pixels(batch, spans))
+        store.save(zonal.histogram(inside, keys=keys, nodata=None), batch_id)
 
     files.run_to_end(pixel_stream, mode="append", each_batch=each, checkpoint=f"{store.path}/checkpoint")
-    schema = StructType().add("field_id", "long").add("scene_id", "long").add("code", "long").add("n", "long")
-    return zonal.stats_from_histogram(store.read(schema))
+    schema = StructType().add("field_id", "long").add("scene_id", "long").add("index_name", "string").add("code", "long").add("n", "long")
+    return zonal.stats_from_histogram(store.read(schema), keys=keys, unit=raster.scale_of(c("index_name")))
