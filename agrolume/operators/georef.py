@@ -10,8 +10,6 @@ the join with pixels is an equality of grid, row and column tile.
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -30,42 +28,42 @@ MARGIN = 3
 CELL = 0.05
 
 
-def _let(value: Column, then: Callable[[Column], Column]) -> Column:
-    """``then`` of a value that is computed once, however often it is used."""
-    return F.transform(F.array(value), then)[0]
-
+def _let(value: str, name: str, body: str) -> str:
+    """``body`` with ``name`` for a value that is computed once, however often it is used (SQL text)."""
+    return f"transform(array({value}), {name} -> {body})[0]"
 
-def project(lon: Column, lat: Column, epsg: Column) -> Column:
-    """struct(x, y) of longitude and latitude in the projection: degrees (4326), web Mercator (3857) or a UTM zone (326zz, 327zz)."""
 
-    def utm(at: Column) -> Column:
-        east, north = geo.utm_forward(at["lon"], at["lat"], (at["epsg"] % 100).cast("int"))
-        # Both hemispheres have the zone's own false northing, also for a point beyond the equator.
-        south = at["epsg"] >= 32700
-        return poly.vertex(east, north + F.when(south & (at["lat"] >= 0), 1e7).when(~south & (at["lat"] < 0), -1e7).otherwise(0.0))
+_K = f"{geo._SCALE * geo._RECTIFYING!r}D"
+_RADIUS = f"{geo.A_METRES!r}D"
+_MERIDIAN = "radians(cast({0} % 100 as double)*6D - 183D)"
 
-    def any_of(at: Column) -> Column:
-        return (
-            F.when(at["epsg"] == 4326, poly.vertex(at["lon"], at["lat"]))
-            .when(at["epsg"] == 3857, poly.vertex(*geo.web_mercator(at["lon"], at["lat"])))
-            .otherwise(utm(at))
-        )
 
-    return _let(F.struct(lon.alias("lon"), lat.alias("lat"), epsg.alias("epsg")), any_of)
+def _series(coefficients: tuple[float, ...], first: str, second: str, xi: str, eta: str) -> str:
+    return " + ".join(f"{v!r}D*{first}({2 * j}D*{xi})*{second}({2 * j}D*{eta})" for j, v in enumerate(coefficients, start=1))
 
 
-def unproject(x: Column, y: Column, epsg: Column) -> Column:
-    """struct(x, y): longitude and latitude of projected coordinates."""
+def project(lon: str, lat: str, epsg: str) -> str:
+    """SQL text of struct(x, y): degrees (4326), web Mercator (3857) or a UTM zone (326zz, 327zz) of a point."""
+    e = f"{geo.E!r}D"
+    t = f"sinh(atanh(sin(radians({lat}))) - {e}*atanh({e}*sin(radians({lat}))))"
+    east = f"({_series(geo._ALPHA, 'cos', 'sinh', 'g.xi', 'g.eta')} + g.eta)*{_K} + 500000D"
+    # A zone has its own false northing, also for a point beyond the equator.
+    north = f"({_series(geo._ALPHA, 'sin', 'cosh', 'g.xi', 'g.eta')} + g.xi)*{_K} + if({epsg} >= 32700, 1e7D, 0D)"
+    angles = "named_struct('xi', atan2(h.t, cos(h.dl)), 'eta', atanh(sin(h.dl)/sqrt(h.t*h.t + 1D)))"
+    utm = _let(f"named_struct('t', {t}, 'dl', radians({lon}) - {_MERIDIAN.format(epsg)})", "h", _let(angles, "g", f"named_struct('x', {east}, 'y', {north})"))
+    mercator = f"named_struct('x', radians({lon})*{_RADIUS}, 'y', asinh(tan(radians({lat})))*{_RADIUS})"
+    return f"case when {epsg} = 4326 then named_struct('x', {lon}, 'y', {lat}) when {epsg} = 3857 then {mercator} else {utm} end"
 
-    def any_of(at: Column) -> Column:
-        utm = geo.utm_inverse(at["x"], at["y"], (at["epsg"] % 100).cast("int"), at["epsg"] >= 32700)
-        return (
-            F.when(at["epsg"] == 4326, poly.vertex(at["x"], at["y"]))
-            .when(at["epsg"] == 3857, poly.vertex(F.degrees(at["x"] / geo.A_METRES), F.degrees(F.atan(F.sinh(at["y"] / geo.A_METRES)))))
-            .otherwise(poly.vertex(*utm))
-        )
 
-    return _let(F.struct(x.alias("x"), y.alias("y"), epsg.alias("epsg")), any_of)
+def unproject(x: str, y: str, epsg: str) -> str:
+    """SQL text of struct(x, y): longitude and latitude of projected coordinates."""
+    flat = f"named_struct('xi', ({y} - if({epsg} >= 32700, 1e7D, 0D))/{_K}, 'eta', ({x} - 500000D)/{_K})"
+    back = f"named_struct('xi', h.xi - ({_series(geo._BETA, 'sin', 'cosh', 'h.xi', 'h.eta')}), 'eta', h.eta - ({_series(geo._BETA, 'cos', 'sinh', 'h.xi', 'h.eta')}))"
+    turn = " + ".join(f"{v!r}D*sin({2 * j}D*chi)" for j, v in enumerate(geo._DELTA, start=1))
+    lat = _let("asin(sin(g.xi)/cosh(g.eta))", "chi", f"degrees(chi + {turn})")
+    utm = _let(flat, "h", _let(back, "g", f"named_struct('x', degrees({_MERIDIAN.format(epsg)} + atan2(sinh(g.eta), cos(g.xi))), 'y', {lat})"))
+    mercator = f"named_struct('x', degrees({x}/{_RADIUS}), 'y', degrees(atan(sinh({y}/{_RADIUS}))))"
+    return f"case when {epsg} = 4326 then named_struct('x', {x}, 'y', {y}) when {epsg} = 3857 then {mercator} else {utm} end"
 
 
 def once(value: Column) -> Column:
@@ -73,51 +71,28 @@ def once(value: Column) -> Column:
     return F.explode(F.array(value))
 
 
-def to_pixel(x: Column, y: Column, affine: dict[str, Column]) -> tuple[Column, Column]:
-    """(column, row) of projected coordinates: the affine transform inverted, rotations included."""
-    a, b, cc, d, e, f = (affine[n] for n in AFFINE)
-    size = a * e - b * d
-    dx, dy = x - cc, y - f
-    return (dx * e - dy * b) / size, (dy * a - dx * d) / size
-
-
-def pixel_polygons(polygons: Column, epsg: Column, affine: dict[str, Column]) -> Column:
-    """A longitude/latitude geometry with x as columns and y as rows of a grid."""
-
-    def point(v: Column) -> Column:
-        return _let(project(v["x"], v["y"], epsg), lambda at: poly.vertex(*to_pixel(at["x"], at["y"], affine)))
-
-    return F.transform(polygons, lambda p: F.transform(p, lambda r: F.transform(r, point)))
+def to_pixel(at: str) -> str:
+    """SQL text of struct(x: column, y: row) of projected coordinates: the affine transform inverted, rotations included."""
+    return f"named_struct('x', (({at}.x - c)*e - ({at}.y - f)*b)/(a*e - b*d), 'y', (({at}.y - f)*a - ({at}.x - c)*d)/(a*e - b*d))"
 
 
-def affine_of(prefix: str = "") -> dict[str, Column]:
-    return {n: c(prefix + n) for n in AFFINE}
-
-
-def pixel_size(affine: dict[str, Column]) -> Column:
-    """Area of a pixel in the square units of its projection."""
-    return F.abs(affine["a"] * affine["e"] - affine["b"] * affine["d"])
+def pixel_polygons(lonlat: str) -> Column:
+    """A longitude/latitude geometry with x as columns and y as rows of the grid on the same row."""
+    point = _let(project("v.x", "v.y", "epsg"), "o", to_pixel("o"))
+    return F.expr(f"transform({lonlat}, p -> transform(p, r -> transform(r, v -> {point})))")
 
 
 def footprints(grids: DataFrame) -> DataFrame:
     """Grids with the longitude/latitude box (bx0, by0, bx1, by1) of their rasters, widened by MARGIN pixels."""
-    step = F.sequence(F.lit(0), F.lit(4 * SIDE_POINTS - 1))
-    left, top = c("col0") - MARGIN, c("row0") - MARGIN
-    wide, high = c("width") + 2 * MARGIN, c("height") + 2 * MARGIN
-
-    def corner(i: Column) -> Column:
-        return _let(F.struct(F.floor(i / SIDE_POINTS).alias("side"), ((i % SIDE_POINTS) / float(SIDE_POINTS)).alias("along")), at)
-
-    def at(place: Column) -> Column:
-        side, along = place["side"], place["along"]
-        col = left + wide * F.when(side == 0, along).when(side == 1, 1.0).when(side == 2, 1.0 - along).otherwise(0.0)
-        row = top + high * F.when(side == 0, 0.0).when(side == 1, along).when(side == 2, 1.0).otherwise(1.0 - along)
-        x, y = c("a") * col + c("b") * row + c("c"), c("d") * col + c("e") * row + c("f")
-        return unproject(x, y, c("epsg"))
-
-    ring = grids.select("*", once(F.array(F.array(F.transform(step, corner)))).alias("outline"))
-    box = ring.withColumn("outline", poly.bounds(c("outline")))
-    return box.select(*grids.columns, *[c(f"outline.{n}").alias(f"b{n}") for n in ("x0", "y0", "x1", "y1")])
+    n = SIDE_POINTS
+    along = f"(i % {n})/{float(n)}D"
+    col = f"(col0 - {MARGIN}) + (width + {2 * MARGIN})*case floor(i/{n}) when 0 then {along} when 1 then 1D when 2 then 1D - {along} else 0D end"
+    row = f"(row0 - {MARGIN}) + (height + {2 * MARGIN})*case floor(i/{n}) when 0 then 0D when 1 then {along} when 2 then 1D else 1D - {along} end"
+    place = _let(f"named_struct('col', {col}, 'row', {row})", "q", "named_struct('x', a*q.col + b*q.row + c, 'y', d*q.col + e*q.row + f)")
+    corner = _let(place, "u", unproject("u.x", "u.y", "epsg"))
+    ring = grids.select("*", once(F.expr(f"transform(sequence(0, {4 * n - 1}), i -> {corner})")).alias("outline"))
+    sides = {"bx0": "array_min(transform(outline, v -> v.x))", "by0": "array_min(transform(outline, v -> v.y))", "bx1": "array_max(transform(outline, v -> v.x))", "by1": "array_max(transform(outline, v -> v.y))"}
+    return ring.select(*grids.columns, *[F.expr(e).alias(name) for name, e in sides.items()])
 
 
 def lonlat_boxes(fields: DataFrame, *, keep: tuple[str, ...]) -> DataFrame:
@@ -132,7 +107,7 @@ def on_grids(fields: DataFrame, grids: DataFrame, *, key: str = "field_id", geom
     """
     boxed = fields.select(key, *keep, c(geometry_column).alias("lonlat"), poly.bounds(c(geometry_column)).alias("box")).select(key, *keep, "lonlat", "box.*")
     met = geometry.join_boxes(boxed, footprints(grids), on=[], cell=CELL)
-    pixels = pixel_polygons(c("lonlat"), c("epsg"), affine_of())
+    pixels = pixel_polygons("lonlat")
     return met.select(key, *keep, "grid_no", *EXTENT, once(pixels).alias("geometry"))
 
 
@@ -188,10 +163,10 @@ def sample_points(codes: DataFrame, points: DataFrame, grids: DataFrame) -> Data
     placed = (
         points.withColumn("inside", inside)
         .join(grids.select("grid_no", "epsg", *AFFINE), "grid_no")
-        .select(*keep, *AFFINE, "inside", once(project(c("lon"), c("lat"), c("epsg"))).alias("at"))
+        .select(*keep, *AFFINE, "inside", once(F.expr(project("lon", "lat", "epsg"))).alias("at"))
     )
-    col, row = to_pixel(c("at.x"), c("at.y"), affine_of())
-    located = placed.select(*keep, "inside", F.floor(row).alias("rw"), F.floor(col).alias("cl"))
+    placed = placed.select(*keep, "inside", F.expr(to_pixel("at")).alias("p"))
+    located = placed.select(*keep, "inside", F.floor("p.y").alias("rw"), F.floor("p.x").alias("cl"))
     value = F.when(c("inside") & (c("code") != -32768), c("code") / 10000.0)
     return located.join(codes.select("scene_id", "rw", "cl", "code"), ["scene_id", "rw", "cl"], "left").select(
         *keep, value.alias("value"), value.isNull().alias("masked")

@@ -11,6 +11,7 @@ from agrolume.operators import georef, raster, selection, zonal
 from agrolume.plans.registry import query
 from agrolume.plans.world import World, add_table
 from agrolume.plans.zonal_queries import field_spans, index_profiles
+from agrolume.session import shared
 
 c = F.col
 CATALOG_KEYS = ("source_no", "aoi_no")
@@ -241,7 +242,7 @@ def field_index(w: World) -> DataFrame:
     counted; statistics and classes come from one histogram of the chosen pairs.
     """
     shares = ["index_name", "valid_px", "cloud_percent", "shadow_percent"]
-    picked = selection.best_scene(graded_options(w), payload=[*PAIR, "grid_no", "acq_date", "source_no", *shares])
+    picked = shared(selection.best_scene(graded_options(w), payload=[*PAIR, "grid_no", "acq_date", "source_no", *shares]))
     chosen = georef.join_wanted(raster.coded(w.pixels), field_spans(w), wanted_pairs(picked, "index_name"))
     keys = (*PAIR, "index_name")
     hist = zonal.histogram(chosen.withColumn("code", raster.of_index(c("index_name"))), keys=(*keys, "source_no"), nodata=None)
@@ -388,10 +389,10 @@ def sar_histories(w: World) -> tuple[DataFrame, DataFrame]:
     Both carry the medians; they are taken of the chosen and earlier pairs alone.
     """
     more = w.requests.select("request_id", "site", "lookback_days", "max_observations")
-    chosen = picked_sar(w).where("source_no = 5 and scene_id is not null").join(more, "request_id")
-    pairs = selection.history_pairs(chosen, w.scenes, on=SITE_KEYS)
+    chosen = shared(picked_sar(w).where("source_no = 5 and scene_id is not null").join(more, "request_id"))
+    pairs = shared(selection.history_pairs(chosen, w.scenes, on=SITE_KEYS))
     now = chosen.select(*PAIR, c("site").alias("grid_no"))
-    coverage = zonal.sar_common_coverage(sar_pixels(w, wanted_pairs(pairs).unionByName(now).distinct()))
+    coverage = shared(zonal.sar_common_coverage(sar_pixels(w, wanted_pairs(pairs).unionByName(now).distinct())))
     current = chosen.select("request_id", *PAIR).join(coverage.drop("coverage_percent"), PAIR)
     return current, selection.sar_history(pairs, coverage)
 

@@ -432,6 +432,11 @@ class World:
         east, north = geo.utm_forward(F.col("lon"), F.col("lat"), F.col("zone"))
         return corners.select("*", east.alias("east"), north.alias("north")).selectExpr(*_alias(GRIDS))
 
+    @cached_property
+    def field_spans(self) -> DataFrame:
+        """Fields cut into spans on every grid they meet."""
+        return georef.field_spans(self.field_shapes, self.grids)
+
     @cached_property
     def catalog(self) -> DataFrame:
         return self._derive("orders", CATALOG)

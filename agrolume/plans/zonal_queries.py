@@ -97,7 +97,7 @@ add_table(
 
 
 def field_spans(w: World) -> DataFrame:
-    return georef.field_spans(w.field_shapes, w.grids)
+    return w.field_spans
 
 
 def field_pixels(w: World) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 from uuid import uuid4
 
+from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 
 SETTINGS = {
@@ -71,6 +72,15 @@ def shared_folder(spark: SparkSession, label: str) -> str:
     return tempfile.mkdtemp(prefix=f"spark-{label}-")
 
 
+def shared(df: DataFrame) -> DataFrame:
+    """The same rows, computed once when they are first read, for results that several steps of one query read.
+
+    Nothing runs while a query is built. Blocks that are lost with an executor
+    are computed again from their lineage; ``spark.catalog.clearCache()`` lets go of them.
+    """
+    return df.persist(StorageLevel.MEMORY_AND_DISK)
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """The same rows behind a written table: computed once, lineage cut.
 
