@@ -9,9 +9,12 @@ from __future__ import annotations
 
 import re
 import struct
+from collections.abc import Callable
 
-#: Words kept by a worker before it starts anew: bounds its memory, never its results.
-KEEP = 400_000
+#: Bytes of words and ids that a worker keeps in one of two generations: bounds its memory, never its results.
+KEEP_BYTES = 24_000_000
+#: What an entry costs besides its letters and ids.
+ENTRY = 150
 #: A word of letters below U+0100 and ASCII marks behind it needs no normaliser but lower case.
 _PLAIN = re.compile(r"([A-Za-zÀ-ÖØ-öø-ÿ]+)([!-/:-@\[-`{-~]*)")
 
@@ -20,6 +23,26 @@ def _little(ids: list[int]) -> bytes:
     return struct.pack(f"<{len(ids)}H", *ids)
 
 
+class Kept(dict):
+    """Ids by word, made where they are missing. A full generation becomes the older one; words still in use come back from it."""
+
+    def __init__(self, make: Callable[[str], bytes]):
+        super().__init__({"": b""})
+        self.make, self.older, self.size = make, {}, 0
+
+    def __missing__(self, word: str) -> bytes:
+        ids = self.older.get(word)
+        if ids is None:
+            ids = self.make(word)
+        self.size += ENTRY + len(word) + len(ids)
+        if self.size > KEEP_BYTES:
+            self.older = dict(self)
+            self.clear()
+            self[""], self.size = b"", ENTRY
+        self[word] = ids
+        return ids
+
+
 class Encoder:
     """Ids as little-endian unsigned 16-bit bytes per text; equal to encoding each text whole."""
 
@@ -28,7 +51,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.model = self.tokenizer.model
-        self.kept: dict[str, bytes] = {"": b""}
+        self.kept = Kept(self._word)
         self.marks = {"": b""}
         # The vocabulary writes each byte as a printable character: learnt from its own pre-tokenizer.
         self.table = {ord(c): self.tokenizer.pre_tokenizer.pre_tokenize_str(c)[0][0] for c in map(chr, range(0xDF, 0x100)) if c.isalpha()}
@@ -52,16 +75,7 @@ class Encoder:
     def encode(self, text: str) -> bytes:
         if "<|" not in text:  # the strings of special tokens are told apart by their case
             text = text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")  # A-Z only
-        parts = text.replace("\n", " ").split(" ")
-        try:
-            return b"".join(map(self.kept.__getitem__, parts))
-        except KeyError:
-            if len(self.kept) > KEEP:
-                self.kept = {"": b""}
-            kept = self.kept
-            for word in set(parts).difference(kept):
-                kept[word] = self._word(word)
-            return b"".join(map(kept.__getitem__, parts))
+        return b"".join(map(self.kept.__getitem__, text.replace("\n", " ").split(" ")))
 
 
 _encoders: dict[str, Encoder] = {}
