@@ -3,18 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Callable
-from functools import cache
 
-import numpy as np
-import pandas as pd
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from agrolume import dims
 from agrolume.functions import geo
 from agrolume.functions import polygons as poly
-from agrolume.operators.selection import ranked_per
+from agrolume.operators.selection import RANGE_BUCKET, ranked_per
 
 c = F.col
 
@@ -35,54 +31,62 @@ def geometry_problems(geometry_type: Column, polygons: Column) -> Column:
     return F.array_compact(F.array(*[F.when(test, code) for test, code in checks]))
 
 
-@cache
-def clip_area_udf() -> Callable[..., Column]:
-    """Overlap area of a simple ring with a convex ring, given as x and y arrays.
+def _next(points: Column, i: Column) -> Column:
+    return F.get(points, (i + 1) % F.size(points))
 
-    Everything lives inside this factory so that the function travels to the
-    executors by value and they need not have this package installed.
+
+def _twice_area(points: Column) -> Column:
+    """Twice the signed area of a ring given without its closing point."""
+    cross = F.transform(points, lambda p, i: p["x"] * _next(points, i)["y"] - _next(points, i)["x"] * p["y"])
+    return F.aggregate(cross, F.lit(0.0), lambda total, v: total + v)
+
+
+def _once(value: Column, then: Callable[[Column], Column]) -> Column:
+    return F.transform(F.array(value), then)[0]
+
+
+def clipped(subject: Column, convex: Column) -> Column:
+    """What a convex ring leaves of any ring, both closed: each edge of the convex ring cuts the points in turn.
+
+    The result has no closing point. A ring that bends inwards may come out with
+    parts joined along the clipping edge; its area is right all the same.
     """
 
-    def clip(subject: np.ndarray, clipper: np.ndarray) -> float:
-        x, y = clipper[:, 0], clipper[:, 1]
-        if np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y) < 0:
-            clipper = clipper[::-1]
-        points = subject
-        for a, b in zip(clipper, np.roll(clipper, -1, axis=0)):
-            if len(points) == 0:
-                return 0.0
-            edge = b - a
-            side = edge[0] * (points[:, 1] - a[1]) - edge[1] * (points[:, 0] - a[0])
-            kept = []
-            for i in range(len(points)):
-                j = (i + 1) % len(points)
-                if side[i] >= 0:
-                    kept.append(points[i])
-                if (side[i] >= 0) != (side[j] >= 0):
-                    kept.append(points[i] + (points[j] - points[i]) * (side[i] / (side[i] - side[j])))
-            points = np.array(kept)
-        if len(points) < 3:
-            return 0.0
-        x, y = points[:, 0], points[:, 1]
-        return abs(float(np.sum(x * np.roll(y, -1) - np.roll(x, -1) * y))) / 2
-
-    def clip_area(sx: pd.Series, sy: pd.Series, cx: pd.Series, cy: pd.Series) -> pd.Series:
-        areas = [
-            clip(np.column_stack([a, b])[:-1], np.column_stack([p, q])[:-1])
-            for a, b, p, q in zip(sx, sy, cx, cy)
-        ]
-        return pd.Series(areas, dtype="float64")
-
-    return F.pandas_udf(clip_area, T.DoubleType())
-
-
-def _axis(ring: Column, axis: str) -> Column:
-    return F.transform(ring, lambda v: v[axis])
+    def cut(points: Column, edge: Column) -> Column:
+        def side(p: Column) -> Column:
+            return edge["dx"] * (p["y"] - edge["ay"]) - edge["dy"] * (p["x"] - edge["ax"])
+
+        def keep(p: Column, i: Column) -> Column:
+            def choose(h: Column) -> Column:
+                here, there, q = h["s"], h["t"], h["q"]
+                share = here / (here - there)
+                crossing = poly.vertex(h["p"]["x"] + (q["x"] - h["p"]["x"]) * share, h["p"]["y"] + (q["y"] - h["p"]["y"]) * share)
+                return (
+                    F.when((here >= 0) & (there >= 0), F.array(h["p"]))
+                    .when(here >= 0, F.array(h["p"], crossing))
+                    .when(there >= 0, F.array(crossing))
+                    .otherwise(F.slice(F.array(h["p"]), 1, 0))
+                )
+
+            q = _next(points, i)
+            return _once(F.struct(p.alias("p"), q.alias("q"), side(p).alias("s"), side(q).alias("t")), choose)
+
+        return F.flatten(F.transform(points, keep))
+
+    def against(c_: Column) -> Column:
+        turn = F.when(_twice_area(c_) < 0, -1.0).otherwise(1.0)
+        edges = F.transform(c_, lambda a, i: F.struct(
+            a["x"].alias("ax"), a["y"].alias("ay"),
+            ((_next(c_, i)["x"] - a["x"]) * turn).alias("dx"), ((_next(c_, i)["y"] - a["y"]) * turn).alias("dy"),
+        ))
+        return F.aggregate(edges, F.slice(subject, F.lit(1), F.size(subject) - 1), cut)
+
+    return _once(F.slice(convex, F.lit(1), F.size(convex) - 1), against)
 
 
 def overlap_area(subject: Column, convex: Column) -> Column:
     """Intersection area of two outer rings; the second one must be convex."""
-    return clip_area_udf()(_axis(subject, "x"), _axis(subject, "y"), _axis(convex, "x"), _axis(convex, "y"))
+    return _once(clipped(subject, convex), lambda left: F.abs(_twice_area(left)) / 2.0)
 
 
 def overlap_ratio(aoi: Column, footprint: Column) -> Column:
@@ -101,10 +105,13 @@ def box_overlap_ratio(x0: Column, y0: Column, x1: Column, y1: Column, bx0: Colum
 
 
 def coverage_percent(viewport: Column, footprint: Column) -> Column:
-    """Ellipsoidal share of a viewport covered by a convex footprint, at most 100."""
-    flat_view = geo.equal_area(F.array(F.array(viewport)))[0][0]
-    flat_foot = geo.equal_area(F.array(F.array(footprint)))[0][0]
-    return F.least(F.lit(100.0), overlap_area(flat_view, flat_foot) * 100.0 / poly.ring_area(flat_view))
+    """Ellipsoidal share of a convex viewport ring covered by the outer rings of all parts of a footprint, at most 100."""
+
+    def share(view: Column) -> Column:
+        parts = F.transform(geo.equal_area(footprint), lambda part: overlap_area(part[0], view))
+        return F.least(F.lit(100.0), F.aggregate(parts, F.lit(0.0), lambda total, v: total + v) * 100.0 / poly.ring_area(view))
+
+    return _once(geo.equal_area(F.array(F.array(viewport)))[0][0], share)
 
 
 def join_boxes(left: DataFrame, right: DataFrame, *, on: list[str], cell: float = 5.0) -> DataFrame:
@@ -130,33 +137,32 @@ def join_boxes(left: DataFrame, right: DataFrame, *, on: list[str], cell: float
     return pairs.where(touch & home).drop("cell_x", "cell_y")
 
 
-def _box_ring(x0: str, y0: str, x1: str, y1: str) -> Column:
+def box_ring(x0: str, y0: str, x1: str, y1: str) -> Column:
     return poly.ring((c(x0), c(y0)), (c(x1), c(y0)), (c(x1), c(y1)), (c(x0), c(y1)))
 
 
-def spatial_search(
-    viewports: DataFrame, scenes: DataFrame, *, lookback_days: int, limit: int
-) -> DataFrame:
-    """Accepted scenes that meet each viewport, newest first; the first ``limit`` are within_limit.
+def meet_viewports(viewports: DataFrame, scenes: DataFrame) -> DataFrame:
+    """Every scene of a viewport's source that meets it within its own range of days, with the share of it that is covered.
 
-    ``viewports``: request_id, source_no, request_date, max_cloud, x0..y1.
-    ``scenes``: source_no, scene_id, acq_date, status, cloud_percent, x0..y1.
-    Days are bucketed by the look-back, so the join key is source, day bucket
-    and grid cell.
+    ``viewports``: request_id, source_no, start_date, end_date, x0..y1 (a box).
+    ``scenes``: source_no, scene_id, acq_date, footprint (polygons of any shape)
+    and what else is wanted. Ranges are spread over buckets of days and boxes
+    over cells; a pair meets in one of them, by equality.
     """
-    day = F.unix_date("request_date")
-    asked = viewports.withColumn(
-        "bucket", F.explode(F.sequence(F.floor((day - lookback_days + 1) / lookback_days), F.floor(day / lookback_days)))
-    )
-    offered = scenes.where("status = 'accepted' and cloud_percent is not null").select(
-        "source_no", "scene_id", "acq_date", "product_id", "cloud_percent",
-        *[c(n).alias(f"b{n}") for n in ("x0", "y0", "x1", "y1")],
-        F.floor(F.unix_date("acq_date") / lookback_days).alias("bucket"),
+    first, last = F.unix_date("start_date"), F.unix_date("end_date")
+    asked = viewports.where("end_date >= start_date").withColumn(
+        "bucket", F.explode(F.sequence(F.floor(first / RANGE_BUCKET), F.floor(last / RANGE_BUCKET)))
     )
-    age = F.datediff("request_date", "acq_date")
-    met = join_boxes(asked, offered, on=["source_no", "bucket"]).where(
-        (age >= 0) & (age < lookback_days) & (c("cloud_percent") <= c("max_cloud"))
+    offered = scenes.withColumn("box", poly.bounds(c("footprint"))).select(
+        *scenes.columns, *[c(f"box.{n}").alias(f"b{n}") for n in ("x0", "y0", "x1", "y1")],
+        F.floor(F.unix_date("acq_date") / RANGE_BUCKET).alias("bucket"),
     )
-    newest = ranked_per(met, ["request_id"], [c("acq_date").desc(), c("product_id")], limit)
-    covered = coverage_percent(_box_ring("x0", "y0", "x1", "y1"), _box_ring("bx0", "by0", "bx1", "by1"))
-    return newest.withColumn("coverage_percent", covered)
+    met = join_boxes(asked, offered, on=["source_no", "bucket"]).where(c("acq_date").between(c("start_date"), c("end_date")))
+    return met.withColumn("coverage_percent", coverage_percent(box_ring("x0", "y0", "x1", "y1"), c("footprint")))
+
+
+def spatial_search(viewports: DataFrame, scenes: DataFrame, *, limit: int) -> DataFrame:
+    """Accepted scenes under each viewport's cloud limit, newest first; the first ``limit`` are within_limit."""
+    usable = scenes.where("status = 'accepted' and cloud_percent is not null")
+    met = meet_viewports(viewports, usable).where("cloud_percent <= max_cloud")
+    return ranked_per(met, ["request_id"], [c("acq_date").desc(), c("product_id")], limit)

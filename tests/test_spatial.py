@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from agrolume.functions import geo
 from agrolume.functions import polygons as poly
-from agrolume.operators import geometry, grid, selection, spatial, zonal
+from agrolume.operators import georef, geometry, grid, raster, selection, spatial, zonal
 from agrolume.plans.world import World
 from agrolume.sources import pixels as pixel_source
 
@@ -110,7 +110,7 @@ def plan(df) -> str:
 def test_joins_never_fall_back_to_nested_loops(spark):
     w = World(spark, SF)
     frames = lambda: (
-        spatial.join_field_pixels(w.pixels, w.fields),
+        georef.join_pixels(w.pixels, w.field_spans),
         selection.join_request_scenes(w.requests, w.catalog, on=("source_no", "aoi_no")),
         selection.nearest_scene(w.requests, w.catalog, on=("source_no", "aoi_no")),
         geometry.join_boxes(w.fields, w.fields.selectExpr("field_id as other", "x0 as bx0", "y0 as by0", "x1 as bx1", "y1 as by1"), on=[]),
@@ -180,6 +180,58 @@ def test_clip_matches_rectangles_and_triangles(spark):
     assert (got.t, got.f, got.s) == (1.0, 0.0, 0.5)
 
 
+@settings(max_examples=6, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(st.lists(corner, min_size=3, max_size=6, unique=True), st.tuples(st.integers(0, 20), st.integers(0, 20)))
+def test_clipped_area_is_additive(spark, ring, at):
+    """A ring that bends or crosses itself as it likes: two halves of a box cut from it what the whole box does."""
+    x, y = at[0] / 4, at[1] / 4
+    box = lambda a, b, p, q: poly.ring((F.lit(a), F.lit(b)), (F.lit(p), F.lit(b)), (F.lit(p), F.lit(q)), (F.lit(a), F.lit(q)))
+    subject = poly.ring(*[(F.lit(float(a)), F.lit(float(b))) for a, b in ring])
+    signed = lambda clip: geometry._twice_area(geometry.clipped(subject, clip))
+    got = spark.range(1).select(
+        signed(box(x, y, x + 4, y + 3)).alias("whole"), signed(box(x, y, x + 1.5, y + 3)).alias("left"), signed(box(x + 1.5, y, x + 4, y + 3)).alias("right"),
+        signed(poly.ring((F.lit(x), F.lit(y)), (F.lit(x), F.lit(y + 3)), (F.lit(x + 4), F.lit(y + 3)), (F.lit(x + 4), F.lit(y)))).alias("other_way"),
+        signed(box(-1.0, -1.0, 12.0, 12.0)).alias("all"),
+    ).first()
+    area = sum(a[0] * b[1] - b[0] * a[1] for a, b in zip(ring, ring[1:] + ring[:1]))
+    assert got.left + got.right == pytest.approx(got.whole, abs=1e-9) and got.other_way == pytest.approx(got.whole, abs=1e-9)
+    assert got.all == pytest.approx(area, abs=1e-9)
+
+
+def test_two_zones_and_two_resolutions(spark):
+    """One field across the border of two zones, on rasters of 10 m and 30 m: pixel for pixel as a point-by-point projection."""
+    lon0, lat0, lon1, lat1 = 77.9985, 17.0, 78.0015, 17.0025
+    grids = []
+    for no, (zone, res) in enumerate([(43, 10.0), (43, 30.0), (44, 10.0), (44, 30.0)]):
+        z = F.lit(zone)
+        e, n = (c.alias(k) for c, k in zip(geo.utm_forward(F.lit(lon0), F.lit(lat1), z), "en"))
+        corner_ = spark.range(1).select(e, n).first()
+        grids.append((no, 32600 + zone, res, 0.0, corner_.e // res * res - 5 * res, 0.0, -res, corner_.n // res * res + 5 * res, 0, 0, 40, 45))
+    frame = spark.createDataFrame(grids, "grid_no long, epsg long, a double, b double, c double, d double, e double, f double, row0 long, col0 long, height long, width long")
+    field = spark.createDataFrame([(7, lon0, lat0, lon1, lat1)], "field_id long, lon0 double, lat0 double, lon1 double, lat1 double")
+    spans = georef.field_spans(georef.lonlat_boxes(field, keep=("field_id",)), frame)
+    got = {(r.grid_no, r.rw, x) for r in spans.collect() for x in range(r.c0, r.c1)}
+    cells = frame.select("*", F.explode(F.sequence(F.lit(0), F.lit(39))).alias("rw")).select("*", F.explode(F.sequence(F.lit(0), F.lit(44))).alias("cl"))
+    x, y = c("c") + c("a") * (c("cl") + 0.5), c("f") + c("e") * (c("rw") + 0.5)
+    lon, lat = geo.utm_inverse(x, y, (c("epsg") % 100).cast("int"), F.lit(False))
+    inside_ = cells.select("grid_no", "rw", "cl", lon.alias("lon"), lat.alias("lat")).where((c("lon") >= lon0) & (c("lon") < lon1) & (c("lat") >= lat0) & (c("lat") < lat1))
+    want = {(r.grid_no, r.rw, r.cl) for r in inside_.collect()}
+    assert got and len(got ^ want) <= 0.002 * len(want)  # edges are straight in the raster's projection
+    assert {g for g, _, _ in got} == {0, 1, 2, 3}
+    pixels = spark.createDataFrame([(g, g, r, k) for g, r, k in sorted(want)], "scene_id long, grid_no long, rw long, cl long")
+    joined = georef.join_pixels(pixels, spans)
+    assert joined.count() == len(got & want) and "NestedLoop" not in plan(joined)
+
+
+def test_only_wanted_pairs_are_read(spark):
+    w = World(spark, SF)
+    wanted = w.fields.join(w.scenes.where("ym % 12 = 3"), "site").select("field_id", "scene_id", "grid_no")
+    text = plan(zonal.gate_counts(georef.join_wanted(raster.coded(w.pixels), w.field_spans, wanted)))
+    assert "LeftSemi" in text and "NestedLoop" not in text
+    every = georef.join_pixels(raster.coded(w.pixels), w.field_spans).join(wanted.drop("grid_no"), ["field_id", "scene_id"])
+    assert georef.join_wanted(raster.coded(w.pixels), w.field_spans, wanted).count() == every.count() > 0
+
+
 def test_axis_steps_cross_chunk_borders(spark):
     good = [("a", i, i * 2.0) for i in range(50)]
     bad = [("b", i, i * 2.0 + (0.5 if i >= 20 else 0.0)) for i in range(50)]
@@ -192,7 +244,7 @@ def test_no_registered_plan_degenerates(spark):
     """Without broadcasts every join is still an equi-join and nothing meets in one task."""
     import __spark_entry__ as entry
 
-    runs_on_build = ("stream_", "write_derived", "sar_change", "sar_robust", "sar_temporal", "sar_history")
+    runs_on_build = ("stream_", "write_derived", "op", "pipeline")
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
