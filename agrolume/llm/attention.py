@@ -197,19 +197,33 @@ def gradient(flat: np.ndarray, inputs: np.ndarray, cluster: np.ndarray, place: n
     return float(-logp.sum() / n), (np.concatenate([g[name].ravel() for name in SHAPES]) / n).astype(np.float32)
 
 
-def train(flat: np.ndarray, raw: np.ndarray, classes: Classes, rate: float = 0.005) -> np.ndarray:
-    """One pass of Adam over raw windows, with a falling rate."""
-    flat = flat.copy()
-    m = np.zeros_like(flat)
-    v = np.zeros_like(flat)
-    steps = range(0, len(raw), BATCH)
-    for t, a in enumerate(steps):
-        _, g = gradient(flat, *expanded(raw[a : a + BATCH], classes))
-        m += 0.1 * (g - m)
-        v += 0.01 * (g * g - v)
-        step = rate * (1 - t / len(steps)) * (m / (1 - 0.9 ** (t + 1))) / (np.sqrt(v / (1 - 0.99 ** (t + 1))) + 1e-8)
-        flat -= step.astype(np.float32)
-    return flat
+class Learner:
+    """Adam over blocks of raw windows that arrive one after another; the rate falls to a tenth over about ``steps`` steps."""
+
+    def __init__(self, flat: np.ndarray, classes: Classes, rate: float, steps: int):
+        self.flat, self.classes, self.rate, self.steps, self.done = flat.copy(), classes, rate, max(1, steps), 0
+        self.m, self.v = np.zeros_like(flat), np.zeros_like(flat)
+
+    def learn(self, raw: np.ndarray) -> None:
+        for a in range(0, len(raw), BATCH):
+            _, g = gradient(self.flat, *expanded(raw[a : a + BATCH], self.classes))
+            self.m += 0.1 * (g - self.m)
+            self.v += 0.01 * (g * g - self.v)
+            self.done += 1
+            rate = self.rate * max(0.1, 1 - (self.done - 1) / self.steps)
+            step = rate * (self.m / (1 - 0.9**self.done)) / (np.sqrt(self.v / (1 - 0.99**self.done)) + 1e-8)
+            self.flat -= step.astype(np.float32)
+
+
+def training_windows(ids: np.ndarray) -> np.ndarray:
+    """Windows of a text that do not overlap, laid out like those of raw_windows: each token is learned from once."""
+    n = len(ids)
+    at = np.arange(-(-n // WINDOW))[:, None] * WINDOW + np.arange(-1, WINDOW)
+    inside = (at >= 0) & (at < n)
+    out = np.empty((len(at), WINDOW + 2), np.uint16)
+    out[:, :-1] = np.where(inside, ids[np.clip(at, 0, n - 1)], NONE)
+    out[:, -1] = inside[:, 1:] @ (1 << np.arange(WINDOW))
+    return out
 
 
 def raw_windows(ids: np.ndarray) -> np.ndarray:

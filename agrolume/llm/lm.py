@@ -1,10 +1,10 @@
 """Language-model scores of whole texts: a unigram base and a causal self-attention model.
 
 Everything learned comes from the training texts: word counts and token counts of all
-their words and tokens, how often frequent tokens follow each other, and gradients over
-every window of each text. Partitions train apart from common parameters and
-the results are averaged, a few times over; what the corpus sends grows with it, what
-the driver holds depends on the vocabulary alone.
+their words and tokens, how often frequent tokens follow each other, and gradients at
+every token of each text. Partitions train apart from common parameters, on windows they
+cut from their own ids, and the results are averaged, once a round; what the corpus sends
+grows with it, what the driver holds depends on the vocabulary alone.
 """
 
 from __future__ import annotations
@@ -21,10 +21,14 @@ from pyspark.sql import functions as F
 from agrolume.llm import attention, tokens
 from agrolume.llm.common import is_true, ship, table, written
 
-#: Times that partitions train and are averaged: each window is gone over once a round, at every size of the corpus.
+#: Times that partitions train and are averaged. A round takes every ROUNDS-th window of each text; together they take every window once, at every size of the corpus.
 ROUNDS = 2
-#: Windows that one partition trains on, about.
-APART = 200_000
+#: Step of the first round; it falls within a round, and from round to round.
+RATE = 0.03
+#: Windows that a task holds, shuffles and trains on at a time.
+BLOCK = 65_536
+#: Models that a round averages at most; beyond, a task trains on more of the corpus.
+MODELS = 4096
 #: A word with a share of at least this of all tokens is looked up where its text is read: there are 1 / SHARE of them at most.
 SHARE = 1e-5
 #: Words counted by a task before it passes counts on.
@@ -120,18 +124,25 @@ def _follows(held: DataFrame, rank: np.ndarray) -> np.ndarray:
     return out
 
 
-def training_windows(held: DataFrame) -> DataFrame:
-    """Every window of the rows of ``held`` (ids of training texts), as raw ids."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                rows = []
-                for x in batch.column("ids").slice(a, 500):
-                    rows += [w.tobytes() for w in attention.raw_windows(np.append(np.frombuffer(x.as_py(), "<u2"), LAST).astype(np.int64))]
-                yield pa.RecordBatch.from_arrays([pa.array(rows, pa.binary())], names=["window"])
-
-    return held.select("ids").mapInArrow(cut, "window binary")
+def blocks(batches: Iterator[pa.RecordBatch], turn: int) -> Iterator[np.ndarray]:
+    """The windows of one round, of all texts of a partition, shuffled in blocks of BLOCK windows."""
+    draw = np.random.default_rng(turn)
+    kept, size = [], 0
+    for batch in batches:
+        for x in batch.column("ids"):
+            windows = attention.training_windows(np.append(np.frombuffer(x.as_py(), "<u2"), LAST).astype(np.int64))
+            # A text of one window takes part in the round that its length says.
+            windows = windows[(turn + len(windows)) % ROUNDS :: ROUNDS]
+            for a in range(0, len(windows), BLOCK):
+                kept.append(windows[a : a + BLOCK])
+                size += len(kept[-1])
+                if size >= BLOCK:
+                    block = np.concatenate(kept)
+                    yield block[draw.permutation(len(block))]
+                    kept, size = [], 0
+    if kept:
+        block = np.concatenate(kept)
+        yield block[draw.permutation(len(block))]
 
 
 def trained(held: DataFrame) -> tuple[np.ndarray, attention.Classes]:
@@ -139,23 +150,23 @@ def trained(held: DataFrame) -> tuple[np.ndarray, attention.Classes]:
     counts = _counts(held)
     classes, flat = attention.Classes.of(counts, _follows(held, attention.ranks(counts)))
     sent = held.sparkSession.sparkContext.broadcast(classes)
-    fields = attention.WINDOW + 2
-    # A text has one window more for every FRESH tokens beyond the first; those of one text go to different partitions.
-    n = int(counts.sum() / attention.FRESH)
-    windows = written(training_windows(held).repartition(max(1, -(-n // APART))), "windows")
+    ids = held.select("ids").coalesce(MODELS)
+    parts = max(1, ids.rdd.getNumPartitions())
+    steps = int(counts.sum() / attention.WINDOW / attention.BATCH / ROUNDS / parts)
     for turn in range(ROUNDS if counts.any() else 0):
 
         def learn(batches: Iterator[pa.RecordBatch], flat=flat, turn=turn) -> Iterator[pa.RecordBatch]:
-            rows = [np.frombuffer(b"".join(batch.column("window").to_pylist()), np.uint16).reshape(-1, fields) for batch in batches if batch.num_rows]
-            if rows:
-                raw = np.concatenate(rows)
-                raw = raw[np.random.default_rng(turn).permutation(len(raw))]
-                flat = attention.train(flat, raw, sent.value, 0.006 / (1 + turn))
-                yield pa.RecordBatch.from_arrays([pa.array([flat.tolist()], pa.list_(pa.float32())), pa.array([len(raw)], pa.int64())], names=["flat", "n"])
-
-        models = windows.mapInArrow(learn, "flat array<float>, n bigint").select("n", F.posexplode("flat").alias("i", "x"))
+            learner, n = attention.Learner(flat, sent.value, RATE / (1 + turn), steps), 0
+            for block in blocks(batches, turn):
+                learner.learn(block)
+                n += len(block)
+            if n:
+                yield pa.RecordBatch.from_arrays([pa.array([learner.flat.tolist()], pa.list_(pa.float32())), pa.array([n], pa.int64())], names=["flat", "n"])
+
+        models = ids.mapInArrow(learn, "flat array<float>, n bigint").select("n", F.posexplode("flat").alias("i", "x"))
         mean = models.groupBy("i").agg((F.sum(F.col("x").cast("double") * F.col("n")) / F.sum("n")).alias("x")).collect()
-        flat = np.array([r.x for r in sorted(mean, key=lambda r: r.i)], np.float32)
+        if mean:
+            flat = np.array([r.x for r in sorted(mean, key=lambda r: r.i)], np.float32)
     return flat, classes
 
 
