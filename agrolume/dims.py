@@ -73,6 +73,9 @@ INDEX_SOURCES = {
     for name, pair in INDEX_PAIRS.items()
 }
 
+# Indices that a date must have to count as ready, per source family.
+REQUIRED_INDICES = {"s2": ("ndvi",), "landsat": ("ndvi", "msavi", "ndmi", "ndwi_green_nir"), "resourcesat": ("ndvi",)}
+
 # Usable / cloud / shadow / nodata mask classes per family.
 MASK_POLICY = {
     "s2": ((4, 5, 6), (8, 9, 10), (3,), (0,)),

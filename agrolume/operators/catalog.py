@@ -178,3 +178,16 @@ def integrity(expected_bytes: Column, actual_bytes: Column, header: Column, expe
         .when(wanted != actual, "checksum_mismatch")
         .otherwise("verified")
     )
+
+
+def complete_dates(dated: DataFrame, required: dict[int, tuple[str, ...]], *, keys: tuple[str, ...] = ("source_no", "aoi_no", "acq_date")) -> DataFrame:
+    """Dates on which every index that the row's source requires exists.
+
+    ``required`` is the profile: index names per source, a handful of constants. One pass, one aggregate with
+    map-side sets of at most as many names as a source requires.
+    """
+    wanted = F.create_map(*[x for no, names in required.items() for x in (F.lit(no).cast("long"), F.array(*map(F.lit, names)))])
+    needed = F.try_element_at(wanted, c("source_no").cast("long"))
+    have = dated.withColumn("needed", needed).where(F.array_contains("needed", c("index_name")))
+    counted = have.groupBy(*keys).agg(F.size(F.collect_set("index_name")).alias("have"), F.first(F.size("needed")).alias("needed"))
+    return counted.where("have = needed").select(*keys)

@@ -86,6 +86,26 @@ def ranked_per(df: DataFrame, keys: list[str], order: list[Column], limit: int |
     return out if limit is None else out.withColumn("within_limit", c(rank) <= limit)
 
 
+def ranked_in_bins(df: DataFrame, keys: list[str], order: list[Column], bins: list[tuple[Column, bool]], limit: int | None = None, rank: str = "rank") -> DataFrame:
+    """What ranked_per gives, for keys with very many rows: rows are ranked within bins, and bins by their counts.
+
+    ``bins`` are coarser steps of ``order``, each with whether it descends (nulls last): rows of an earlier bin come
+    before all rows of a later one.
+    A window then holds one bin of a key, and another the key's bins, not its rows.
+    """
+    names = [f"bin_{k}" for k in range(len(bins))]
+    binned = df.withColumns({n: value for n, (value, _) in zip(names, bins, strict=True)})
+    sizes = binned.groupBy(*keys, *names).agg(F.count(F.lit(1)).alias("bin_size"))
+    steps = [c(n).desc_nulls_last() if down else c(n).asc_nulls_first() for n, (_, down) in zip(names, bins, strict=True)]
+    before = Window.partitionBy(*keys).orderBy(*steps).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.withColumn("ahead", F.coalesce(F.sum("bin_size").over(before), F.lit(0))).drop("bin_size")
+    inner = F.row_number().over(Window.partitionBy(*[binned[n] for n in (*keys, *names)]).orderBy(*order))
+    ranks = binned.withColumn("inner_rank", inner)
+    out = ranks.join(offsets.withColumnsRenamed({n: f"of_{n}" for n in (*keys, *names)}), [ranks[n].eqNullSafe(F.col(f"of_{n}")) for n in (*keys, *names)])
+    out = out.select(*df.columns, (c("ahead") + c("inner_rank")).alias(rank))
+    return out if limit is None else out.withColumn("within_limit", c(rank) <= limit)
+
+
 def candidates(
     requests: DataFrame,
     scenes: DataFrame,
@@ -265,7 +285,9 @@ def top_by_overlap(candidates_df: DataFrame, keys: list[str], k: int, *, by_prod
     """Largest overlap first, then newest; optionally the product id decides ties. The first k are within_limit."""
     order = [c("overlap_area").desc(), c("acq_date").desc_nulls_last()]
     order += [c("product_id").desc()] if by_product else [c("item_no")]
-    return ranked_per(candidates_df, keys, order, k)
+    # Areas within some 9 % of each other and one day make a bin.
+    size = F.when(c("overlap_area") > 0, F.floor(F.log2("overlap_area") * 8))
+    return ranked_in_bins(candidates_df, keys, order, [(size, True), (F.substring(c("acq_date").cast("string"), 1, 10), True)], k)
 
 
 def landsat_order() -> list[Column]:
@@ -275,6 +297,11 @@ def landsat_order() -> list[Column]:
     ]
 
 
+def landsat_bins() -> list[tuple[Column, bool]]:
+    """Coarser steps of the first two of landsat_order."""
+    return [(F.floor(-c("overlap_ratio")), False), (F.floor(F.coalesce(c("cloud_percent"), F.lit(101.0))), False)]
+
+
 def latest_exact_date(scenes: DataFrame, keys: list[str]) -> DataFrame:
     """All scenes that share the newest acquisition date of their group."""
     newest = scenes.groupBy(*keys).agg(F.max("acq_date").alias("acq_date"))

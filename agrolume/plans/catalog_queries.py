@@ -69,13 +69,10 @@ def join_scene_raster(w: World) -> DataFrame:
 def join_index_mask(w: World) -> DataFrame:
     """Index raster with its mask: an explicit mask raster, else the source's own."""
     cell = ["scene_id", "rw", "cl"]
-    index = raster.index_raster(w.pixels, "ndvi").select(*cell, "code")
-    optical = w.pixels.where("source_no <= 4")
-    explicit = optical.where("scene_id % 3 = 0").select(*cell, F.when(c("scl") == 0, 0).otherwise(1).alias("explicit_mask"))
-    default = raster.optical(w.pixels).select(*cell, c("mask").alias("default_mask"))
-    return index.join(explicit, cell, "left").join(default, cell, "left").select(
-        *cell, "code", F.coalesce("explicit_mask", "default_mask").alias("mask")
-    )
+    # The source's own mask comes with the index row; only scenes with an explicit raster are joined.
+    index = raster.index_raster(w.pixels, "ndvi").select(*cell, "code", c("mask").alias("own"))
+    explicit = w.pixels.where("source_no <= 4 and scene_id % 3 = 0").select(*cell, F.when(c("scl") == 0, 0).otherwise(1).alias("explicit_mask"))
+    return index.join(explicit, cell, "left").select(*cell, "code", F.coalesce("explicit_mask", "own").alias("mask"))
 
 
 @query(
@@ -169,23 +166,19 @@ def latest_processed_date(w: World) -> DataFrame:
     return completed(w).groupBy("source_no", "aoi_no").agg(F.max("acq_date").alias("latest_date"))
 
 
+# Fixed number of required indices per source, as rows of the profile.
+_REQUIRED = {no: dims.REQUIRED_INDICES[family] for no, _, _, _, family in dims.SOURCES if family in dims.REQUIRED_INDICES}
+
+
 @query(
     "dates_intersection",
-    "select source_no, aoi_no, acq_date from rasters where index_name = 'ndvi' intersect select source_no, aoi_no, acq_date from rasters where index_name = 'msavi' "
-    "intersect select source_no, aoi_no, acq_date from rasters where index_name = 'ndwi_green_nir'",
+    "select source_no, aoi_no, acq_date from rasters join (values " + ", ".join(f"({no}, '{name}', {len(names)})" for no, names in _REQUIRED.items() for name in names)
+    + ") as q(sno, wanted, needed) on sno = source_no and wanted = index_name group by source_no, aoi_no, acq_date, needed having count(distinct index_name) = needed",
     tables="rasters",
 )
 def dates_intersection(w: World) -> DataFrame:
-    """Dates on which every one of three indices exists, per (source, AOI).
-
-    One pass and one aggregate instead of three scans that intersect.
-    """
-    wanted = ("ndvi", "msavi", "ndwi_green_nir")
-    dated = rasters(w).where(c("index_name").isin(*wanted))
-    have = [F.max(F.when(c("index_name") == n, 1)).alias(n) for n in wanted]
-    return dated.groupBy("source_no", "aoi_no", "acq_date").agg(*have).where(
-        " and ".join(f"{n} = 1" for n in wanted)
-    ).drop(*wanted)
+    """Dates on which every index that the source's profile requires exists, per (source, AOI)."""
+    return catalog.complete_dates(rasters(w), _REQUIRED)
 
 
 _MIRROR = "case when (scene_id + p) % 4 = 0 then 'pending' else 'mirrored' end"

@@ -9,6 +9,7 @@ from agrolume import dims
 from agrolume.functions import keys, text
 from agrolume.functions.rounding import r6
 from agrolume.operators import raster, selection
+from agrolume.functions.redaction import redact_json
 from agrolume.plans.registry import query
 from agrolume.plans.world import World, add_table
 from agrolume.session import shared_folder
@@ -154,18 +155,18 @@ def select_landsat(w: World) -> DataFrame:
     """Landsat order (overlap, cloud, platform, id); the first five are within the limit of new scenes."""
     platform = F.expr("case when scene_id % 5 = 0 then null when scene_id % 2 = 0 then 'landsat-8' else 'landsat-9' end")
     scenes = w.catalog.where("source_no = 1").select("*", c("coverage_percent").alias("overlap_ratio"), platform.alias("platform"))
-    return selection.ranked_per(scenes, ["aoi_no"], selection.landsat_order(), 5).select(
+    return selection.ranked_in_bins(scenes, ["aoi_no"], selection.landsat_order(), selection.landsat_bins(), 5).select(
         "aoi_no", "scene_id", c("rank").cast("long").alias("rank"), "within_limit"
     )
 
 
 @query(
     "search_completeness",
-    "select request_no, least(n, 20) as items, cast(least(ceil(n/8e0), 3) as bigint) as pages, n > 20 as truncated, not (n > 20) as exhausted "
+    "select request_no, n as offered, cast(ceil(n/8e0) as bigint) as offered_pages, least(n, 20) as items, cast(least(ceil(n/8e0), 3) as bigint) as pages, n > 20 as truncated, not (n > 20) as exhausted "
     "from (select o_custkey as request_no, count(*) as n from orders group by o_custkey) s",
 )
 def search_completeness(w: World) -> DataFrame:
-    """Pages of eight items per customer search, at most twenty items kept."""
+    """Pages of eight items per customer search: all that is offered, and what a search with a cap of twenty items keeps."""
     from pyspark.sql import Window
 
     orders = w.table("orders").selectExpr("o_custkey as request_no", "o_orderkey")
@@ -203,15 +204,16 @@ def band_meta_parse(w: World) -> DataFrame:
 _FC = (
     "concat('{\"bbox\":[0,0,', cast(c_custkey % 50 + 10 as varchar(20)), ',9],\"features\":[{\"id\":\"sample_field_', cast(c_custkey as varchar(20)), "
     "'\",\"properties\":{\"role\":\"', case c_custkey % 3 when 0 then 'sample_field' when 1 then 'aoi_polygon' else 'centre_point' end, "
-    "'\"},\"geometry\":{\"type\":\"Polygon\",\"coordinates\":[[[0,0],[', cast(c_custkey % 9 + 1 as varchar(20)), ',0],[1,1],[0,0]]]}', "
+    "'\"},\"geometry\":{\"type\":\"', case when c_custkey % 4 = 0 then 'MultiPolygon\",\"coordinates\":[[[[5,5],[6,5],[6,6],[5,5]]],' else 'Polygon\",\"coordinates\":' end, "
+    "'[[[0,0],[', cast(c_custkey % 9 + 1 as varchar(20)), ',0],[1,1],[0,0]]]', case when c_custkey % 4 = 0 then ']}' else '}' end, "
     "case when c_custkey % 2 = 0 then ',\"bbox\":[1,2,3,4]' else '' end, '}]}')"
 )
 
 
 @query(
     "aoi_load_geojson",
-    "select c_custkey as doc_no, 'sample_field_' || c_custkey as aoi_id, 'Sample Field ' || c_custkey as name, 'Polygon' as geometry_type, "
-    "case when c_custkey % 2 = 0 then 3e0 else c_custkey % 50 + 10e0 end as east, 4 as vertices from customer where c_custkey % 3 <> 2",
+    "select c_custkey as doc_no, 'sample_field_' || c_custkey as aoi_id, 'Sample Field ' || c_custkey as name, case when c_custkey % 4 = 0 then 'MultiPolygon' else 'Polygon' end as geometry_type, "
+    "case when c_custkey % 2 = 0 then 3e0 else c_custkey % 50 + 10e0 end as east, case when c_custkey % 4 = 0 then 8 else 4 end as vertices from customer where c_custkey % 3 <> 2",
 )
 def aoi_load_geojson(w: World) -> DataFrame:
     from agrolume.functions import polygons as poly
@@ -420,17 +422,24 @@ def redact_url(w: World) -> DataFrame:
 
 @query(
     "redact_metadata",
-    "select k, 'k' || k as name, '[REDACTED]' as my_token, '[REDACTED]' as download, case when k % 2 = 0 then 'Bearer [REDACTED]' else 'plain ' || k end as note from log_text",
+    "select k, 'k' || k as name, '[REDACTED]' as my_token, '[REDACTED]' as download, case when k % 2 = 0 then 'Bearer [REDACTED]' else 'plain ' || k end as note, "
+    "'{\"id\":' || k || ',\"parts\":[{\"access_token\":\"[REDACTED]\",\"note\":\"' || case when k % 2 = 0 then 'Bearer [REDACTED]' else 'plain ' || k end || '\"},[\"https://h.example/p?sig=[REDACTED]&x=' || k "
+    "|| '\",null,true]],\"inner\":{\"providerHref\":\"[REDACTED]\",\"deep\":{\"x-goog-id\":\"[REDACTED]\",\"n\":1.5}}}' as document from log_text",
     tables="log_text",
 )
 def redact_metadata(w: World) -> DataFrame:
+    """Flat string maps, and JSON documents with maps in lists in maps."""
     note = F.when(c("k") % 2 == 0, F.concat(F.lit("Bearer abc"), c("k"))).otherwise(F.concat(F.lit("plain "), c("k")))
     metadata = F.create_map(
         F.lit("name"), F.concat(F.lit("k"), c("k")), F.lit("my_token"), F.concat(F.lit("s"), c("k")),
         F.lit("Download-URL"), c("txt"), F.lit("note"), note,
     )
-    return w.log_text.select("k", text.redact_map(metadata).alias("m")).select(
-        "k", c("m")["name"].alias("name"), c("m")["my_token"].alias("my_token"), c("m")["Download-URL"].alias("download"), c("m")["note"].alias("note")
+    document = F.format_string(
+        '{"id": %d, "parts": [{"access_token": ["s", %d], "note": "%s"}, ["https://h.example/p?sig=s&x=%d", null, true]], '
+        '"inner": {"providerHref": {"u": "s"}, "deep": {"x-goog-id": "s%d", "n": 1.5}}}', c("k"), c("k"), note, c("k"), c("k"),
+    )
+    return w.log_text.select("k", text.redact_map(metadata).alias("m"), redact_json(document).alias("document")).select(
+        "k", c("m")["name"].alias("name"), c("m")["my_token"].alias("my_token"), c("m")["Download-URL"].alias("download"), c("m")["note"].alias("note"), "document"
     )
 
 

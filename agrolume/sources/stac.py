@@ -141,7 +141,7 @@ def normalize_candidates(raw: DataFrame, *, keep: list[str], aoi_bbox: Column) -
 
 
 def search_completeness(items: DataFrame, *, request: str, page: str, position: str, has_next: str, cap: int) -> DataFrame:
-    """Per search: kept items, pages read, exhausted, truncated by the item cap.
+    """Per search: items and pages offered, kept items, pages read, exhausted, truncated by the item cap.
 
     Per-page sums come first, so a search with very many items is never one
     group of rows; a running total over its pages finds where the cap bites.
@@ -155,13 +155,15 @@ def search_completeness(items: DataFrame, *, request: str, page: str, position:
         F.sum("n").over(Window.partitionBy(request).orderBy(page).rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)
     )
     # The cap stops the search on the page that reaches it.
-    read = pages.withColumn("before", before).where(c("before") < cap)
-    total = F.sum("n")
+    read = c("before") < cap
+    total = F.sum(F.when(read, c("n")))
     reached = total >= cap
-    truncated = reached & ((total > cap) | F.max_by("more", c(page)))
-    return read.groupBy(request).agg(
+    truncated = reached & ((total > cap) | F.max_by("more", F.when(read, c(page))))
+    return pages.withColumn("before", before).groupBy(request).agg(
+        F.sum("n").alias("offered"),
+        F.count("*").alias("offered_pages"),
         F.least(total, F.lit(cap)).alias("items"),
-        F.count("*").alias("pages"),
+        F.count_if(read).alias("pages"),
         truncated.alias("truncated"),
         (~truncated).alias("exhausted"),
     )

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrolume.functions.text import band_token
@@ -31,7 +31,7 @@ def parse_key_values(lines: DataFrame, *, file: str, line: str) -> DataFrame:
 
 FEATURES = (
     "struct<bbox:array<double>,features:array<struct<id:string,bbox:array<double>,"
-    "properties:struct<role:string>,geometry:struct<type:string,coordinates:array<array<array<double>>>>>>>"
+    "properties:struct<role:string>,geometry:struct<type:string,coordinates:string>>>>"
 )
 # Feature roles that are areas of interest.
 ROLES = ("aoi_polygon", "sample_field")
@@ -46,14 +46,46 @@ def load_features(documents: DataFrame, *, key: str, column: str) -> DataFrame:
         F.initcap(F.translate("f.id", "_", " ")).alias("name"),
         c("f.geometry.type").alias("geometry_type"),
         F.coalesce("f.bbox", "all_bbox").alias("bbox"),
-        ring_to_polygons(c("f.geometry.coordinates")).alias("geometry"),
+        polygons_of(c("f.geometry.type"), c("f.geometry.coordinates")).alias("geometry"),
     )
 
 
-def ring_to_polygons(coordinates: Column) -> Column:
-    """GeoJSON polygon coordinates -> the package's polygon column."""
+def polygons_of(kind: Column, coordinates: Column) -> Column:
+    """GeoJSON coordinates (JSON text) of a Polygon or MultiPolygon -> the package's polygon column.
+
+    Positions may carry a height, which is left out. Null for other kinds and for coordinates that do not parse.
+    """
     ring = lambda r: F.transform(r, lambda p: F.struct(p[0].alias("x"), p[1].alias("y")))
-    return F.array(F.transform(coordinates, ring))
+    part = lambda p: F.transform(p, ring)
+    one = F.from_json(coordinates, "array<array<array<double>>>")
+    many = F.from_json(coordinates, "array<array<array<array<double>>>>")
+    return F.when(kind == "Polygon", F.when(one.isNotNull(), F.array(part(one)))).when(kind == "MultiPolygon", F.transform(many, part))
+
+
+def read_key_values(spark: SparkSession, path: str) -> DataFrame:
+    """``KEY=VALUE`` text files: (file, key, value, duplicate), as parse_key_values gives them.
+
+    A folder or a pattern is read as one table of lines with the path of each; a byte order mark is left out.
+    """
+    lines = spark.read.text(path).select(c("_metadata.file_path").alias("file"), F.regexp_replace("value", "^\\uFEFF", "").alias("line"))
+    return parse_key_values(lines, file="file", line="line")
+
+
+def band_metadata(values: DataFrame, *, file: str) -> DataFrame:
+    """One row per file: ``metadata`` map, or null with the typed ``failure`` of a file that repeats a key.
+
+    ``values`` is what parse_key_values gives. The repeated keys are named in order.
+    """
+    repeated = F.array_sort(F.collect_set(F.when(c("duplicate"), c("key"))))
+    entries = F.collect_list(F.struct("key", "value"))
+    files = values.groupBy(file).agg(repeated.alias("repeated"), entries.alias("entries"))
+    broken = F.size("repeated") > 0
+    return files.select(
+        file,
+        F.when(~broken, F.map_from_entries("entries")).alias("metadata"),
+        F.when(broken, "INVALID_PRODUCT").alias("failure"),
+        F.when(broken, F.concat(F.lit("duplicate key: "), F.array_join("repeated", ", "))).alias("reason"),
+    )
 
 
 # Date keys of band metadata, best first.
