@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agrolume import dims
 from agrolume.functions import keys, text
-from agrolume.operators import catalog, raster
+from agrolume.operators import catalog, raster, validation
 from agrolume.plans.registry import query
 from agrolume.plans.world import World, add_table
 from agrolume.sources import stac
@@ -234,17 +234,71 @@ def composite_provenance_filter(w: World) -> DataFrame:
     return rows.select("scene_id", catalog.provenance_ok(c("composite"), c("acquired"), c("days")).alias("accepted"))
 
 
+# Landsat items with a fault of each kind; the assets of an item and their values, by the same expressions in both engines.
+_LANDSAT = {
+    "item_key": "o_orderkey",
+    "product_id": "concat(case when o_orderkey % 11 = 0 then 'LE07' when o_orderkey % 2 = 0 then 'LC08' else 'LC09' end, '_L2', case when o_custkey % 3 = 0 then 'SR' else 'SP' end, "
+    "'_146039_20240105_02_', case when o_orderkey % 13 = 0 then 'T2' else 'T1' end)",
+    "platform": "case when o_orderkey % 17 = 0 then 'landsat-7' when (o_orderkey + o_custkey % 19 * 0) % 2 = 0 or o_custkey % 19 = 0 then 'landsat-8' else 'LANDSAT-9' end",
+    "collection_number": "case o_custkey % 7 when 0 then null when 1 then '2' when 2 then '01' else '02' end",
+    "category": "case o_orderkey % 5 when 0 then null when 1 then 't1' when 2 then 'RT' else 'T1' end",
+    "correction": "case when o_orderkey % 3 = 0 then null else 'l2sp' end",
+}
+_LANDSAT_ASSETS = ("blue", "green", "red", "nir08", "swir16", "qa_pixel", "qa_radsat")
+_ASSET_FACTS = {
+    "common_name": "case when (item_key + p) % 23 = 0 then 'pan' else k end",
+    "scale": "case when (item_key + p) % 19 = 0 then null when (item_key + p) % 29 = 0 then 0.0001 else 0.0000275 end",
+    "offset": "case when (item_key + p) % 31 = 0 then 0.0 else -0.2 end",
+    "nodata": "case when (item_key + p) % 37 = 0 then 1.0 else 0.0 end",
+    "resolution": "case when (item_key + p) % 41 = 0 then 60.0 else 30.0 end",
+    "media_type": "case when (item_key + p) % 43 = 0 then 'image/tiff' else 'image/tiff; profile=cloud-optimized' end",
+}
+add_table("landsat_items", "", "select " + ", ".join(f"{sql} as {n}" for n, sql in _LANDSAT.items()) + " from orders")
+add_table(
+    "landsat_assets",
+    "landsat_items",
+    "select item_key, p, k, " + ", ".join(f'{sql} as "{n}"' for n, sql in _ASSET_FACTS.items())
+    + " from landsat_items, (values " + ", ".join(f"({p}, '{k}')" for p, k in enumerate(_LANDSAT_ASSETS)) + ") as a(p, k) where (item_key * 7 + p) % 53 <> 0",
+)
+_FLAWS = (
+    ("invalid common name", "p < 5 and common_name <> k"), ("invalid scale", "p < 5 and (scale is null or scale = 0.0001)"), ("invalid offset", 'p < 5 and "offset" = 0'),
+    ("invalid nodata", "p < 5 and nodata = 1"), ("not 30 m", "resolution = 60"), ("not a cloud optimized GeoTIFF", "media_type = 'image/tiff'"),
+)
+_LANDSAT_SQL = (
+    "select item_key, 'landsat' as profile, concat_ws('; ', case when lower(platform) = 'landsat-7' then 'unsupported platform' end, "
+    "case when not fits then 'product id is not collection 2 tier 1 level 2' end, "
+    "case when fits and lower(platform) <> 'landsat-7' and right(lower(platform), 1) <> substring(product_id, 4, 1) then 'product id conflicts with platform' end, "
+    "case when collection_number = '01' then 'not collection 2' end, case when category = 'RT' then 'not category T1' end, "
+    "case when fits and correction is not null and product_id like '%L2SR%' then 'product id conflicts with correction' end, "
+    "case when n < 7 then 'missing assets: ' || array_to_string(list_sort(list_filter(['blue','green','red','nir08','swir16','qa_pixel','qa_radsat'], lambda x: not list_contains(ks, x))), ', ') end, "
+    + ", ".join(f"'{reason}: ' || f{k}" for k, (reason, _) in enumerate(_FLAWS))
+    + ") as problems from (select *, product_id like 'LC0%T1' as fits from landsat_items) i join (select item_key as a_key, count(*) as n, list(k) as ks, "
+    + ", ".join(f"string_agg(k, ', ' order by k) filter (where {test}) as f{k}" for k, (_, test) in enumerate(_FLAWS)) + " from landsat_assets group by item_key) a on a_key = item_key"
+)
+
+
+def landsat_items(w: World) -> DataFrame:
+    items = w.table("orders").selectExpr(*[f"{sql} as {n}" for n, sql in _LANDSAT.items()])
+    facts = ", ".join(f"'{n}', {sql if 'name' in n or 'media' in n else f'cast({sql} as double)'}" for n, sql in _ASSET_FACTS.items())
+    listed = "array(" + ", ".join(f"struct({p} as p, '{k}' as k)" for p, k in enumerate(_LANDSAT_ASSETS)) + ")"
+    facts = facts.replace("+ p)", "+ x.p)").replace("else k end", "else x.k end")
+    return items.withColumn("assets", F.expr(f"transform(filter({listed}, x -> (item_key * 7 + x.p) % 53 <> 0), x -> named_struct('key', x.k, {facts}))"))
+
+
 @query(
     "validate_scene_items",
-    "select item_key, concat_ws('; ', case when missing <> '' then 'missing required assets: ' || missing end, case when item_key % 5 = 0 then 'missing raster scale: nir' end) as problems "
-    "from (select item_key, concat_ws(', ', 'green', case when item_key % 7 = 0 then 'scl' end) as missing from item_json) s",
-    tables="item_json",
+    "select item_key, 'sentinel' as profile, concat_ws('; ', case when missing <> '' then 'missing required assets: ' || missing end, case when item_key % 5 = 0 then 'missing raster scale: nir' end) as problems "
+    "from (select item_key, concat_ws(', ', 'green', case when item_key % 7 = 0 then 'scl' end) as missing from item_json) s union all " + _LANDSAT_SQL,
+    tables="item_json landsat_items landsat_assets",
 )
 def validate_scene_items(w: World) -> DataFrame:
+    """All reasons against each item, by the rules of its profile."""
     required = ("red", "green", "nir", "scl")
     bands = F.filter(F.map_entries("i.assets"), lambda e: (e["key"] != "scl") & F.get(e["value"]["raster:bands"], F.lit(0))["scale"].isNull())
-    problems = catalog.item_problems(required, F.map_keys("i.assets"), F.transform(bands, lambda e: e["key"]))
-    return stac.parse_items(w.item_json).select("item_key", F.array_join(problems, "; ").alias("problems"))
+    found = catalog.item_problems(required, F.map_keys("i.assets"), F.transform(bands, lambda e: e["key"]))
+    sentinel = stac.parse_items(w.item_json).select("item_key", F.lit("sentinel").alias("profile"), F.array_join(found, "; ").alias("problems"))
+    landsat = landsat_items(w).select("item_key", F.lit("landsat").alias("profile"), F.array_join(validation.problems(validation.landsat_rules()), "; ").alias("problems"))
+    return sentinel.unionByName(landsat)
 
 
 @query(
