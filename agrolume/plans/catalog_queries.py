@@ -313,28 +313,32 @@ def missing_assets(w: World) -> DataFrame:
     )
 
 
+# KEY=VALUE metadata of each radar product; declared polarizations by number, from one to four, with faults.
+_SAR_DECLARED = {
+    "ProductType": "case when product_no % 23 = 0 then 'L1-SLC' else 'l2b-ard-product ' end",
+    "SatID": "sat_id", "Sensor": "case when product_no % 29 = 0 then 'OPT' else sensor end", "ImagingMode": "imaging_mode", "RTC_Apply_Flag": "rtc_flag",
+    "Missing_Frames_Flag": "case when product_no % 31 = 0 then '1' else '0' end",
+    "NoOfPolarizations": "case product_no % 37 when 0 then 'two' when 1 then '5' when 2 then '3' else '2' end",
+    "TxRxPol1": "case when product_no % 41 = 0 then 'XX' else 'HH' end", "TxRxPol2": "case when product_no % 43 = 0 then 'hh' else 'HV' end",
+    "IncidenceAngle": "incidence", "OutputPixelSpacing": "spacing",
+}
+
+
 @query(
     "validate_sar_metadata",
-    "select product_no, concat_ws(',', case when upper(trim(sat_id)) <> 'EOS-04' then 'SatID' end, case when upper(trim(imaging_mode)) <> 'MRS' then 'ImagingMode' end, "
-    "case when rtc_flag <> '1' then 'RTC_Apply_Flag' end, case when polarizations like '%xx%' then 'Polarizations' end, "
-    "case when try_cast(incidence as double) is null then 'IncidenceAngle' end) as problems from sar_meta",
+    "select product_no, concat_ws(',', " + ", ".join(
+        f"case when upper(trim({_SAR_DECLARED[key]})) <> '{expected}' then '{key}' end" for key, expected in validation.EOS04_DECLARED.items()
+    )
+    + ", case when product_no % 37 in (0, 1) then 'NoOfPolarizations' end, case when (product_no % 41 = 0 and product_no % 37 <> 0) or product_no % 37 in (1, 2) then 'TxRxPol unknown' end, "
+    "case when (product_no % 43 = 0 and product_no % 41 <> 0 and product_no % 37 <> 0) or product_no % 37 = 1 then 'TxRxPol repeated' end, "
+    "case when try_cast(incidence as double) is null then 'IncidenceAngle' end, case when try_cast(spacing as double) is null then 'OutputPixelSpacing' end) as problems from sar_meta",
     tables="sar_meta",
 )
 def validate_sar_metadata(w: World) -> DataFrame:
-    """Fields of a radar product that break its expected profile."""
-
-    def differs(name: str, expected: str) -> F.Column:
-        return F.upper(F.trim(F.coalesce(c(name), F.lit("")))) != expected
-
-    tokens = F.split(F.upper(F.trim("polarizations")), "[,;\\s]+")
-    unknown = F.size(F.array_except(tokens, F.array(*[F.lit(p) for p in text.POLARIZATIONS]))) > 0
-    checks = (
-        (differs("sat_id", "EOS-04"), "SatID"), (differs("imaging_mode", "MRS"), "ImagingMode"),
-        (differs("rtc_flag", "1"), "RTC_Apply_Flag"), (unknown, "Polarizations"),
-        (text.number(c("incidence")).isNull(), "IncidenceAngle"),
-    )
-    problems = F.array_compact(F.array(*[F.when(test, name) for test, name in checks]))
-    return w.sar_meta.select("product_no", F.array_join(problems, ",").alias("problems"))
+    """Facts of a radar product that break its expected profile, from its key-value metadata."""
+    metadata = F.create_map(*[x for key, sql in _SAR_DECLARED.items() for x in (F.lit(key), F.expr(sql))])
+    found = validation.problems(validation.eos04_rules(metadata))
+    return w.sar_meta.select("product_no", F.array_join(found, ",").alias("problems"))
 
 
 @query(
