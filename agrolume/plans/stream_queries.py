@@ -59,21 +59,34 @@ def stream_upsert_ledger(w: World) -> DataFrame:
     return ledger.upsert_ledger(ledger_stream(w))
 
 
-@query("stream_heartbeat_timeout")
+#: Hours after which a worker is lost and a cached value is old; the clock of both jobs runs an hour behind the newest event.
+SILENT_HOURS, HELD_HOURS = 6, 24
+HOUR_MS = 3_600_000
+
+
+@query(
+    "stream_heartbeat_timeout",
+    "select user_id as job_id, epoch_us(max(ts)) // 1000 as last_ms from events group by user_id "
+    f"having epoch_us(max(ts)) // 1000 + {SILENT_HOURS * HOUR_MS} < (select epoch_us(max(ts)) // 1000 - {HOUR_MS} from events)",
+)
 def stream_heartbeat_timeout(w: World) -> DataFrame:
     """Workers without a heartbeat for six hours of event time."""
     beats = event_stream(w).selectExpr("user_id as job_id", "ts")
-    lost = state.heartbeat_timeouts(beats, key="job_id", time="ts", timeout_ms=6 * 3_600_000, delay="1 hour")
+    lost = state.heartbeat_timeouts(beats, key="job_id", time="ts", timeout_ms=SILENT_HOURS * HOUR_MS, delay="1 hour")
     return files.collect_batches(lost, mode="append", label="heartbeat").drop("batch_id")
 
 
-@query("stream_ttl_cache")
+@query(
+    "stream_ttl_cache",
+    "select user_id as scene_no, epoch_us(ts) // 1000 as at_ms, max(value) as value from (select *, rank() over (partition by user_id order by epoch_us(ts) // 1000 desc) as age from events "
+    "where ts is not null and value is not null) e "
+    f"where age = 1 and epoch_us(ts) // 1000 >= (select epoch_us(max(ts)) // 1000 - {(1 + HELD_HOURS) * HOUR_MS} from events where value is not null) group by user_id, epoch_us(ts) // 1000",
+)
 def stream_ttl_cache(w: World) -> DataFrame:
-    """Newest value per scene, held for an hour of processing time."""
+    """Newest value per scene that is not older than a day of event time."""
     values = event_stream(w).selectExpr("user_id as scene_no", "ts", "value as stat")
-    held = state.ttl_cache(values, key="scene_no", time="ts", value="stat", ttl_ms=3_600_000)
-    emitted = files.collect_batches(held, mode="update", label="ttl", once=True)
-    return ledger.latest_updates(emitted, ["scene_no"])
+    held = state.ttl_cache(values, key="scene_no", time="ts", value="stat", ttl_ms=HELD_HOURS * HOUR_MS, delay_ms=HOUR_MS)
+    return state.still_held(files.collect_batches(held, mode="append", label="ttl"), "scene_no")
 
 
 @query(

@@ -6,7 +6,6 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from agrolume.operators import georef, raster, zonal
 from agrolume.streaming import files
@@ -14,33 +13,20 @@ from agrolume.streaming import files
 c = F.col
 
 
-def dedup_scenes(stream: DataFrame, *, time: str, keys: list[str], delay: str) -> DataFrame:
-    """First sight of each (provider, product) within the watermark delay."""
-    return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(keys)
+def folded(
+    stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], fold: Callable[[DataFrame], DataFrame], *, label: str
+) -> DataFrame:
+    """Run a finite stream into a keyed store and return its rows: no event is late, no key forgotten.
 
-
-def daily_counts(stream: DataFrame, *, time: str, keys: list[str], lateness: str = "7 days") -> DataFrame:
-    """Scenes per day and key; days stay open for late publications."""
-    return (
-        stream.withWatermark(time, lateness)
-        .groupBy(F.window(time, "1 day").alias("w"), *keys)
-        .agg(
-            F.count("*").alias("events"), F.sum("scene_count").alias("scene_count"), F.sum("failed_count").alias("failed_count")
-        )
-        .select(F.to_date("w.start").alias("provider_date"), *keys, "events", "scene_count", "failed_count")
-    )
-
-
-def folded(stream: DataFrame, partial: Callable[[DataFrame], DataFrame], fold: Callable[[DataFrame], DataFrame], *, label: str) -> DataFrame:
-    """Run a finite stream into a store of one partial per micro-batch and fold them: no event is late, no key forgotten."""
-    store = files.BatchStore(stream.sparkSession, label)
-    template = partial(stream).schema
+    ``prepare`` gives rows that ``fold`` brings down to one per key, within a batch and with those of the batches before.
+    """
+    store = files.KeyedStore(stream.sparkSession, label, schema=fold(prepare(stream)).schema, fold=fold)
 
     def each(batch: DataFrame, batch_id: int) -> None:
-        store.save(partial(batch), batch_id)
+        store.merge(prepare(batch), batch_id)
 
     files.run_to_end(stream, mode="append", each_batch=each, checkpoint=f"{store.path}/checkpoint")
-    return fold(store.read(StructType(template.fields)))
+    return store.read()
 
 
 def first_sights(stream: DataFrame, *, time: str, keys: list[str], label: str = "dedup") -> DataFrame:
@@ -49,79 +35,68 @@ def first_sights(stream: DataFrame, *, time: str, keys: list[str], label: str =
     def fold(rows: DataFrame) -> DataFrame:
         return rows.groupBy(*keys).agg(F.min(time).alias(time))
 
-    return folded(stream, fold, fold, label=label)
+    return folded(stream, lambda batch: batch.select(*keys, time), fold, label=label)
 
 
 def all_daily_counts(stream: DataFrame, *, time: str, keys: list[str], label: str = "daily") -> DataFrame:
     """Scenes per day and key of a finite stream, however late they come."""
-    day = [*keys, "provider_date"]
-
-    def partial(batch: DataFrame) -> DataFrame:
-        return batch.withColumn("provider_date", F.to_date(time)).groupBy(*day).agg(
-            F.count("*").alias("events"), F.sum("scene_count").alias("scene_count"), F.sum("failed_count").alias("failed_count")
-        )
+    day = ["provider_date", *keys]
+    counts = ["events", "scene_count", "failed_count"]
 
-    def fold(partials: DataFrame) -> DataFrame:
-        sums = [F.sum(n).alias(n) for n in ("events", "scene_count", "failed_count")]
-        return partials.groupBy(*day).agg(*sums).select("provider_date", *keys, "events", "scene_count", "failed_count")
-
-    return folded(stream, partial, fold, label=label)
+    def prepare(batch: DataFrame) -> DataFrame:
+        each = batch.withColumn("provider_date", F.to_date(time)).withColumn("events", F.lit(1).cast("bigint"))
+        return each.select(*day, *[c(n).cast("bigint").alias(n) for n in counts])
 
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*day).agg(*[F.sum(n).alias(n) for n in counts])
 
-def latest_updates(emitted: DataFrame, keys: list[str]) -> DataFrame:
-    """Final value per key of an update-mode stream: the newest batch wins."""
-    rest = [n for n in emitted.columns if n not in (*keys, "batch_id")]
-    newest = F.max(F.struct("batch_id", *rest)).alias("n")
-    return emitted.groupBy(*keys).agg(newest).select(*keys, *[c(f"n.{n}").alias(n) for n in rest])
+    return folded(stream, prepare, fold, label=label)
 
 
 LEDGER_KEYS = ["source_id", "aoi_no", "provider_date"]
 _NEWEST = ("event_id", "failed_count", "search_complete", "full_mode")
 
 
-def partial_ledger(batch: DataFrame) -> DataFrame:
-    """The fold of one micro-batch; folding partials again gives the same answer."""
-    return batch.groupBy(*LEDGER_KEYS).agg(
-        F.max("scene_count").alias("scene_count"), F.max("processed_count").alias("processed_count"),
-        F.max(F.struct(*_NEWEST)).alias("newest"),
-    )
+def ledger_rows(events: DataFrame) -> DataFrame:
+    return events.select(*LEDGER_KEYS, "scene_count", "processed_count", F.struct(*_NEWEST).alias("newest"))
 
 
-def fold_ledger(partials: DataFrame) -> DataFrame:
-    """Monotone ledger rows from the partials of all batches."""
-    folded = partials.groupBy(*LEDGER_KEYS).agg(
-        F.max("scene_count").alias("scene_count"), F.max("processed_count").alias("processed_count"),
-        F.max("newest").alias("newest"),
-    )
+def newest_ledger(rows: DataFrame) -> DataFrame:
+    """One row per ledger key: the largest counts and the newest event; folding folded rows again gives the same."""
+    return rows.groupBy(*LEDGER_KEYS).agg(*[F.max(n).alias(n) for n in ("scene_count", "processed_count", "newest")])
+
+
+def ledger_status(rows: DataFrame) -> DataFrame:
+    """Monotone ledger rows: complete once everything found is processed and nothing failed."""
     n = c("newest")
     done = (
         n["search_complete"] & (n["failed_count"] == 0) & (c("processed_count") >= c("scene_count"))
         & (n["full_mode"] | (c("scene_count") == 0))
     )
-    return folded.select(
+    return rows.select(
         *LEDGER_KEYS, "scene_count", "processed_count", F.when(done, "complete").otherwise("partial").alias("status")
     )
 
 
 def upsert_ledger(stream: DataFrame, *, label: str = "ledger") -> DataFrame:
-    """Run a finite event stream into a batch store and fold it."""
-    return folded(stream, partial_ledger, fold_ledger, label=label)
+    """Run a finite event stream into a keyed store of ledger rows."""
+    return ledger_status(folded(stream, ledger_rows, newest_ledger, label=label))
 
 
 def zonal_updates(pixel_stream: DataFrame, spans: DataFrame, *, label: str = "zonal") -> DataFrame:
     """Zonal statistics of every index kept current as scenes arrive.
 
-    Each micro-batch of coded pixels joins the static field spans and leaves a
-    histogram. Histograms add up, so statistics over all batches are exact, and
-    a replayed batch replaces its own histogram.
+    Each micro-batch of coded pixels joins the static field spans, and its histogram is added to the
+    one that the keyed store holds, so statistics over all batches are exact.
     """
-    store = files.BatchStore(pixel_stream.sparkSession, label)
     keys = (*zonal.PAIR, "index_name")
 
-    def each(batch: DataFrame, batch_id: int) -> None:
+    def prepare(batch: DataFrame) -> DataFrame:
         inside = raster.by_index(georef.join_pixels(batch, spans))
-        store.save(zonal.histogram(inside, keys=keys, nodata=None), batch_id)
+        return inside.select(*keys, c("code").cast("long").alias("code"), F.lit(1).cast("bigint").alias("n"))
+
+    def fold(rows: DataFrame) -> DataFrame:
+        return rows.groupBy(*keys, "code").agg(F.sum("n").alias("n"))
 
-    files.run_to_end(pixel_stream, mode="append", each_batch=each, checkpoint=f"{store.path}/checkpoint")
-    schema = StructType().add("field_id", "long").add("scene_id", "long").add("index_name", "string").add("code", "long").add("n", "long")
-    return zonal.stats_from_histogram(store.read(schema), keys=keys, unit=raster.scale_of(c("index_name")))
+    hist = folded(pixel_stream, prepare, fold, label=label)
+    return zonal.stats_from_histogram(hist, keys=keys, unit=raster.scale_of(c("index_name")))
