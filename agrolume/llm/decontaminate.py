@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from agrolume.llm import hashing
-from agrolume.llm.common import ship, table, texts
+from agrolume.llm.common import ship, table, texts, written
 
 Q = 10
 #: Share of a passage's characters that may be edited.
 EDITS = 0.08
-#: A passage with fewer letters and digits says too little to be a leak and is not searched.
+#: A passage with fewer letters and digits is found only unedited, from the start of a word to the end of one.
 LEAST = 24
 #: Characters of passages that one broadcast index holds; more passages are searched in several passes.
 INDEX_CHARS = 1_500_000
@@ -68,6 +68,18 @@ def grams(chars: np.ndarray, q: int) -> np.ndarray:
     return hashing.mix(out)
 
 
+def words_at(doc: np.ndarray, at: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray]:
+    """(starts, hashes) of the stretches of n characters that begin with a word and end with one."""
+    gap = np.diff(at) > 1
+    first, last = np.append(True, gap), np.append(gap, True)
+    starts = np.flatnonzero(first[: max(0, len(doc) - n + 1)])
+    starts = starts[last[starts + n - 1]]
+    out = np.zeros(len(starts), np.uint64)
+    for j in range(n):
+        out = out * np.uint64(0x9E3779B97F4A7C15) + doc[starts + j].astype(np.uint64)
+    return starts, out
+
+
 def align(item: np.ndarray, doc: np.ndarray, slack: int, anchored: bool = False) -> tuple[int, int]:
     """(fewest edits from the item to a part of doc, where that part ends), right up to ``slack`` edits.
 
@@ -100,27 +112,49 @@ class Index:
     item: np.ndarray
     place: np.ndarray
     maybe: np.ndarray
+    #: Short passages: per number of characters, hash -> (id, characters) of each.
+    short: dict[int, dict[int, list[tuple[int, np.ndarray]]]]
 
     @staticmethod
     def of(passages: list[tuple[int, str]], q: int, edits: float, least: int) -> Index | None:
-        held = [(i, c) for i, t in passages if len(c := plain(t)[0]) >= max(least, q + 1)]
-        if not held:
+        known = [(i, c) for i, t in passages if len(c := plain(t)[0])]
+        held = [(i, c) for i, c in known if len(c) >= max(least, q + 1)]
+        if not known:
             return None
-        sizes = np.array([len(c) for _, c in held])
+        short: dict[int, dict[int, list[tuple[int, np.ndarray]]]] = {}
+        for i, c in known:
+            if len(c) < max(least, q + 1):
+                key = int(words_at(c, np.arange(len(c)), len(c))[1][0])
+                short.setdefault(len(c), {}).setdefault(key, []).append((i, c))
+        sizes = np.array([len(c) for _, c in held], np.int64)
         # A budget so large that no shared q-gram is certain is lowered until one is.
         budget = np.minimum(np.floor(edits * sizes), (sizes - q) // q).astype(np.int64)
         all_grams = [grams(c, q) for _, c in held]
-        hashes = np.concatenate(all_grams)
+        hashes = np.concatenate([np.empty(0, np.uint64), *all_grams])
         order = np.argsort(hashes, kind="stable")
-        item = np.repeat(np.arange(len(held)), [len(g) for g in all_grams])
-        place = np.concatenate([np.arange(len(g)) for g in all_grams])
+        item = np.repeat(np.arange(len(held)), np.array([len(g) for g in all_grams], np.int64))
+        place = np.concatenate([np.empty(0, np.int64), *[np.arange(len(g)) for g in all_grams]])
         maybe = np.zeros(1 << 22, bool)
         maybe[hashes >> np.uint64(42)] = True
-        return Index(q, np.array([i for i, _ in held]), [c for _, c in held], budget, sizes + 1 - q - budget * q, hashes[order], item[order], place[order], maybe)
+        return Index(q, np.array([i for i, _ in held]), [c for _, c in held], budget, sizes + 1 - q - budget * q, hashes[order], item[order], place[order], maybe, short)
 
     def find(self, text: str) -> list[tuple[int, int, int, int]]:
         """(passage id, start, end, edits) of every passage found; start and end count code points of the text."""
         doc, at = plain(text)
+        return sorted(self._near(doc, at) + self._exact(doc, at))
+
+    def _exact(self, doc: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
+        out = []
+        for n, held in self.short.items():
+            if n > len(doc):
+                continue
+            starts, hashes = words_at(doc, at, n)
+            for k in np.flatnonzero(np.isin(hashes, np.array(list(held), np.uint64))).tolist():
+                start = int(starts[k])
+                out += [(i, int(at[start]), int(at[start + n - 1]) + 1, 0) for i, c in held[int(hashes[k])] if np.array_equal(c, doc[start : start + n])]
+        return out
+
+    def _near(self, doc: np.ndarray, at: np.ndarray) -> list[tuple[int, int, int, int]]:
         found = grams(doc, self.q)
         spots = np.flatnonzero(self.maybe[found >> np.uint64(42)])
         lo, hi = np.searchsorted(self.hashes, found[spots], "left"), np.searchsorted(self.hashes, found[spots], "right")
@@ -149,31 +183,33 @@ class Index:
         for edits, start, end, k in out:  # of places of a passage that overlap, the best
             if not any(k == o[3] and start < o[2] and o[1] < end for o in kept):
                 kept.append((edits, start, end, k))
-        return sorted((int(self.ids[k]), int(at[start]), int(at[end - 1]) + 1, edits) for edits, start, end, k in kept)
+        return [(int(self.ids[k]), int(at[start]), int(at[end - 1]) + 1, edits) for edits, start, end, k in kept]
 
 
-def indexes(benchmark: DataFrame, q: int = Q, edits: float = EDITS, least: int = LEAST, chars: int = INDEX_CHARS) -> Iterator[Index]:
-    """Indexes of bounded size that together hold all passages. Passages without an id or text are left out."""
+def indexes(benchmark: DataFrame, q: int = Q, edits: float = EDITS, least: int = LEAST, chars: int = INDEX_CHARS) -> Iterator[tuple[Index, bool]]:
+    """(index, whether it is the only one): of bounded size, together they hold all passages with an id and a letter or digit."""
     known = benchmark.select("item_id", "text").where("item_id is not null and text is not null")
     total = known.agg(F.sum(F.length("text"))).first()[0] or 0
     shards = max(1, math.ceil(total / chars))
     for k in range(shards):
         rows = known.where(F.pmod(F.xxhash64("item_id"), F.lit(shards)) == k).collect()
         if index := Index.of([(r.item_id, r.text) for r in rows], q, edits, least):
-            yield index
+            yield index, shards == 1
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, edits: float = EDITS, least: int = LEAST, index_chars: int = INDEX_CHARS) -> DataFrame:
     """(doc_id, item_id, start, end, edits): every place of a document that holds a passage.
 
-    A null or empty text holds none, repeated rows give their places each, a null doc_id stays null. Other columns are
-    ignored. Documents are read once per index; an index larger than the bound is never made.
+    A passage of fewer than ``least`` letters and digits counts where it stands unedited between word bounds. A null or
+    empty text holds none, repeated rows give their places each, a null doc_id stays null. Other columns are
+    ignored. Texts of any length are searched whole. Documents are read once per index; an index larger than the bound
+    is never made, and of several ones each is gone, and what it found written, before the next is sent.
     """
     spark = docs.sparkSession
     rows = texts(docs)
     schema = "doc_id bigint, item_id bigint, start bigint, end bigint, edits bigint"
     out = spark.createDataFrame([], schema)
-    for index in indexes(benchmark, q, edits, least, index_chars):
+    for index, alone in indexes(benchmark, q, edits, least, index_chars):
         sent = spark.sparkContext.broadcast(index)
 
         def find(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -181,15 +217,19 @@ def leaks(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, edits: float = E
                 places = [(doc, *p) for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text"), strict=True) for p in sent.value.find(text.as_py())]
                 yield pa.RecordBatch.from_arrays([pa.array([p[i] for p in places], pa.int64()) for i in range(5)], names=["doc_id", "item_id", "start", "end", "edits"])
 
-        out = out.unionByName(rows.mapInArrow(find, schema))
+        found = rows.mapInArrow(find, schema)
+        if alone:
+            return found
+        out = out.unionByName(written(found, "leaks"))
+        sent.destroy()
     return out
 
 
 def without_leaks(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, edits: float = EDITS, least: int = LEAST, index_chars: int = INDEX_CHARS) -> DataFrame:
-    """The rows of ``docs``, all columns, whose text holds no passage; a null text holds none. Nothing is shuffled."""
+    """The rows of ``docs``, all columns, whose text holds no passage as in ``leaks``; a null text holds none. Nothing is shuffled."""
     spark = docs.sparkSession
     ship(spark)
-    for index in indexes(benchmark, q, edits, least, index_chars):
+    for index, alone in indexes(benchmark, q, edits, least, index_chars):
         sent = spark.sparkContext.broadcast(index)
 
         def keep(batches: Iterator[pa.RecordBatch], sent=sent) -> Iterator[pa.RecordBatch]:
@@ -197,6 +237,9 @@ def without_leaks(docs: DataFrame, benchmark: DataFrame, *, q: int = Q, edits: f
                 yield batch.filter(pa.array([not sent.value.find(t.as_py() or "") for t in batch.column("text")], pa.bool_()))
 
         docs = docs.mapInArrow(keep, docs.schema)
+        if not alone:
+            docs = written(docs, "without-leaks")
+            sent.destroy()
     return docs
 
 

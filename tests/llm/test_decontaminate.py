@@ -45,12 +45,22 @@ def test_banded_alignment_is_the_edit_distance():
         assert distance_within(a.tolist(), b[:end].tolist()) == edits or edits > 6
 
 
+def bounded(text, k, n):
+    """Whether n letters and digits from the k-th on begin with a word and end with one."""
+    at = plain(text)[1].tolist()
+    before, behind = text[at[k] - 1 : at[k]] if at[k] else "", text[at[k + n - 1] + 1 : at[k + n - 1] + 2]
+    return not (before.isalnum() or behind.isalnum())
+
+
 def brute(passages, text):
     doc = plain(text)[0].tolist()
     found = set()
     for i, t in passages:
         item = plain(t)[0].tolist()
-        if len(item) >= max(LEAST, Q + 1) and distance_within(item, doc) <= min(int(EDITS * len(item)), (len(item) - Q) // Q):
+        if 0 < len(item) < max(LEAST, Q + 1):
+            if any(doc[k : k + len(item)] == item and bounded(text, k, len(item)) for k in range(len(doc))):
+                found.add(i)
+        elif item and distance_within(item, doc) <= min(int(EDITS * len(item)), (len(item) - Q) // Q):
             found.add(i)
     return found
 
@@ -70,6 +80,14 @@ def test_all_edited_passages_are_found():
             assert distance_within(plain(dict(passages)[item])[0].tolist(), plain(text[start:end])[0].tolist()) <= edits
 
 
+def test_short_passages_stand_between_word_bounds():
+    index = Index.of([(1, "Ab cd"), (2, "ab-cd!"), (3, "x"), (4, "..."), (5, "sentence 42")], Q, EDITS, LEAST)
+    assert index.find("ABCD, ab cd") == [(1, 0, 4, 0), (1, 6, 11, 0), (2, 0, 4, 0), (2, 6, 11, 0)]
+    assert index.find("xab cd ab cde") == [] and index.find("") == [] and index.find("?") == []
+    assert index.find("(x)") == [(3, 1, 2, 0)] and index.find("a sentence 42.") == [(5, 2, 13, 0)] and index.find("a sentence 421") == []
+    assert Index.of([(4, "...")], Q, EDITS, LEAST) is None
+
+
 def test_odd_rows_and_several_indexes(spark, docs_of):
     draw = random.Random(1)
     passages = [sentence(draw, 12) for _ in range(9)]
