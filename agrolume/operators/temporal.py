@@ -48,7 +48,7 @@ def normalize_sar_metadata(raw: DataFrame, *, resolution_m: float = 18.0) -> Dat
             text.provider_datetime(c("start_time")), "yyyy-MM-dd'T'HH:mm:ss.SSSSSS"
         ),
     }
-    passthrough = [n for n in raw.columns if n in ("product_no", "site", "acq_date")]
+    passthrough = [n for n in raw.columns if n in ("product_no", "site", "acq_date", "lookback_days")]
     typed = raw.select(*passthrough, *[value.alias(name) for name, value in fields.items()])
     missing = F.array_compact(F.array(*[F.when(c(n).isNull(), n) for n in REQUIRED]))
     return typed.withColumn("missing", F.array_join(missing, ",")).withColumn("complete", c("missing") == "")
@@ -95,6 +95,19 @@ def comparison_reasons(current: str, candidate: str) -> Column:
     return F.when(incomplete, F.array(F.lit("METADATA_INCOMPLETE"))).otherwise(reasons)
 
 
+def judged_history(history: DataFrame, facts: DataFrame) -> DataFrame:
+    """``history`` (current_scene_id, scene_id) with ``comparable`` and ``reasons``, by the metadata of both passes.
+
+    ``facts`` are normalised rows with a scene_id. Pairs are those of the history and no others; a
+    pass without metadata leaves its pairs out.
+    """
+    packed = facts.select("scene_id", F.struct(*[n for n in (*REQUIRED, "complete")]).alias("m"))
+    both = history.join(packed.select(c("scene_id").alias("current_scene_id"), c("m").alias("now")), "current_scene_id")
+    both = both.join(packed.select("scene_id", c("m").alias("before")), "scene_id")
+    judged = both.withColumn("reasons", comparison_reasons("now", "before")).drop("now", "before")
+    return judged.withColumn("comparable", F.size("reasons") == 0)
+
+
 FEATURES = ("hh_median", "hv_median", "hh_minus_hv")
 
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from agrolume.functions import text
 from agrolume.functions.rounding import r6
-from agrolume.operators import temporal, zonal
+from agrolume.operators import selection, temporal, zonal
 from agrolume.plans.registry import query
 from agrolume.plans.selection_queries import sar_histories
 from agrolume.plans.world import World, add_table
@@ -39,21 +39,27 @@ _START = (
     "'%d-%b-%Y %H:%M:%S.%f'), '%Y-%m-%dT%H:%M:%S.%f')"
 )
 _REQUIRED = temporal.REQUIRED
-add_table(
-    "sar_norm",
-    "sar_meta",
-    "select *, array_to_string(list_filter([" + ", ".join(f"case when {n} is null then '{n}' end" for n in _REQUIRED)
-    + "], lambda x: x is not null), ',') as missing from (select product_no, site, acq_date, "
-    f"{_clean('sat_id')} as platform, {_clean('sensor')} as sensor, {_clean('imaging_mode')} as instrument_mode, "
-    f"{_clean('software')} as software, case trim(rtc_flag) when '1' then true when '0' then false end as rtc_applied, "
-    "case when upper(trim(dem_correction)) in ('YES','Y','TRUE','1') then true when upper(trim(dem_correction)) in ('NO','N','FALSE','0') then false end as dem_correction, "
-    f"{_clean('dem_source')} as dem_source, nullif({_POLS}, '') as polarizations, {_clean('orientation')} as orientation, {_STATE} as orbit_state, "
-    "case when pt like 'ASC%' or pt = 'A' or pt like 'DES%' or pt = 'D' then 'provider_pass_type' "
-    "when hd >= 0 and hd < 360 and hd not in (90, 270) then 'satellite_heading' end as orbit_state_source, "
-    "'scene:' || cast(case when sn > 0 and sn = floor(sn) then cast(sn as bigint) end as varchar) as track_key, "
-    f"{_number('incidence')} as incidence_deg, coalesce({_number('spacing')}, 18e0) as pixel_spacing_m, {_START} as acquisition_start "
-    f"from (select *, {_clean('pass_type')} as pt, {_number('heading')} as hd, {_number('scene_number')} as sn from sar_meta) s) t",
-)
+
+
+def _norm(source: str, kept: str) -> str:
+    """Oracle of the normalised metadata of a table of provider texts."""
+    return (
+        "select *, array_to_string(list_filter([" + ", ".join(f"case when {n} is null then '{n}' end" for n in _REQUIRED)
+        + "], lambda x: x is not null), ',') as missing from (select "
+        f"{kept}, {_clean('sat_id')} as platform, {_clean('sensor')} as sensor, {_clean('imaging_mode')} as instrument_mode, "
+        f"{_clean('software')} as software, case trim(rtc_flag) when '1' then true when '0' then false end as rtc_applied, "
+        "case when upper(trim(dem_correction)) in ('YES','Y','TRUE','1') then true when upper(trim(dem_correction)) in ('NO','N','FALSE','0') then false end as dem_correction, "
+        f"{_clean('dem_source')} as dem_source, nullif({_POLS}, '') as polarizations, {_clean('orientation')} as orientation, {_STATE} as orbit_state, "
+        "case when pt like 'ASC%' or pt = 'A' or pt like 'DES%' or pt = 'D' then 'provider_pass_type' "
+        "when hd >= 0 and hd < 360 and hd not in (90, 270) then 'satellite_heading' end as orbit_state_source, "
+        "'scene:' || cast(case when sn > 0 and sn = floor(sn) then cast(sn as bigint) end as varchar) as track_key, "
+        f"{_number('incidence')} as incidence_deg, coalesce({_number('spacing')}, 18e0) as pixel_spacing_m, {_START} as acquisition_start "
+        f"from (select *, {_clean('pass_type')} as pt, {_number('heading')} as hd, {_number('scene_number')} as sn from {source}) s) t"
+    )
+
+
+add_table("sar_norm", "sar_meta", _norm("sar_meta", "product_no, site, acq_date, lookback_days"))
+add_table("scene_norm", "scene_meta", _norm("scene_meta", "product_no, site, acq_date"))
 
 
 def normalized(w: World) -> DataFrame:
@@ -62,11 +68,11 @@ def normalized(w: World) -> DataFrame:
 
 @query(
     "sar_normalize_metadata",
-    "select * exclude (acq_date, site), missing = '' as complete from sar_norm",
+    "select * exclude (acq_date, site, lookback_days), missing = '' as complete from sar_norm",
     tables="sar_norm",
 )
 def sar_normalize_metadata(w: World) -> DataFrame:
-    return normalized(w).drop("acq_date", "site")
+    return normalized(w).drop("acq_date", "site", "lookback_days")
 
 
 @query(
@@ -111,22 +117,17 @@ _REASONS = (
 @query(
     "sar_comparability",
     f"select a.product_no as current_no, b.product_no as candidate_no, {_REASONS} as reasons from sar_norm a join sar_norm b "
-    "on b.site = a.site and b.acq_date < a.acq_date and b.acq_date >= a.acq_date - 120",
+    "on b.site = a.site and b.acq_date < a.acq_date and b.acq_date >= a.acq_date - a.lookback_days",
     tables="sar_norm",
 )
 def sar_comparability(w: World) -> DataFrame:
-    """Each product against the earlier products of its site within 120 days."""
+    """Each product against the earlier products of its site within its own look-back."""
     norm = normalized(w)
-    packed = norm.select("site", "acq_date", F.struct(*[n for n in norm.columns if n not in ("site", "acq_date")]).alias("m"))
-    width = 120
-    day = F.unix_date("acq_date")
-    now = packed.select(
-        "site", c("acq_date").alias("now_date"), c("m").alias("now"),
-        F.explode(F.array(F.floor(day / width), F.floor(day / width) - 1)).alias("bucket"),
-    )
-    before = packed.select("site", "acq_date", c("m").alias("before"), F.floor(day / width).alias("bucket"))
-    days = F.datediff("now_date", "acq_date")
-    pairs = now.join(before, ["site", "bucket"]).where((days > 0) & (days <= width))
+    placed = ("site", "acq_date", "lookback_days")
+    packed = norm.select(*placed, F.struct(*[n for n in norm.columns if n not in placed]).alias("m"))
+    now = packed.select("site", c("acq_date").alias("now_date"), "lookback_days", c("m").alias("now"))
+    before = packed.select("site", "acq_date", c("m").alias("before"))
+    pairs = selection.join_date_range(now, before, on=("site",), start=F.date_sub("now_date", c("lookback_days")), end=F.date_sub("now_date", 1))
     return pairs.select(
         c("now.product_no").alias("current_no"), c("before.product_no").alias("candidate_no"),
         F.array_join(temporal.comparison_reasons("now", "before"), ",").alias("reasons"),
@@ -158,15 +159,15 @@ def comparison_key_hash(w: World) -> DataFrame:
 
 add_table(
     "judged",
-    "history sar_pick scenes",
-    "select h.*, (n.track_no = o.track_no and abs(n.incidence - o.incidence) <= 1 and n.heading = o.heading) as comparable "
-    "from history h join scenes n on n.scene_id = h.current_scene_id join scenes o on o.scene_id = h.scene_id",
+    "history scene_norm",
+    f"select h.*, ({_REASONS}) = '' as comparable from history h join scene_norm a on a.product_no = h.current_scene_id "
+    "join scene_norm b on b.product_no = h.scene_id",
 )
 add_table("past", "judged", "select * from judged where comparable")
 add_table(
     "current_sar",
     "sar_pick sar_cover",
-    "select k.request_id, v.hh_median, v.hv_median, v.hh_minus_hv from sar_pick k join sar_cover v "
+    "select k.request_id, k.scene_id, v.hh_median, v.hv_median, v.hh_minus_hv from sar_pick k join sar_cover v "
     "on v.field_id = k.field_id and v.scene_id = k.scene_id where k.source_no = 5",
 )
 _FEATURES = ("hh_median", "hv_median", "hh_minus_hv")
@@ -180,20 +181,9 @@ def _long(table: str, extra: str = "") -> str:
 
 def observed(w: World) -> tuple[DataFrame, DataFrame]:
     """(current observation per request, judged history rows)."""
-    meta = w.scenes.select("scene_id", "track_no", "incidence", "heading")
+    facts = temporal.normalize_sar_metadata(w.scene_meta).withColumnRenamed("product_no", "scene_id")
     current, history = sar_histories(w)
-    current = current.withColumn("complete", F.lit(True))
-    now = meta.select(
-        c("scene_id").alias("current_scene_id"), c("track_no").alias("now_track"),
-        c("incidence").alias("now_incidence"), c("heading").alias("now_heading"),
-    )
-    history = history.join(now, "current_scene_id")
-    comparable = (
-        (c("track_no") == c("now_track"))
-        & (F.abs(c("incidence") - c("now_incidence")) <= temporal.INCIDENCE_TOLERANCE)
-        & (c("heading") == c("now_heading"))
-    )
-    return current, history.withColumn("comparable", comparable)
+    return current.join(facts.select("scene_id", "complete"), "scene_id"), temporal.judged_history(history, facts)
 
 
 @query(
@@ -239,12 +229,12 @@ def sar_robust_baseline(w: World) -> DataFrame:
 
 @query(
     "sar_temporal_status",
-    "select c.request_id, case when coalesce(j.prior, 0) = 0 then 'NO_COMPARABLE_HISTORY' when j.prior < 5 then 'INSUFFICIENT_BASELINE' "
+    "select c.request_id, case when n.missing <> '' then 'METADATA_INCOMPLETE' when coalesce(j.prior, 0) = 0 then 'NO_COMPARABLE_HISTORY' when j.prior < 5 then 'INSUFFICIENT_BASELINE' "
     "when coalesce(b.scores, 0) = 0 then 'DEGENERATE_BASELINE' else 'AVAILABLE' end as status, coalesce(j.prior, 0) + 1 as comparable_observations, "
-    "coalesce(j.excluded, 0) as excluded_observations from current_sar c left join (select request_id, count(case when comparable then 1 end) as prior, "
+    "coalesce(j.excluded, 0) as excluded_observations from current_sar c join scene_norm n on n.product_no = c.scene_id left join (select request_id, count(case when comparable then 1 end) as prior, "
     "count(case when not comparable then 1 end) as excluded from judged group by request_id) j on j.request_id = c.request_id "
     "left join (select request_id, count(robust_deviation) as scores from baseline group by request_id) b on b.request_id = c.request_id",
-    tables="current_sar judged baseline",
+    tables="current_sar judged baseline scene_norm",
 )
 def sar_temporal_status(w: World) -> DataFrame:
     current, judged = observed(w)

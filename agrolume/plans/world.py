@@ -272,6 +272,30 @@ SAR_META = {
     "spacing": "case when o_orderkey % 21 = 0 then '' else '18' end",
     "polarizations": "case o_custkey % 3 when 0 then 'HV, HH' when 1 then 'vv;vh xx' else 'hh' end",
     "start_time": _RAW_TIME,
+    # How far back earlier products are compared with this one.
+    "lookback_days": "cast(60 + o_orderkey % 3*30 as int)",
+}
+
+#: What the provider says of each EOS-04 scene, as text; mostly alike within a site, with odd ones in between.
+SCENE_META = {
+    "product_no": "scene_id",
+    "site": "site",
+    "acq_date": "acq_date",
+    "pass_type": "case scene_id % 29 when 0 then 'NA' when 1 then 'DESC' else ' ascending ' end",
+    "heading": "cast(cast(heading as int) as varchar(20))",
+    "scene_number": "case when scene_id % 31 = 0 then '-9999' else cast(track_no as varchar(20)) end",
+    "sat_id": "case when scene_id % 3 = 0 then ' eos-04' else 'EOS-04' end",
+    "sensor": "'SAR'",
+    "imaging_mode": "case when scene_id % 17 = 0 then 'FRS' else 'mrs' end",
+    "software": "case when scene_id % 19 = 0 then 'V2' else 'v1' end",
+    "rtc_flag": "case when scene_id % 37 = 0 then '0' else '1' end",
+    "dem_correction": "case when scene_id % 2 = 0 then 'Y' else 'yes' end",
+    "dem_source": "'srtm'",
+    "orientation": "case when site % 2 = 0 then 'RIGHT' else 'left' end",
+    "incidence": "cast(incidence as varchar(20))",
+    "spacing": "case scene_id % 7 when 0 then '18.5' when 1 then '18.6' when 2 then '' else '18' end",
+    "polarizations": "case when scene_id % 2 = 0 then 'HV, HH' else 'hh hv' end",
+    "start_time": _RAW_TIME.replace("o_orderdate", "acq_date").replace("o_orderkey", "scene_id"),
 }
 
 LOG_TEXT = {
@@ -341,6 +365,7 @@ _CTES: dict[str, tuple[tuple[str, ...], str]] = {
     "item_json": ((), _select(ITEM_JSON, "orders")),
     "log_text": ((), _select(LOG_TEXT, "orders")),
     "sar_meta": ((), _select(SAR_META, "orders")),
+    "scene_meta": (("scenes",), _select(SCENE_META, "scenes where source_no = 5")),
     "ledger_events": ((), _select(LEDGER_EVENTS, "events")),
     "job_events": ((), _select(JOB_EVENTS, "events")),
 }
@@ -457,6 +482,10 @@ class World:
     def sar_meta(self) -> DataFrame:
         return self._derive("orders", SAR_META)
 
+    @cached_property
+    def scene_meta(self) -> DataFrame:
+        return self.scenes.where("source_no = 5").selectExpr(*_alias(SCENE_META))
+
     @cached_property
     def ledger_events(self) -> DataFrame:
         return self._derive("events", LEDGER_EVENTS)
