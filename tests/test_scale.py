@@ -24,6 +24,24 @@ def test_exploded_tables_are_not_broadcast_by_their_file_size(spark, tmp_path):
     assert "BroadcastHashJoin" not in plan(asked.join(spark.range(1 << 40).withColumnRenamed("id", "day"), "day"))
 
 
+def test_box_footprints_are_covered_like_clipped_ones(spark):
+    day = datetime.date(2020, 1, 5)
+    views = spark.createDataFrame([(1, 0, day, day, 1.0, 1.0, 3.0, 2.0)], "request_id long, source_no long, start_date date, end_date date, x0 double, y0 double, x1 double, y1 double")
+    corners = {
+        1: [(0, 0), (2, 0), (2, 1.5), (0, 1.5), (0, 0)],
+        2: [(0, 0), (0, 1.5), (2, 1.5), (2, 0), (0, 0)],
+        3: [(0, 0), (1, 0), (2, 0), (2, 1.5), (0, 1.5), (0, 0)],
+        4: [(0, 0), (2, 0), (1.5, 1.5), (0, 1.5), (0, 0)],
+    }
+    rows = [(0, n, day, [[[(float(x), float(y)) for x, y in ring]]]) for n, ring in corners.items()]
+    scenes = spark.createDataFrame(rows, f"source_no long, scene_id long, acq_date date, footprint {poly.POLYGONS}")
+    boxes = {r.scene_id: r.b for r in scenes.select("scene_id", poly.is_box(c("footprint")).alias("b")).collect()}
+    assert boxes == {1: True, 2: True, 3: False, 4: False}
+    shares = {r.scene_id: r.coverage_percent for r in geometry.meet_viewports(views, scenes).collect()}
+    assert abs(shares[1] - shares[3]) < 1e-9 and abs(shares[2] - shares[3]) < 1e-9
+    assert 0 < shares[4] < shares[1] < 26
+
+
 def degree_grid(spark):
     return spark.createDataFrame(
         [(1, 4326, 1.0, 0.0, 0.0, 0.0, -1.0, 10.0, 0, 0, 10, 10)],
