@@ -47,3 +47,10 @@ def degree_grid(spark):
         [(1, 4326, 1.0, 0.0, 0.0, 0.0, -1.0, 10.0, 0, 0, 10, 10)],
         "grid_no long, epsg long, a double, b double, c double, d double, e double, f double, row0 long, col0 long, height long, width long",
     )
+
+
+def test_projecting_is_spread_also_where_grids_are_few(spark):
+    fields = spark.createDataFrame([(1, 1.0, 1.0, 4.0, 4.0)], "field_id long, lon0 double, lat0 double, lon1 double, lat1 double")
+    met = georef.on_grids(georef.lonlat_boxes(fields, keep=("field_id",)), degree_grid(spark))
+    assert "SortMergeJoin" in plan(met) and "BroadcastHashJoin" not in plan(met)
+    assert met.count() == 1
