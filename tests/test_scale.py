@@ -49,6 +49,16 @@ def degree_grid(spark):
     )
 
 
+def test_points_are_placed_once_and_laid_over_the_scenes_of_their_grid(spark):
+    geometry_ = poly.rectangle(F.lit(0.0), F.lit(0.0), F.lit(5.0), F.lit(5.0))
+    points = spark.createDataFrame([(7, 1, 2.5, 2.5), (8, 1, 7.5, 2.5)], "request_id long, grid_no long, lon double, lat double").withColumn("geometry", geometry_)
+    scenes = spark.createDataFrame([(10, 1), (11, 1), (12, 2)], "scene_id long, grid_no long")
+    codes = spark.createDataFrame([(10, 7, 2, 2500), (10, 7, 7, 1)], "scene_id long, rw long, cl long, code int")
+    found = georef.sample_points(codes, points, degree_grid(spark), scenes).collect()
+    assert sorted((r.request_id, r.scene_id, r.value, r.masked) for r in found if r.value is not None) == [(7, 10, 0.25, False)]
+    assert sorted((r.request_id, r.scene_id) for r in found if r.masked) == [(7, 11), (8, 10), (8, 11)]
+
+
 def test_projecting_is_spread_also_where_grids_are_few(spark):
     fields = spark.createDataFrame([(1, 1.0, 1.0, 4.0, 4.0)], "field_id long, lon0 double, lat0 double, lon1 double, lat1 double")
     met = georef.on_grids(georef.lonlat_boxes(fields, keep=("field_id",)), degree_grid(spark))
