@@ -17,6 +17,14 @@ def plan(df) -> str:
     return df._jdf.queryExecution().executedPlan().toString()
 
 
+def test_equal_products_are_ranked_by_scene(spark):
+    day = datetime.date(2020, 1, 5)
+    scenes = spark.createDataFrame([(0, 1, n, day, "P7") for n in range(300, 0, -1)], "source_no long, aoi_no long, scene_id long, acq_date date, product_id string")
+    asked = spark.createDataFrame([(1, 0, 1, day)], "request_id long, source_no long, aoi_no long, request_date date")
+    ranked = selection.candidates(asked, scenes, on=("source_no", "aoi_no")).orderBy("rank").collect()
+    assert [r.scene_id for r in ranked] == list(range(1, 301))
+
+
 def test_exploded_tables_are_not_broadcast_by_their_file_size(spark, tmp_path):
     tune(spark)
     spark.range(40_000).write.parquet(str(tmp_path / "asked"))
