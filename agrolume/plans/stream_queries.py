@@ -9,7 +9,7 @@ from agrolume.operators import raster
 from agrolume.plans.registry import query
 from agrolume.plans.world import LEDGER_EVENTS, World, _alias
 from agrolume.plans.zonal_queries import INDEX_MOMENTS, field_spans
-from agrolume.session import shared_folder
+from agrolume.session import shared_folder, stored
 from agrolume.sources import pixels as pixel_source
 from agrolume.streaming import files, ledger, state
 
@@ -100,4 +100,5 @@ def stream_zonal_stats(w: World) -> DataFrame:
     pixel_source.write_stream_files(raster.coded(w.pixels), f"{folder}/codes")
     schema = w.spark.read.parquet(f"{folder}/codes").schema
     arriving = files.read_files(w.spark, f"{folder}/codes", schema, files_per_batch=4)
-    return ledger.zonal_updates(arriving, field_spans(w))
+    # Every batch reads the spans: they are cut once.
+    return ledger.zonal_updates(arriving, stored(field_spans(w), "spans"))

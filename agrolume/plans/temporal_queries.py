@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from agrolume import dims
 from agrolume.functions import text
 from agrolume.functions.rounding import r6
 from agrolume.operators import selection, temporal, zonal
@@ -258,10 +259,9 @@ def field_trend(w: World) -> DataFrame:
 
     A day's mean is taken to millionths in integers, half up, so that it does not depend on float sums.
     """
-    codes = zonal.histogram(field_pixels(w))
-    seen = F.when(c("code").isNotNull(), c("n"))
-    per_scene = codes.groupBy("field_id", "scene_id").agg(
-        F.sum(c("code") * c("n")).alias("value_sum"), F.sum(seen).alias("value_n")
+    code = F.nullif(c("code").cast("long"), F.lit(dims.INDEX_NODATA).cast("long"))
+    per_scene = field_pixels(w).groupBy("field_id", "scene_id").agg(
+        F.sum(code).alias("value_sum"), F.count(code).alias("value_n")
     ).where("value_n > 0")
     dated = per_scene.join(w.scenes.select("scene_id", "acq_date"), "scene_id")
     daily = dated.groupBy("field_id", "acq_date").agg(F.sum("value_sum").alias("s"), F.sum("value_n").alias("n"))

@@ -92,7 +92,7 @@ def zonal_updates(pixel_stream: DataFrame, spans: DataFrame, *, label: str = "zo
     keys = (*zonal.PAIR, "index_name")
 
     def prepare(batch: DataFrame) -> DataFrame:
-        inside = raster.by_index(georef.join_pixels(batch, spans))
+        inside = raster.by_index(zonal.gathered(georef.join_pixels(batch, spans)))
         return inside.select(*keys, c("code").cast("long").alias("code"), F.lit(1).cast("bigint").alias("n"))
 
     def fold(rows: DataFrame) -> DataFrame:
