@@ -6,6 +6,7 @@ import datetime
 
 from pyspark.sql import functions as F
 
+from agrolume import dims
 from agrolume.functions import polygons as poly
 from agrolume.operators import georef, geometry, selection
 from agrolume.session import tune
@@ -72,3 +73,11 @@ def test_projecting_is_spread_also_where_grids_are_few(spark):
     met = georef.on_grids(georef.lonlat_boxes(fields, keep=("field_id",)), degree_grid(spark))
     assert "SortMergeJoin" in plan(met) and "BroadcastHashJoin" not in plan(met)
     assert met.count() == 1
+
+
+def test_fixed_dimensions_are_broadcast_so_that_a_source_is_not_one_task(spark):
+    tune(spark)
+    rows = spark.range(1 << 40).select((c("id") % 7).alias("source_no"), "id")
+    for dim in (dims.source_dim, dims.index_role_dim, dims.mask_policy_dim, dims.threshold_profiles_dim):
+        joined = plan(rows.join(dim(spark).select("*"), "source_no"))
+        assert "BroadcastHashJoin" in joined and "SortMergeJoin" not in joined
