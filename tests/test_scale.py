@@ -81,3 +81,15 @@ def test_fixed_dimensions_are_broadcast_so_that_a_source_is_not_one_task(spark):
     for dim in (dims.source_dim, dims.index_role_dim, dims.mask_policy_dim, dims.threshold_profiles_dim):
         joined = plan(rows.join(dim(spark).select("*"), "source_no"))
         assert "BroadcastHashJoin" in joined and "SortMergeJoin" not in joined
+
+
+def test_a_scan_task_reads_no_more_of_a_larger_file(spark, tmp_path):
+    tune(spark)
+    # 8 cores, 160 MB: by bytes per core a task would read 20 MB.
+    spark.range(8).repartition(1).select("id", F.expr("repeat('x', 8)").alias("t")).write.parquet(str(tmp_path / "t"))
+    part = next((tmp_path / "t").glob("*.parquet"))
+    with part.open("r+b") as f:
+        body = f.read()
+        f.seek(0)
+        f.write(body[:4] + b"\0" * (160 << 20) + body[4:])
+    assert spark.read.schema("id long, t string").parquet(str(tmp_path / "t")).rdd.getNumPartitions() >= 10
