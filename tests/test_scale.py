@@ -8,9 +8,14 @@ from pyspark.sql import functions as F
 
 from agrolume import dims
 from agrolume.functions import polygons as poly
-from agrolume.operators import georef, geometry, selection
+from agrolume.operators import georef, geometry, selection, temporal, zonal
+from agrolume.plans import load
+from agrolume.plans.registry import as_callables
+from agrolume.plans.world import World
 from agrolume.session import tune
 
+load()
+BUILDS = as_callables()
 c = F.col
 
 
@@ -93,3 +98,13 @@ def test_a_scan_task_reads_no_more_of_a_larger_file(spark, tmp_path):
         f.seek(0)
         f.write(body[:4] + b"\0" * (160 << 20) + body[4:])
     assert spark.read.schema("id long, t string").parquet(str(tmp_path / "t")).rdd.getNumPartitions() >= 10
+
+
+def test_radar_medians_are_taken_in_the_row_of_their_field_and_scene(spark):
+    rows = [(1, 1, -12.5, -20.0), (1, 1, -11.0, None), (1, 1, -10.0, -21.0), (1, 1, None, -23.0), (1, 2, None, None), (2, 1, -7.000001, -9.0), (2, 1, -7.0, -9.0)]
+    pixels = spark.createDataFrame(rows, "field_id long, scene_id long, hh double, hv double")
+    got = zonal.sar_common_coverage(pixels)
+    assert "Window" not in plan(got)
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[:2]) == [
+        (1, 1, 4, 2, 50.0, -11.0, -21.0, 10.0), (1, 2, 1, 0, 0.0, None, None, None), (2, 1, 2, 2, 100.0, -7.0000005, -9.0, 9.0 - 7.0000005),
+    ]
