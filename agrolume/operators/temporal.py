@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from agrolume.functions import keys, text
+from agrolume.operators.geometry import once
 
 c = F.col
 
@@ -134,26 +135,36 @@ def change_vs_previous(current: DataFrame, comparable: DataFrame) -> DataFrame:
     )
 
 
+def _middle(values: Column) -> Column:
+    """Median of a sorted array, NULL if it is empty."""
+    n = F.size(values)
+    low, high = F.floor((n - 1) / 2).cast("int"), F.floor(n / 2).cast("int")
+    return F.get(values, low) * 0.5 + F.get(values, high) * 0.5
+
+
 def robust_baseline(current: DataFrame, comparable: DataFrame, *, minimum: int = 5) -> DataFrame:
     """Median and MAD of comparable history, and the robust deviation from it.
 
-    History is at most a dozen observations per request by construction, so the
-    medians are small; features with fewer than ``minimum`` values are left out.
+    History is bounded by the look-back of its request, so its values are brought to one row per request
+    once, and both medians are taken there; features with fewer than ``minimum`` values are left out.
     """
-    history = long_features(comparable, ["request_id"])
-    group = ["request_id", "feature"]
-    centre = history.groupBy(*group).agg(F.median("value").alias("baseline_median"), F.count("*").alias("n"))
-    spread = (
-        history.join(centre.where(c("n") >= minimum), group)
-        .groupBy(*group, "baseline_median", "n")
-        .agg(F.median(F.abs(c("value") - c("baseline_median"))).alias("mad"))
+    history = comparable.groupBy("request_id").agg(*[F.collect_list(name).alias(f"past_{name}") for name in FEATURES])
+    entries = F.explode(F.array(*[
+        F.struct(F.lit(name).alias("feature"), c(name).alias("value"), F.sort_array(f"past_{name}").alias("past")) for name in FEATURES
+    ])).alias("e")
+    now = current.select("request_id", *FEATURES).join(history, "request_id").select("request_id", entries).select("request_id", "e.*")
+    centred = now.where(c("value").isNotNull() & (F.size("past") >= minimum)).select(
+        "request_id", "feature", "value", "past", once(_middle(c("past"))).alias("baseline_median")
     )
-    now = long_features(current, ["request_id"])
+    spread = centred.select(
+        "request_id", "feature", "value", "baseline_median", F.size("past").cast("long").alias("n"),
+        once(F.sort_array(F.transform("past", lambda v: F.abs(v - c("baseline_median"))))).alias("away"),
+    ).withColumn("mad", _middle(c("away")))
     deviation = F.when(
         c("mad") > MAD_FLOOR, F.lit(ROBUST_SCALE) * (c("value") - c("baseline_median")) / c("mad")
     )
-    return now.join(spread, group).select(
-        *group, c("value").alias("current_value"), "baseline_median", "mad",
+    return spread.select(
+        "request_id", "feature", c("value").alias("current_value"), "baseline_median", "mad",
         c("n").alias("observations"), deviation.alias("robust_deviation"),
     )
 

@@ -13,6 +13,7 @@ from agrolume.plans.registry import query
 from agrolume.plans.selection_queries import sar_histories
 from agrolume.plans.world import World, add_table
 from agrolume.plans.zonal_queries import field_pixels
+from agrolume.session import shared
 
 c = F.col
 
@@ -239,6 +240,7 @@ def sar_robust_baseline(w: World) -> DataFrame:
 )
 def sar_temporal_status(w: World) -> DataFrame:
     current, judged = observed(w)
+    judged = shared(judged.select("request_id", "comparable", *temporal.FEATURES))
     baseline = temporal.robust_baseline(current, judged.where("comparable"))
     return temporal.temporal_status(current, judged, baseline)
 

@@ -108,3 +108,14 @@ def test_radar_medians_are_taken_in_the_row_of_their_field_and_scene(spark):
     assert sorted(map(tuple, got.collect()), key=lambda r: r[:2]) == [
         (1, 1, 4, 2, 50.0, -11.0, -21.0, 10.0), (1, 2, 1, 0, 0.0, None, None, None), (2, 1, 2, 2, 100.0, -7.0000005, -9.0, 9.0 - 7.0000005),
     ]
+
+
+def test_the_baseline_brings_a_history_together_once(spark):
+    past = spark.createDataFrame(
+        [(1, float(v), None if v == 3 else v * 2.0, None) for v in (1, 2, 3, 5, 8, 13)] + [(2, 1.0, 1.0, 1.0)], "request_id long, hh_median double, hv_median double, hh_minus_hv double"
+    )
+    now = spark.createDataFrame([(1, 6.0, 4.0, 1.0), (2, 1.0, 1.0, 1.0)], past.schema)
+    got = temporal.robust_baseline(now, past)
+    assert plan(got).count("Join") == 1 and "percentile" not in plan(got) and "median(" not in plan(got)
+    found = {(r.request_id, r.feature): (r.baseline_median, r.mad, r.observations) for r in got.collect()}
+    assert found == {(1, "hh_median"): (4.0, 2.5, 6), (1, "hv_median"): (10.0, 6.0, 5)}
