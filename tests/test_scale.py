@@ -119,3 +119,9 @@ def test_the_baseline_brings_a_history_together_once(spark):
     assert plan(got).count("Join") == 1 and "percentile" not in plan(got) and "median(" not in plan(got)
     found = {(r.request_id, r.feature): (r.baseline_median, r.mad, r.observations) for r in got.collect()}
     assert found == {(1, "hh_median"): (4.0, 2.5, 6), (1, "hv_median"): (10.0, 6.0, 5)}
+
+
+def test_a_filter_on_sources_reaches_the_scan_of_the_blocks(spark):
+    read = World(spark, "/root/testdata/sf0.001").pixels_sar._jdf.queryExecution().optimizedPlan().toString()
+    assert read.rindex("Filter") > read.rindex("Aggregate")
+    assert "l_suppkey" in read[read.rindex("Filter"):].splitlines()[0] and "IN (5,6)" in read[read.rindex("Filter"):].splitlines()[0]
