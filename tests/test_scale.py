@@ -131,3 +131,30 @@ def test_cells_are_distinct_before_they_meet_fields(spark):
     read = BUILDS["pixel_area"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().optimizedPlan().toString()
     cell_join = read.index("cell_key")
     assert "Aggregate [grid_no" in read[cell_join:]
+
+
+def test_bilinear_brings_targets_and_cells_together_once(spark):
+    from agrolume.operators import grid
+
+    values = {(r, q): None if (r * 7 + q) % 11 == 0 else float((r * 31 + q * 17) % 97) for r in range(-3, 21) for q in range(-5, 14) if (r + q) % 13}
+    rows = [(1, r, q, v) for (r, q), v in values.items()] + [(1, 2, 3, values[2, 3])]  # a repeated cell weighs twice
+    wanted = [(r, q) for r in range(-8, 46) for q in range(-12, 30)]
+    targets = spark.createDataFrame([(1, r, q) for r, q in [*wanted, wanted[500]]], "scene_id long, rw long, cl long")
+    source = spark.createDataFrame(rows, "scene_id long, rw long, cl long, red double")
+    got = grid.resample_bilinear(targets, source, ratio=0.5, shift=0.1, value="red")
+    assert "Join" not in plan(got) and plan(got).count("Exchange hashpartitioning") == 1
+    expected = {}
+    for r, q in wanted:
+        y, x = (r + 0.5) * 0.5 + 0.1 - 0.5, (q + 0.5) * 0.5 + 0.1 - 0.5
+        wv = w = 0.0
+        for dr in (0, 1):
+            for dc in (0, 1):
+                at = (int(y // 1) + dr, int(x // 1) + dc)
+                weight = abs(1 - dr - y % 1) * abs(1 - dc - x % 1) * (2 if at == (2, 3) else 1)
+                if values.get(at) is not None:
+                    wv, w = wv + weight * values[at], w + weight
+        if w:
+            expected[r, q] = wv / w
+    found = got.collect()
+    assert len(found) == len(expected)
+    assert all(abs(r.red - expected[r.rw, r.cl]) < 1e-9 for r in found)
