@@ -381,7 +381,7 @@ def stac_collection_summary(w: World) -> DataFrame:
 def write_derived_partitions(w: World) -> DataFrame:
     """Write every index raster partitioned by source, index and month, and report what was written."""
     path = shared_folder(w.spark, "derived")
-    pixel_source.write_index_partitions(raster.by_index(raster.coded(w.pixels)), path)
+    pixel_source.write_index_partitions(w.pixels, path)
     back = w.spark.read.schema("scene_id long, source_no long, index_name string, ym long, code long").parquet(path)
     scenes = back.groupBy("source_no", "index_name", "ym", "scene_id").agg(F.count("*").alias("n"), F.count("code").alias("valid"))
     return scenes.groupBy("source_no", "index_name", "ym").agg(

@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from agrolume.operators import raster
+
+#: Files that a task writes side by side.
+WRITERS = 64
 Range = tuple[int | None, int | None]
 
 
@@ -63,16 +67,22 @@ def read_pixels(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def write_index_partitions(codes: DataFrame, path: str) -> None:
-    """Derived index sink: partitioned by source, index and acquisition month."""
-    order = ["source_no", "index_name", "ym", "scene_id", "rw", "cl"]
-    (
-        codes.repartitionByRange(*order)
-        .sortWithinPartitions(*order)
-        .write.mode("overwrite")
-        .partitionBy("source_no", "index_name", "ym")
-        .parquet(path)
-    )
+def write_index_partitions(pixels: DataFrame, path: str) -> None:
+    """Derived index sink: partitioned by source, index and acquisition month, clustered by scene inside each file.
+
+    The raw pixels are ranged and sorted, once each, before they become codes and a row per index:
+    finding the ranges takes no codes, and the rows of an index keep the order of their pixels. A task holds few months,
+    so it keeps a file per index and month open instead of sorting again; beyond WRITERS files it sorts the rest.
+    """
+    order = ["source_no", "ym", "scene_id", "rw", "cl"]
+    near = pixels.repartitionByRange(*order).sortWithinPartitions(*order)
+    conf, name = pixels.sparkSession.conf, "spark.sql.maxConcurrentOutputFileWriters"
+    before = conf.get(name)
+    conf.set(name, WRITERS)
+    try:
+        raster.by_index(raster.coded(near)).write.mode("overwrite").partitionBy("source_no", "index_name", "ym").parquet(path)
+    finally:
+        conf.set(name, before)
 
 
 def derived_path(provider: Column, source_id: Column, item_id: Column, index_name: Column) -> Column:

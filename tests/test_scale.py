@@ -158,3 +158,17 @@ def test_bilinear_brings_targets_and_cells_together_once(spark):
     found = got.collect()
     assert len(found) == len(expected)
     assert all(abs(r.red - expected[r.rw, r.cl]) < 1e-9 for r in found)
+
+
+def test_derived_rasters_are_ranged_as_pixels_and_not_sorted_again(spark, tmp_path):
+    from agrolume.operators import raster
+    from agrolume.sources import pixels as pixel_source
+
+    pixels = World(spark, "/root/testdata/sf0.001").pixels.where("ym % 24 = 0").localCheckpoint()
+    by_index = raster.by_index(raster.coded(pixels))
+    assert "array_compact" not in plan(by_index) and "named_struct" not in plan(by_index).split("Generate")[1].split("\n")[0]
+    pixel_source.write_index_partitions(pixels, str(tmp_path / "derived"))
+    assert spark.conf.get("spark.sql.maxConcurrentOutputFileWriters") == "0"
+    back = spark.read.parquet(str(tmp_path / "derived")).select(by_index.columns)
+    expected = by_index.select([c(n).cast(t) for n, t in back.dtypes])
+    assert back.count() > 0 and back.exceptAll(expected).isEmpty() and expected.exceptAll(back).isEmpty()
