@@ -19,7 +19,6 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import LongType
 
 from agrolume.llm import tokens
 from agrolume.llm.common import table, texts, written
@@ -33,7 +32,7 @@ WORTH = 8
 TOGETHER = 16
 #: The id that ends a document.
 END = 1
-PIECES = "doc_id bigint, start bigint, ids array<int>, doc_tokens bigint, sequence_id bigint, offset bigint"
+PIECES = "doc_id bigint, start bigint, ids array<int>, doc_tokens bigint, sequence_id bigint, offset bigint, length bigint, ids_crc32 bigint"
 
 
 class Windows:
@@ -84,17 +83,17 @@ class Windows:
 
 
 def _rows(windows: list[list], base: int, closed: bool) -> dict[str, list]:
-    out: dict[str, list] = {k: [] for k in ("doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset", "closed")}
+    out: dict[str, list] = {k: [] for k in ("doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset", "length", "ids_crc32", "closed")}
     for number, _, pieces in windows:
         at = 0
         for doc, start, ids, total in pieces:
-            for k, v in zip(out, (doc, start, ids, total, base + number, at, closed), strict=True):
+            for k, v in zip(out, (doc, start, ids, total, base + number, at, len(ids), zlib.crc32(ids.astype("<u4")), closed), strict=True):
                 out[k].append(v)
             at += len(ids)
     return out
 
 
-_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.list_(pa.int32())), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("closed", pa.bool_()), ("part", pa.int64())])
+_SCHEMA = pa.schema([("doc_id", pa.int64()), ("start", pa.int64()), ("ids", pa.list_(pa.int32())), ("doc_tokens", pa.int64()), ("sequence_id", pa.int64()), ("offset", pa.int64()), ("length", pa.int64()), ("ids_crc32", pa.int64()), ("closed", pa.bool_()), ("part", pa.int64())])
 
 
 def _batch(windows: list[list], base: int, closed: bool, part: int) -> pa.RecordBatch:
@@ -111,7 +110,8 @@ def pack(docs: DataFrame, path: str | None = None, *, length: int = LENGTH, open
 
     Reads doc_id and text of ``docs``; other columns are ignored. A null or empty text is the end id alone.
     Repeated rows are packed each, a null doc_id stays null, no rows give no pieces. ``start`` counts the
-    document's ids before the piece, ``offset`` the sequence's. A long text is held by one task at a time.
+    document's ids before the piece, ``offset`` the sequence's; ``ids_crc32`` is that of the ids as unsigned little-endian
+    32-bit integers. A long text is held by one task at a time.
     A sequence id is its partition's number and a count, so a rerun task repeats its ids.
     """
     path = path or tokens.vocabulary()
@@ -135,7 +135,7 @@ def pack(docs: DataFrame, path: str | None = None, *, length: int = LENGTH, open
             yield _batch(windows.open, base, False, part)
 
     placed = written(texts(docs).mapInArrow(place, f"{PIECES}, closed boolean, part bigint"), "packing")
-    columns = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset"]
+    columns = ["doc_id", "start", "ids", "doc_tokens", "sequence_id", "offset", "length", "ids_crc32"]
 
     def merge(key: tuple, rest: pd.DataFrame) -> pd.DataFrame:
         # Cut wherever a sequence is full: one sequence of the group at most is not.
@@ -151,13 +151,6 @@ def pack(docs: DataFrame, path: str | None = None, *, length: int = LENGTH, open
     return placed.where("closed").select(columns).unionByName(rest)
 
 
-@F.pandas_udf(LongType())
-def crc32_of(ids: pd.Series) -> pd.Series:
-    """CRC-32 of the ids as unsigned little-endian 32-bit integers."""
-    return ids.map(lambda x: zlib.crc32(np.asarray(x, "<u4").tobytes())).astype("int64")
-
-
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents packed into sequences of at most 2048 ids, one row per piece."""
-    pieces = pack(table(spark, sf_dir, "documents"))
-    return pieces.select("doc_id", "start", F.size("ids").cast("bigint").alias("length"), crc32_of("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+    return pack(table(spark, sf_dir, "documents")).select("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset")

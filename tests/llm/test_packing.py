@@ -70,3 +70,19 @@ def test_query_against_whole_table(spark):
         assert zlib.crc32(np.asarray(ids, "<u4").tobytes()) == r.ids_crc32
     full = check([(r.doc_id, r.start, expected[r.doc_id][r.start : r.start + r.length], r.doc_tokens, r.sequence_id, r.offset) for r in rows], expected, 2048)
     assert full > 0.97
+
+
+def test_checksums_come_with_the_pieces_and_no_step_reads_the_ids_again(spark, tmp_path):
+    import zlib
+
+    import numpy as np
+
+    from agrolume.llm import packing
+
+    rows = [(i, f"some words {i} of a text " * (1 + 37 * i % 900)) for i in range(60)] + [(None, None)]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    shown = packing.op2_packing(spark, str(tmp_path))
+    assert "ArrowEvalPython" not in shown._jdf.queryExecution().executedPlan().toString()
+    pieces = packing.pack(spark.read.parquet(f"{tmp_path}/documents.parquet"), length=100).collect()
+    assert {r.doc_id for r in pieces} == {r[0] for r in rows}
+    assert all(r.length == len(r.ids) and r.ids_crc32 == zlib.crc32(np.array(r.ids, "<u4").tobytes()) for r in pieces)
