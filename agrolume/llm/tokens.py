@@ -12,7 +12,7 @@ import struct
 from collections.abc import Callable
 
 #: Bytes of words and ids that a worker keeps in one of two generations: bounds its memory, never its results.
-KEEP_BYTES = 24_000_000
+KEEP_BYTES = 48_000_000
 #: What an entry costs besides its letters and ids.
 ENTRY = 150
 #: A word of letters below U+0100 and ASCII marks behind it needs no normaliser but lower case.
