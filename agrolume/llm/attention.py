@@ -105,74 +105,80 @@ _HIDDEN = np.triu(np.full((WINDOW, WINDOW), -1e9, np.float32), 1)
 
 def forward(p: dict[str, np.ndarray], inputs: np.ndarray):
     """States (B, W, WIDTH) of windows of input classes, and what the gradient needs."""
-    x = p["embed"][inputs] + p["spot"]
-    q, k, v = np.split(x @ p["qkv"], 3, axis=2)
+    x = p["embed"][inputs]
+    x += p["spot"]
+    # Flat rows are one product instead of one per window.
+    q, k, v = np.split((x.reshape(-1, WIDTH) @ p["qkv"]).reshape(*inputs.shape, 3 * WIDTH), 3, axis=2)
     weights = q @ k.transpose(0, 2, 1)
     weights *= np.float32(WIDTH**-0.5)
     weights += _HIDDEN
     np.exp(weights, out=weights)
-    weights /= weights.sum(2, keepdims=True)
+    weights /= (weights.reshape(-1, WINDOW) @ np.ones((WINDOW, 1), weights.dtype)).reshape(*inputs.shape, 1)
     read = weights @ v
-    return x + read @ p["mix"], (x, q, k, v, weights, read)
+    return x + (read.reshape(-1, WIDTH) @ p["mix"]).reshape(x.shape), (x, q, k, v, weights, read)
 
 
-def log_softmax(logits: np.ndarray) -> np.ndarray:
-    logits -= logits.max(-1, keepdims=True)
-    logits -= np.log(np.exp(logits).sum(-1, keepdims=True))
-    return logits
+def _shares(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Natural log of the share of one row per column; ``logits`` become all shares. Columns lie beside each other, so all steps run along memory."""
+    logits -= logits.max(0)
+    out = logits[at, np.arange(len(at))]
+    np.exp(logits, out=logits)
+    total = logits.sum(0)
+    logits /= total
+    return out - np.log(total)
 
 
-def by_cluster(cluster: np.ndarray) -> list[tuple[int, np.ndarray]]:
-    """The rows of each cluster that occurs."""
+def by_cluster(cluster: np.ndarray) -> tuple[np.ndarray, list[tuple[int, int, int]]]:
+    """An order of rows by cluster, and where each cluster that occurs begins and ends in it."""
     order = np.argsort(cluster, kind="stable")
-    edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1))
-    return [(c, order[edges[c] : edges[c + 1]]) for c in range(CLUSTERS) if edges[c] < edges[c + 1]]
+    edges = np.searchsorted(cluster[order], np.arange(CLUSTERS + 1)).tolist()
+    return order, [(c, edges[c], edges[c + 1]) for c in range(CLUSTERS) if edges[c] < edges[c + 1]]
 
 
 def log_probability(p: dict[str, np.ndarray], state: np.ndarray, cluster: np.ndarray, place: np.ndarray, grads: dict[str, np.ndarray] | None = None):
     """Natural log of P(cluster) * P(place in it) per row; with ``grads`` also fills them in and returns the state's gradient of minus the sum."""
     rows = np.arange(len(state))
-    logp = log_softmax(state @ p["cluster"] + p["cluster_bias"])
-    out = logp[rows, cluster]
-    if grads is not None:
-        d = np.exp(logp)
-        d[rows, cluster] -= 1
-        grads["cluster"], grads["cluster_bias"] = state.T @ d, d.sum(0)
-        grads["token"], grads["token_bias"] = np.zeros_like(p["token"]), np.zeros_like(p["token_bias"])
-        ds = d @ p["cluster"].T
-    for c, at in by_cluster(cluster):
-        inner = log_softmax(state[at] @ p["token"][c] + p["token_bias"][c])
-        mine = np.arange(len(at))
-        out[at] += inner[mine, place[at]]
-        if grads is not None:
-            d = np.exp(inner)
-            d[mine, place[at]] -= 1
-            grads["token"][c], grads["token_bias"][c] = state[at].T @ d, d.sum(0)
-            ds[at] += d @ p["token"][c].T
-    return out if grads is None else (out, ds)
+    order, runs = by_cluster(cluster)
+    outer = p["cluster"].T @ state.T + p["cluster_bias"][:, None]
+    columns = np.ascontiguousarray(state[order].T)
+    inner = np.empty((PLACES, len(state)), state.dtype)
+    for c, a, b in runs:
+        inner[:, a:b] = p["token"][c].T @ columns[:, a:b] + p["token_bias"][c][:, None]
+    out = _shares(outer, cluster)
+    out[order] += _shares(inner, place[order])
+    if grads is None:
+        return out
+    outer[cluster, rows] -= 1
+    inner[place[order], rows] -= 1
+    grads["cluster"], grads["cluster_bias"] = state.T @ outer.T, outer.sum(1)
+    grads["token"], grads["token_bias"] = np.zeros_like(p["token"]), np.zeros_like(p["token_bias"])
+    below = np.empty_like(columns)
+    for c, a, b in runs:
+        grads["token"][c], grads["token_bias"][c] = columns[:, a:b] @ inner[:, a:b].T, inner[:, a:b].sum(1)
+        below[:, a:b] = p["token"][c] @ inner[:, a:b]
+    ds = outer.T @ p["cluster"].T
+    ds[order] += below.T
+    return out, ds
 
 
 def _picked(logits: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Natural log of the share of one column per row."""
-    top = logits.max(1)
-    out = logits[np.arange(len(at)), at] - top
-    logits -= top[:, None]
+    """Natural log of the share of one row per column."""
+    top = logits.max(0)
+    out = logits[at, np.arange(len(at))] - top
+    logits -= top
     np.exp(logits, out=logits)
-    return out - np.log(logits @ np.ones(logits.shape[1], logits.dtype))
+    return out - np.log(logits.sum(0))
 
 
 def score_only(p: dict[str, np.ndarray], state: np.ndarray, cluster: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """What log_probability gives without gradients: rows are sorted by cluster, so each cluster is one product."""
-    order = np.argsort(cluster, kind="stable")
-    state, cluster, place = state[order], cluster[order], place[order]
-    edges = np.searchsorted(cluster, np.arange(CLUSTERS + 1)).tolist()
-    inner = np.empty((len(state), PLACES), state.dtype)
-    for c in range(CLUSTERS):
-        if edges[c] < edges[c + 1]:
-            np.matmul(state[edges[c] : edges[c + 1]], p["token"][c], out=inner[edges[c] : edges[c + 1]])
-    inner += p["token_bias"][cluster]
+    """What log_probability gives without gradients."""
+    order, runs = by_cluster(cluster)
+    columns = np.ascontiguousarray(state[order].T)
+    inner = np.empty((PLACES, len(state)), state.dtype)
+    for c, a, b in runs:
+        np.add(p["token"][c].T @ columns[:, a:b], p["token_bias"][c][:, None], out=inner[:, a:b])
     out = np.empty(len(state), np.float64)
-    out[order] = _picked(state @ p["cluster"] + p["cluster_bias"], cluster) + _picked(inner, place)
+    out[order] = _picked(p["cluster"].T @ columns + p["cluster_bias"][:, None], cluster[order]) + _picked(inner, place[order])
     return out
 
 
@@ -184,16 +190,18 @@ def gradient(flat: np.ndarray, inputs: np.ndarray, cluster: np.ndarray, place: n
     logp, inner = log_probability(p, state[known], cluster[known], place[known], g)
     ds = np.zeros_like(state)
     ds[known] = inner
-    g["mix"] = np.tensordot(read, ds, ((0, 1), (0, 1)))
-    dread = ds @ p["mix"].T
+    flat_ds, flat_x = ds.reshape(-1, WIDTH), x.reshape(-1, WIDTH)
+    g["mix"] = read.reshape(-1, WIDTH).T @ flat_ds
+    dread = (flat_ds @ p["mix"].T).reshape(ds.shape)
     dv = weights.transpose(0, 2, 1) @ dread
     dw = dread @ v.transpose(0, 2, 1)
-    dscore = weights * (dw - (dw * weights).sum(2, keepdims=True)) * np.float32(WIDTH**-0.5)
-    dqkv = np.concatenate((dscore @ k, dscore.transpose(0, 2, 1) @ q, dv), 2)
-    g["qkv"] = np.tensordot(x, dqkv, ((0, 1), (0, 1)))
-    dx = ds + dqkv @ p["qkv"].T
-    g["spot"] = dx.sum(0)
-    g["embed"] = np.stack([np.bincount(inputs.ravel(), dx[..., j].ravel(), INPUTS) for j in range(WIDTH)], 1)
+    dscore = weights * (dw - np.einsum("bij,bij->bi", dw, weights)[:, :, None]) * np.float32(WIDTH**-0.5)
+    dqkv = np.concatenate((dscore @ k, dscore.transpose(0, 2, 1) @ q, dv), 2).reshape(-1, 3 * WIDTH)
+    g["qkv"] = flat_x.T @ dqkv
+    dx = flat_ds + dqkv @ p["qkv"].T
+    g["spot"] = dx.reshape(x.shape).sum(0)
+    at = inputs.ravel()
+    g["embed"] = np.stack([np.bincount(at, column, INPUTS) for column in np.ascontiguousarray(dx.T)], 1)
     return float(-logp.sum() / n), (np.concatenate([g[name].ravel() for name in SHAPES]) / n).astype(np.float32)
 
 

@@ -32,7 +32,7 @@ MODELS = 4096
 #: A word with a share of at least this of all tokens is looked up where its text is read: there are 1 / SHARE of them at most.
 SHARE = 1e-5
 #: Words counted by a task before it passes counts on.
-HELD = 500_000
+HELD = 200_000
 IDS = 49_408
 LAST = 49_407
 END = b""
@@ -156,6 +156,7 @@ def trained(held: DataFrame) -> tuple[np.ndarray, attention.Classes]:
     for turn in range(ROUNDS if counts.any() else 0):
 
         def learn(batches: Iterator[pa.RecordBatch], flat=flat, turn=turn) -> Iterator[pa.RecordBatch]:
+            tokens.forget()
             learner, n = attention.Learner(flat, sent.value, RATE / (1 + turn), steps), 0
             for block in blocks(batches, turn):
                 learner.learn(block)
@@ -175,6 +176,7 @@ def attention_scores(held: DataFrame, flat: np.ndarray, classes: attention.Class
     sent = held.sparkSession.sparkContext.broadcast((flat, classes))
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         flat, classes = sent.value
         for whole in batches:
             for a in range(0, whole.num_rows, 100):
@@ -195,6 +197,7 @@ def base_scores(rows: DataFrame, counts: DataFrame) -> DataFrame:
     schema = pa.schema([("doc_id", pa.int64()), ("k1", pa.int64()), ("k2", pa.int64()), ("held_out", pa.bool_()), ("n_tokens", pa.int64()), ("known", pa.int64()), ("logs", pa.float64()), ("word", pa.list_(pa.binary())), ("times", pa.list_(pa.int64()))])
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        tokens.forget()
         frequent = sent.value
         for whole in batches:
             for a in range(0, whole.num_rows, 1000):

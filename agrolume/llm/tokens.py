@@ -81,6 +81,11 @@ class Encoder:
 _encoders: dict[str, Encoder] = {}
 
 
+def forget() -> None:
+    """Let go of kept words, in a worker that goes on to other work."""
+    _encoders.clear()
+
+
 def encoder(path: str) -> Encoder:
     """One encoder a worker process, so that kept words outlive a task."""
     if path not in _encoders:

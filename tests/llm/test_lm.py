@@ -130,3 +130,12 @@ def test_query_against_brute_force(spark):
     shares = np.log10(counts / counts.sum())
     alone = sum(shares[ids[d]].sum() for d in ids if held[d])
     assert sum(r.score for r in rows if r.held_out) > 0.85 * alone
+
+
+def test_words_are_let_go():
+    """A worker that trains or scores does not hold the words that it kept to read texts."""
+    path = tokens.vocabulary()
+    before = tokens.encoder(path).encode("one two")
+    tokens.forget()
+    assert not tokens._encoders
+    assert tokens.encoder(path).encode("one two") == before
