@@ -179,3 +179,26 @@ def test_threshold_classes_are_counted_where_pixels_were_gathered(spark):
     shuffles = [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
     # The profiles are a broadcast: neither the histogram nor the classes are shuffled.
     assert shuffles and not [line for line in shuffles if "index_name" in line or "class_no" in line]
+
+
+def test_pixels_of_candidates_are_shuffled_once(spark):
+    from agrolume.plans import selection_queries
+
+    w = World(spark, "/root/testdata/sf0.001")
+    text = plan(selection_queries.graded_options(w))
+    # Scenes are chosen among blocks; no pixel row is shuffled by its scene, and no hash of keys is sent along.
+    assert "LeftSemi" in text and "xxhash64" not in text
+    assert not [line for line in text.splitlines() if "Exchange hashpartitioning(field_id" in line and "source_no" in line]
+    semi = text[text.index("LeftSemi"):]
+    left = semi[:semi.index("HashAggregate")]
+    assert "explode([0,1,2,3])" not in left and text.index("explode([0,1,2,3])") < text.index("LeftSemi")
+
+
+def test_the_pairs_of_a_narrow_choice_are_counted_alike(spark):
+    from agrolume.operators import raster
+
+    w = World(spark, "/root/testdata/sf0.001")
+    wanted = w.fields.join(w.scenes.where("ym % 12 = 3"), "site").select("field_id", "scene_id", "grid_no")
+    few = zonal.gate_counts(georef.join_wanted(raster.with_flags(raster.coded(w.pixels_of(wanted))), w.field_spans, wanted, asked_only=True))
+    every = zonal.gate_counts(georef.join_pixels(raster.coded(w.pixels), w.field_spans)).join(wanted.drop("grid_no"), ["field_id", "scene_id"]).select(few.columns)
+    assert few.count() > 0 and few.exceptAll(every).isEmpty() and every.exceptAll(few).isEmpty()
