@@ -94,12 +94,12 @@ class KeyedStore:
     def _rows(self, folders: list[str]) -> DataFrame:
         return self.spark.read.schema(self.schema).parquet(*[f"{self.path}/runs/{f}" for f in folders])
 
-    def read(self) -> DataFrame:
-        """The current rows."""
+    def read(self, *, placed: bool = False) -> DataFrame:
+        """The current rows; ``placed`` folds a single run too, for steps that want rows where the fold puts them."""
         folders = [folder for _, folder in self.manifest()]
         if not folders:
             return self.spark.createDataFrame([], self.schema)
-        return self._rows(folders) if len(folders) == 1 else self.fold(self._rows(folders))
+        return self._rows(folders) if len(folders) == 1 and not placed else self.fold(self._rows(folders))
 
     def merge(self, batch: DataFrame, batch_id: int) -> None:
         """Take the rows of a batch in; one that is in already is left alone."""

@@ -14,11 +14,12 @@ c = F.col
 
 
 def folded(
-    stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], fold: Callable[[DataFrame], DataFrame], *, label: str
+    stream: DataFrame, prepare: Callable[[DataFrame], DataFrame], fold: Callable[[DataFrame], DataFrame], *, label: str, placed: bool = False
 ) -> DataFrame:
     """Run a finite stream into a keyed store and return its rows: no event is late, no key forgotten.
 
     ``prepare`` gives rows that ``fold`` brings down to one per key, within a batch and with those of the batches before.
+    ``placed``: rows are returned where ``fold`` puts them.
     """
     store = files.KeyedStore(stream.sparkSession, label, schema=fold(prepare(stream)).schema, fold=fold)
 
@@ -26,7 +27,7 @@ def folded(
         store.merge(prepare(batch), batch_id)
 
     files.run_to_end(stream, mode="append", each_batch=each, checkpoint=f"{store.path}/checkpoint")
-    return store.read()
+    return store.read(placed=placed)
 
 
 def first_sights(stream: DataFrame, *, time: str, keys: list[str], label: str = "dedup") -> DataFrame:
@@ -86,17 +87,21 @@ def upsert_ledger(stream: DataFrame, *, label: str = "ledger") -> DataFrame:
 def zonal_updates(pixel_stream: DataFrame, spans: DataFrame, *, label: str = "zonal") -> DataFrame:
     """Zonal statistics of every index kept current as scenes arrive.
 
-    Each micro-batch of coded pixels joins the static field spans, and its histogram is added to the
-    one that the keyed store holds, so statistics over all batches are exact.
+    Each micro-batch of coded pixels joins the static field spans. The keyed store counts pixels that have all their
+    codes alike, one row with a code per index; these become rows per index only when they are read, where one
+    shuffle has gathered them, so statistics over all batches are exact.
     """
     keys = (*zonal.PAIR, "index_name")
+    codes = [n for n in pixel_stream.columns if n.startswith("code_")]
+    alike = [*zonal.PAIR, "source_no", *codes]
 
     def prepare(batch: DataFrame) -> DataFrame:
-        inside = raster.by_index(zonal.gathered(georef.join_pixels(batch, spans)))
-        return inside.select(*keys, c("code").cast("long").alias("code"), F.lit(1).cast("bigint").alias("n"))
+        inside = georef.join_pixels(batch.select("scene_id", "grid_no", "source_no", "rw", "cl", *codes), spans)
+        return inside.select(*alike, F.lit(1).cast("bigint").alias("n"))
 
     def fold(rows: DataFrame) -> DataFrame:
-        return rows.groupBy(*keys, "code").agg(F.sum("n").alias("n"))
+        return zonal.gathered(rows).groupBy(*alike).agg(F.sum("n").alias("n"))
 
-    hist = folded(pixel_stream, prepare, fold, label=label)
+    rows = raster.by_index(folded(pixel_stream, prepare, fold, label=label, placed=True))
+    hist = rows.groupBy(*keys, c("code").cast("long").alias("code")).agg(F.sum("n").alias("n"))
     return zonal.stats_from_histogram(hist, keys=keys, unit=raster.scale_of(c("index_name")))

@@ -202,3 +202,12 @@ def test_the_pairs_of_a_narrow_choice_are_counted_alike(spark):
     few = zonal.gate_counts(georef.join_wanted(raster.with_flags(raster.coded(w.pixels_of(wanted))), w.field_spans, wanted, asked_only=True))
     every = zonal.gate_counts(georef.join_pixels(raster.coded(w.pixels), w.field_spans)).join(wanted.drop("grid_no"), ["field_id", "scene_id"]).select(few.columns)
     assert few.count() > 0 and few.exceptAll(every).isEmpty() and every.exceptAll(few).isEmpty()
+
+
+def test_streamed_histograms_are_shuffled_once_when_read(spark):
+    got = BUILDS["stream_zonal_stats"](spark, "/root/testdata/sf0.001")
+    shuffles = [line for line in plan(got).splitlines() if "Exchange" in line]
+    # As pixels with a code per index: neither a row per index nor a histogram is sent.
+    assert len(shuffles) == 1 and "index_name" not in shuffles[0]
+    batch = BUILDS["zonal_stats"](spark, "/root/testdata/sf0.001").select(got.columns)
+    assert got.count() > 0 and got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
