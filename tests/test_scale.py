@@ -211,3 +211,36 @@ def test_streamed_histograms_are_shuffled_once_when_read(spark):
     assert len(shuffles) == 1 and "index_name" not in shuffles[0]
     batch = BUILDS["zonal_stats"](spark, "/root/testdata/sf0.001").select(got.columns)
     assert got.count() > 0 and got.exceptAll(batch).isEmpty() and batch.exceptAll(got).isEmpty()
+
+
+def search_world(spark):
+    """Viewports from points to half the plane, scenes of all sizes, some of them without a cloud figure."""
+    start = datetime.date(2020, 1, 1)
+    views, scenes = [], []
+    for n in range(60):
+        wide, high = ((0.5, 0.25), (2.0, 1.0), (5.0, 5.0), (17.0, 3.0), (3.0, 90.0))[n % 5]
+        x, y = (n * 37) % 101 - 50.0, (n * 53) % 97 - 45.0
+        first = start + datetime.timedelta(days=(n * 29) % 200)
+        views.append((n, n % 2, first, first + datetime.timedelta(days=(n * 11) % 300 - 5), 20.0 + n % 3 * 30, x, y, x + wide, y + high))
+    for n in range(900):
+        x, y, size = (n * 61) % 103 - 52.0, (n * 43) % 99 - 48.0, (0.0, 1.5, 6.0, 31.0)[n % 4]
+        ring = [[[(x, y), (x + size, y), (x + size, y + size), (x, y + size), (x, y)]]]
+        scenes.append((n % 2, n, start + datetime.timedelta(days=(n * 17) % 500), f"P{n % 400}", "discovered" if n % 9 == 0 else "accepted", None if n % 11 == 0 else float(n * 7 % 101), ring))
+    views = spark.createDataFrame(views, "request_id long, source_no long, start_date date, end_date date, max_cloud double, x0 double, y0 double, x1 double, y1 double")
+    return views, spark.createDataFrame(scenes, f"source_no long, scene_id long, acq_date date, product_id string, status string, cloud_percent double, footprint {poly.POLYGONS}")
+
+
+def test_a_search_ranks_pairs_where_they_met(spark):
+    tune(spark)
+    views, scenes = search_world(spark)
+    got = geometry.spatial_search(views, scenes, limit=20)
+    expected = selection.ranked_per(geometry.found_scenes(views, scenes), ["request_id"], [c("acq_date").desc(), c("product_id"), c("scene_id")], 20)
+    names = ["request_id", "scene_id", "acq_date", "product_id", "coverage_percent", "rank", "within_limit"]
+    rows = [tuple(r) for r in got.select(names).collect()]
+    assert sorted(rows) == sorted(tuple(r) for r in expected.select(names).collect()) and len(rows) > 100
+    # The last shuffle is that of viewports and scenes on their way to each other.
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    text = plan(geometry.spatial_search(views, scenes, limit=20))
+    tune(spark)
+    top = next(line for line in text.splitlines() if "Exchange hashpartitioning" in line)
+    assert "source_no" in top and "cell_x" in top and "NestedLoop" not in text
